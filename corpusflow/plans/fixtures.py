@@ -90,3 +90,48 @@ def filtered_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                 F.array(F.lit("s3"), F.lit("api"))))
              .withColumn("date_start", start)
              .withColumn("date_end", F.date_add(start, 44)))
+
+
+def pii_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """documents with injected PII appended, built from doc_id:
+    `` call 555-<ddd>-<dddd> ssn <ddd>-<dd>-<dddd> iban DE<20 digits>`` where
+    ddd = doc_id % 1000, dddd = doc_id % 10000, dd = doc_id % 100 (zero padded)
+    and the IBAN digits are doc_id % 100 then doc_id padded to 18."""
+    d = read_table(spark, sf_dir, "documents")
+
+    def pad(x, n):
+        return F.lpad(x.cast("string"), n, "0")
+
+    i = F.col("doc_id")
+    tail = F.concat(
+        F.lit(" call 555-"), pad(F.pmod(i, F.lit(1000)), 3), F.lit("-"), pad(F.pmod(i, F.lit(10000)), 4),
+        F.lit(" ssn "), pad(F.pmod(i, F.lit(1000)), 3), F.lit("-"), pad(F.pmod(i, F.lit(100)), 2), F.lit("-"),
+        pad(F.pmod(i, F.lit(10000)), 4),
+        F.lit(" iban DE"), pad(F.pmod(i, F.lit(100)), 2), pad(i, 18))
+    return d.select("doc_id", F.concat(F.col("text"), tail).alias("text"))
+
+
+def customer_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed personal fields derived from customer rows (c_custkey = k):
+    email = lower(c_name with '#' -> '.') + '@example.com';
+    phone = '(5' + k%100 (2 digits) + ') ' + k%1000 (3) + '-' + k%10000 (4);
+    ssn = k%1000 (3) + '-' + k%100 (2) + '-' + k%10000 (4);
+    credit_card = '4' + k padded to 15 digits; bank_account = 'DE' + k padded
+    to 20 digits; name = c_name."""
+    c = read_table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+
+    def pad(x, n):
+        return F.lpad(x.cast("string"), n, "0")
+
+    return c.select(
+        "c_custkey",
+        F.concat(F.lower(F.regexp_replace("c_name", "#", ".")), F.lit("@example.com")).alias("email"),
+        F.concat(F.lit("(5"), pad(F.pmod(k, F.lit(100)), 2), F.lit(") "), pad(F.pmod(k, F.lit(1000)), 3),
+                 F.lit("-"), pad(F.pmod(k, F.lit(10000)), 4)).alias("phone"),
+        F.concat(pad(F.pmod(k, F.lit(1000)), 3), F.lit("-"), pad(F.pmod(k, F.lit(100)), 2), F.lit("-"),
+                 pad(F.pmod(k, F.lit(10000)), 4)).alias("ssn"),
+        F.concat(F.lit("4"), pad(k, 15)).alias("credit_card"),
+        F.concat(F.lit("DE"), pad(k, 20)).alias("bank_account"),
+        F.col("c_name").alias("name"),
+    )
