@@ -1 +1,192 @@
-"""Registered queries."""
+"""Registered chunking queries (C1-C9) and their oracles."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from corpusflow.operators import chunking as ch
+from corpusflow.plans.registry import register
+from corpusflow.sources.tables import read_table
+
+
+def _docs(spark, sf_dir):
+    return read_table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+def _sectioned(spark, sf_dir):
+    return _docs(spark, sf_dir).withColumn("text", ch.sectioned_text(F.col("text")))
+
+
+def _chunk_cols(df):
+    return df.select("doc_id", F.col("chunk_index").cast("long").alias("chunk_index"),
+                     F.col("total_chunks").cast("long").alias("total_chunks"),
+                     F.col("chunk_size").cast("long").alias("chunk_size"), "chunking_method", "content")
+
+
+def _sql_windows(size: int, step: int, method: str) -> str:
+    return f"""SELECT doc_id, (s // {step})::BIGINT AS chunk_index,
+       count(*) OVER (PARTITION BY doc_id)::BIGINT AS total_chunks,
+       length(substr(text, s + 1, {size}))::BIGINT AS chunk_size, '{method}' AS chunking_method,
+       substr(text, s + 1, {size}) AS content
+FROM (SELECT doc_id, text, unnest(range(0, length(text), {step})) AS s FROM documents)"""
+
+
+@register("chunk_fixed", _sql_windows(1000, 800, "fixed"))
+def q_chunk_fixed(spark, sf_dir):
+    """1000-char windows every 800 chars."""
+    return _chunk_cols(ch.chunk_fixed(_docs(spark, sf_dir), 1000, 200))
+
+
+@register("chunk_simple", _sql_windows(400, 400, "simple"))
+def q_chunk_simple(spark, sf_dir):
+    """Non-overlapping 400-char slices."""
+    return _chunk_cols(ch.chunk_simple(_docs(spark, sf_dir), 400))
+
+
+STRIP = "regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+SQL_SENTS = ("list_filter(list_transform(string_split_regex(regexp_replace(text, '([.!?])\\s+', "
+             "'\\1' || chr(1), 'g'), chr(1)), lambda x: " + STRIP.format(x="x") +
+             "), lambda x: length(x) > 0)")
+
+SQL_SENTENCES = f"""WITH s AS (SELECT doc_id, {SQL_SENTS} AS ss FROM documents)
+SELECT doc_id, (i - 1)::BIGINT AS sentence_index, ss[i] AS sentence
+FROM (SELECT doc_id, ss, unnest(range(1, len(ss) + 1)) AS i FROM s)"""
+
+
+@register("sentences", SQL_SENTENCES)
+def q_sentences(spark, sf_dir):
+    """Sentences of every document, in order."""
+    s = ch.chunk_sentences(_docs(spark, sf_dir))
+    return s.select("doc_id", F.col("sentence_index").cast("long").alias("sentence_index"), "sentence")
+
+
+def _sql_semantic(mn: int, mx: int) -> str:
+    ov = f"(acc.size + length(s) > {mx} AND len(acc.cur) > 0)"
+    chunks1 = f"(CASE WHEN {ov} THEN list_append(acc.chunks, array_to_string(acc.cur, ' ')) ELSE acc.chunks END)"
+    cur1 = f"(CASE WHEN {ov} THEN [s] ELSE list_append(acc.cur, s) END)"
+    size1 = f"(CASE WHEN {ov} THEN length(s) ELSE acc.size + length(s) END)"
+    fl = f"({size1} >= {mn} AND len({cur1}) >= 3)"
+    step = (f"{{'chunks': CASE WHEN {fl} THEN list_append({chunks1}, array_to_string({cur1}, ' ')) ELSE {chunks1} END, "
+            f"'cur': CASE WHEN {fl} THEN []::VARCHAR[] ELSE {cur1} END, "
+            f"'size': CASE WHEN {fl} THEN 0 ELSE {size1} END}}")
+    init = "{'chunks': []::VARCHAR[], 'cur': []::VARCHAR[], 'size': 0}"
+    return f"""WITH s AS (SELECT doc_id, {SQL_SENTS} AS ss FROM documents),
+f AS (SELECT doc_id, list_reduce(ss, lambda acc, s: {step}, {init}) AS acc FROM s),
+c AS (SELECT doc_id, CASE WHEN len(acc.cur) > 0 THEN list_append(acc.chunks, array_to_string(acc.cur, ' '))
+                          ELSE acc.chunks END AS cs FROM f)
+SELECT doc_id, (i - 1)::BIGINT AS chunk_index, len(cs)::BIGINT AS total_chunks,
+       length(cs[i])::BIGINT AS chunk_size, 'semantic' AS chunking_method, cs[i] AS content
+FROM (SELECT doc_id, cs, unnest(range(1, len(cs) + 1)) AS i FROM c)"""
+
+
+@register("chunk_semantic", _sql_semantic(100, 1500))
+def q_chunk_semantic(spark, sf_dir):
+    """C4: sentence grouping (min 100 chars and 3 sentences, max 1500)."""
+    return _chunk_cols(ch.chunk_semantic(_docs(spark, sf_dir), 100, 1500))
+
+
+# ------------------------------------------------------------ sections
+SQL_SECTIONED = """sect AS (
+  SELECT doc_id, array_to_string(list_transform(range(1, len(ls) + 1), lambda i:
+           CASE WHEN i = 1 THEN '' WHEN (i - 1) % 3 = 0 THEN chr(10) || '# H' || chr(10)
+                WHEN (i - 1) % 2 = 0 THEN chr(10) || chr(10) ELSE chr(10) END || ls[i]), '') AS text
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents))"""
+
+
+def _sql_sections() -> str:
+    st = STRIP.format(x="l")
+    is_hash = f"starts_with({st}, '#')"
+    is_head = f"({is_hash} OR (upper({st}) = {st} AND lower({st}) <> {st} AND length({st}) < 100))"
+    flushed = ("(CASE WHEN len(acc.cur) > 0 THEN list_append(acc.secs, {'title': acc.title, "
+               "'body': array_to_string(acc.cur, chr(10))}) ELSE acc.secs END)")
+    unhashed = "regexp_replace(l, '^#+|#+$', '', 'g')"
+    title = f"(CASE WHEN {is_hash} THEN {STRIP.format(x=unhashed)} ELSE {st} END)"
+    step = (f"CASE WHEN {is_head} THEN {{'secs': {flushed}, 'title': {title}, 'cur': []::VARCHAR[]}} "
+            f"ELSE {{'secs': acc.secs, 'title': acc.title, 'cur': list_append(acc.cur, l)}} END")
+    init = ("{'secs': []::STRUCT(title VARCHAR, body VARCHAR)[], 'title': 'Introduction', "
+            "'cur': []::VARCHAR[]}")
+    return f"""{SQL_SECTIONED},
+f AS (SELECT doc_id, text, list_reduce(string_split(text, chr(10)), lambda acc, l: {step}, {init}) AS acc FROM sect),
+g AS (SELECT doc_id, CASE WHEN len(acc.cur) > 0 THEN list_append(acc.secs, {{'title': acc.title,
+             'body': array_to_string(acc.cur, chr(10))}}) ELSE acc.secs END AS secs0, text FROM f),
+secs AS (SELECT doc_id, CASE WHEN len(secs0) > 0 THEN secs0
+                 ELSE [{{'title': 'Document', 'body': text}}] END AS secs FROM g),
+sec_rows AS (SELECT doc_id, (i - 1) AS section_index, len(secs) AS total_sections,
+                    secs[i].title AS section_title, secs[i].body AS section_text
+             FROM (SELECT doc_id, secs, unnest(range(1, len(secs) + 1)) AS i FROM secs))"""
+
+
+SQL_CHUNK_SECTIONS = f"""WITH {_sql_sections()}
+SELECT doc_id, section_index::BIGINT AS section_index, total_sections::BIGINT AS total_sections,
+       section_title, section_text FROM sec_rows"""
+
+
+def _sec_cols(df):
+    return df.select("doc_id", F.col("section_index").cast("long").alias("section_index"),
+                     F.col("total_sections").cast("long").alias("total_sections"), "section_title",
+                     *(["section_text"] if "section_text" in df.columns else
+                       [F.col("section_chunk_index").cast("long").alias("section_chunk_index"),
+                        "content", F.col("chunk_size").cast("long").alias("chunk_size")]))
+
+
+@register("chunk_sections", SQL_CHUNK_SECTIONS)
+def q_chunk_sections(spark, sf_dir):
+    """Section detection over documents with injected headers/blank lines."""
+    return _sec_cols(ch.sections_table(_sectioned(spark, sf_dir)))
+
+
+TARGET = 300
+
+
+def _sql_context(paragraphs: bool) -> str:
+    if paragraphs:
+        ov = f"(acc.size + length(p) > {TARGET} AND len(acc.cur) > 0)"
+        step = (f"{{'chunks': CASE WHEN {ov} THEN list_append(acc.chunks, array_to_string(acc.cur, chr(10) || chr(10))) "
+                f"ELSE acc.chunks END, 'cur': CASE WHEN {ov} THEN [p] ELSE list_append(acc.cur, p) END, "
+                f"'size': CASE WHEN {ov} THEN length(p) ELSE acc.size + length(p) END}}")
+        init = "{'chunks': []::VARCHAR[], 'cur': []::VARCHAR[], 'size': 0}"
+        split = f"""(SELECT CASE WHEN len(a.cur) > 0 THEN list_append(a.chunks, array_to_string(a.cur, chr(10) || chr(10)))
+                     ELSE a.chunks END
+             FROM (SELECT list_reduce(string_split(section_text, chr(10) || chr(10)),
+                                      lambda acc, p: {step}, {init}) AS a))"""
+    else:
+        split = f"list_transform(range(0, length(section_text), {TARGET}), lambda s: substr(section_text, s + 1, {TARGET}))"
+    return f"""WITH {_sql_sections()},
+parts AS (
+  SELECT doc_id, section_index, total_sections, section_title,
+         CASE WHEN length(section_text) <= {TARGET} THEN [{{'i': NULL::BIGINT, 'c': section_text}}]
+              ELSE list_transform(range(1, len(sp) + 1), lambda j: {{'i': (j - 1)::BIGINT, 'c': sp[j]}}) END AS ps
+  FROM (SELECT *, {split} AS sp FROM sec_rows))
+SELECT doc_id, section_index::BIGINT AS section_index, total_sections::BIGINT AS total_sections, section_title,
+       p.i AS section_chunk_index, p.c AS content, length(p.c)::BIGINT AS chunk_size
+FROM (SELECT *, unnest(ps) AS p FROM parts)"""
+
+
+@register("chunk_paragraphs", _sql_context(True))
+def q_chunk_paragraphs(spark, sf_dir):
+    """C7 + C8: context-aware chunks, paragraphs packed to 300 chars."""
+    return _sec_cols(ch.chunk_context_aware(_sectioned(spark, sf_dir), TARGET, True))
+
+
+@register("chunk_section_slices", _sql_context(False))
+def q_chunk_section_slices(spark, sf_dir):
+    """C7 + C9: context-aware chunks, long sections cut in 300-char slices."""
+    return _sec_cols(ch.chunk_context_aware(_sectioned(spark, sf_dir), TARGET, False))
+
+
+@register("chunk_recursive")
+def q_chunk_recursive(spark, sf_dir):
+    """Recursive chunks (1000/200); invariants are checked in tests."""
+    return _chunk_cols(ch.chunk_recursive(_docs(spark, sf_dir), 1000, 200))
+
+
+@register("chunk_parent_child")
+def q_chunk_parent_child(spark, sf_dir):
+    """Child chunks (400/50) of parent chunks (2000/100)."""
+    r = ch.chunk_parent_child(_docs(spark, sf_dir))
+    return r.select("doc_id", F.col("parent_index").cast("long").alias("parent_index"),
+                    F.col("child_index").cast("long").alias("child_index"),
+                    F.col("total_parents").cast("long").alias("total_parents"),
+                    F.col("total_children").cast("long").alias("total_children"),
+                    F.col("chunk_size").cast("long").alias("chunk_size"),
+                    F.col("parent_size").cast("long").alias("parent_size"), "chunking_method", "content")
