@@ -135,3 +135,55 @@ def customer_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("DE"), pad(k, 20)).alias("bank_account"),
         F.col("c_name").alias("name"),
     )
+
+
+# ------------------------------------------------------------ landed inputs
+# Extensions cycled over landed document objects (doc_id % 4).
+OBJECT_EXTS = [".txt", ".pdf", ".docx", ".md"]
+
+
+def land_document_objects(spark: SparkSession, sf_dir: str) -> str:
+    """Write every document as an object ``<lang>/doc_<id><ext>`` under a
+    fresh ``.../landing`` folder in the shared scratch area; returns it."""
+    from corpusflow.session import scratch_path
+    from corpusflow.sources.files import land_objects
+    root = scratch_path(spark, "objects") + "/landing"
+    d = read_table(spark, sf_dir, "documents")
+    ext = F.element_at(F.array(*[F.lit(e) for e in OBJECT_EXTS]), (F.pmod("doc_id", F.lit(4)) + 1).cast("int"))
+    keys = d.select(F.concat("lang", F.lit("/doc_"), F.col("doc_id").cast("string"), ext).alias("key"),
+                    F.encode("text", "UTF-8").alias("data"))
+    land_objects(keys, root)
+    return root
+
+
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as topic messages: key = user_id; value = JSON object
+    {sensor_id: user_id, sensor_type: event_type, value, location:
+    'zone-' + user_id % 10}, except every 97th event (plain text
+    'raw reading <value>') and every 89th (a JSON array [value]);
+    topic 'iot-sensors', partition = event_id % 4, offset = event_id div 4,
+    timestamp = ts."""
+    e = read_table(spark, sf_dir, "events")
+    obj = F.to_json(F.struct(F.col("user_id").alias("sensor_id"), F.col("event_type").alias("sensor_type"),
+                             "value", F.concat(F.lit("zone-"), F.pmod("user_id", F.lit(10)).cast("string"))
+                             .alias("location")))
+    value = (F.when(F.pmod("event_id", F.lit(97)) == 0, F.concat(F.lit("raw reading "), F.col("value").cast("string")))
+              .when(F.pmod("event_id", F.lit(89)) == 0, F.to_json(F.array("value")))
+              .otherwise(obj))
+    return e.select(F.col("user_id").cast("string").alias("key"), value.alias("value"),
+                    F.lit("iot-sensors").alias("topic"), F.pmod("event_id", F.lit(4)).cast("int").alias("partition"),
+                    F.floor(F.col("event_id") / 4).cast("long").alias("offset"),
+                    F.col("ts").cast("timestamp").alias("timestamp"))
+
+
+def land_messages(spark: SparkSession, sf_dir: str, batch_size: int = 500) -> str:
+    """Land messages as JSON lines, one file per (partition, offset div
+    batch_size) so every file is one consumer batch."""
+    from corpusflow.session import scratch_path
+    path = scratch_path(spark, "messages")
+    from corpusflow.sources.messages import TS_FORMAT
+    m = messages(spark, sf_dir).withColumns({"p": F.col("partition"),
+                                             "b": F.floor(F.col("offset") / batch_size).cast("long")})
+    (m.repartition("p", "b").sortWithinPartitions("p", "offset")
+      .write.partitionBy("p", "b").option("timestampFormat", TS_FORMAT).json(path))
+    return path
