@@ -294,3 +294,24 @@ def q_stream_record_chunk(spark, sf_dir):
     return e.select("event_id", F.col("chunk_index").cast("long").alias("chunk_index"),
                     F.col("total_chunks").cast("long").alias("total_chunks"),
                     F.col("chunk_size").cast("long").alias("chunk_size"), "content")
+
+
+@register("image_facts", """SELECT 'img/supplier_' || s_suppkey::VARCHAR || '.png' AS key, 'PNG' AS format, 'RGB' AS mode,
+       (s_suppkey % 50 + 1)::INTEGER AS width, (s_nationkey + 1)::INTEGER AS height, 3::INTEGER AS n_channels,
+       'image/png' AS mime_type FROM supplier""")
+def q_image_facts(spark, sf_dir):
+    """One PNG per supplier landed in the shared folder, read back
+    with the image source (size, channels) and binaryFile (bytes, base64)."""
+    from corpusflow.session import scratch_path
+    from corpusflow.sources.files import land_objects
+    from corpusflow.sources.images import image_facts, solid_png
+    s = read_table(spark, sf_dir, "supplier")
+    root = scratch_path(spark, "images") + "/landing"
+    data = solid_png(F.pmod("s_suppkey", F.lit(50)) + 1, F.col("s_nationkey") + 1, F.col("s_suppkey"),
+                     F.col("s_nationkey") * 9, F.floor(F.abs("s_acctbal")))
+    land_objects(s.select(F.concat(F.lit("img/supplier_"), F.col("s_suppkey").cast("string"), F.lit(".png"))
+                          .alias("key"), data.alias("data")), root)
+    f = image_facts(spark, root)
+    return f.where(F.length("base64") > 0).select(
+        F.regexp_extract("path", "/landing/(.*)$", 1).alias("key"), "format", "mode", "width", "height",
+        "n_channels", "mime_type")

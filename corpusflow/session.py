@@ -38,7 +38,38 @@ def get_session(master: str | None = None, cpus: int | None = None,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    return prepare(spark)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``corpusflow`` importable in Python workers (Arrow UDFs,
+    ``mapInPandas``, ``applyInPandas`` reference its functions): zip the
+    package once per SparkContext and ``addPyFile`` it, the programmatic form
+    of ``--py-files``."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="corpusflow-pkg-"), "corpusflow.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Checkpoint folder + package shipping; idempotent."""
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
