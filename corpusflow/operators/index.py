@@ -39,23 +39,41 @@ class TextIndex:
         return p.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
-def build_text_index(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> TextIndex:
-    """Tokenise once per document, explode, count per ``(doc_id, term)``."""
+def build_text_index(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                     path: str | None = None) -> TextIndex:
+    """Tokenise once per document, explode, count per ``(doc_id, term)``.
+
+    With ``path`` the index is written there (Parquet, shared folder) and read
+    back, so every later query scans the small index instead of re-tokenising
+    the corpus, and the lineage is cut at the written table.
+    """
     toks = df.select(F.col(id_col).alias("doc_id"), tokens(text_col).alias("toks"))
     toks = toks.withColumn("dl", F.size("toks"))
-    postings = (toks.select("doc_id", "dl", F.explode("toks").alias("term"))
+    # explode_outer: a plain explode makes the optimizer add a size(...) > 0
+    # filter that evaluates the tokeniser a second time per document.
+    postings = (toks.select("doc_id", "dl", F.explode_outer("toks").alias("term"))
+                .where(F.col("term").isNotNull())
                 .groupBy("doc_id", "term", "dl")
                 .agg(F.count(F.lit(1)).alias("tf")))
     docs = toks.select("doc_id", "dl")
-    return TextIndex(postings=postings, docs=docs)
+    index = TextIndex(postings=postings, docs=docs)
+    if path is None:
+        return index
+    save_text_index(index, path)
+    return load_text_index(df.sparkSession, path)
 
 
 def save_text_index(index: TextIndex, path: str) -> None:
-    """Write the index as Parquet. Postings are range-partitioned and sorted by
-    term, so Parquet min/max statistics prune row groups for term lookups."""
-    (index.postings.repartitionByRange("term").sortWithinPartitions("term", "doc_id")
+    """Write the index as Parquet (postings sorted by term within each file,
+    which keeps term runs together for compression and min/max pruning)."""
+    (index.postings.sortWithinPartitions("term", "doc_id")
      .write.mode("overwrite").parquet(f"{path}/postings"))
-    index.docs.write.mode("overwrite").parquet(f"{path}/docs")
+    # document lengths come from the written postings: no second tokenising
+    # pass; documents without tokens get dl = 0.
+    spark = index.postings.sparkSession
+    lens = spark.read.parquet(f"{path}/postings").groupBy("doc_id").agg(F.first("dl").alias("dl"))
+    index.docs.select("doc_id").join(lens, "doc_id", "left").fillna({"dl": 0}) \
+        .write.mode("overwrite").parquet(f"{path}/docs")
 
 
 def load_text_index(spark: SparkSession, path: str) -> TextIndex:

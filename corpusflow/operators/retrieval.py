@@ -138,9 +138,11 @@ def bm25_scores(index: TextIndex, queries: DataFrame, k1: float = BM25_K1,
     are corpus-wide (filters restrict candidates only)."""
     qt = query_terms(queries, text_col)
     terms = sized_broadcast(qt.select("term").distinct())
-    # Postings for query terms only; the term list is broadcast, so the large
-    # postings side is filtered map-side and never shuffled for this join.
-    match = index.postings.join(terms, "term")
+    # Postings of query terms only. A semi-join on the grouping key is pushed
+    # below the postings aggregation, so with a lazy index only matching
+    # tokens are counted; the term list is broadcast, so the large side is
+    # filtered map-side and never shuffled for this join.
+    match = index.postings.join(terms, "term", "left_semi")
     dfreq = match.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n, avgdl = index.n_docs(), index.avg_dl()
     idf = F.log(1.0 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
@@ -348,10 +350,20 @@ def rerank(fused: DataFrame, queries: DataFrame, docs_text: DataFrame,
     """
     cands = fused.select("query_id", "doc_id", "combined_score", "sem_score", "bm25_score")
     ids = sized_broadcast(cands.select("doc_id").distinct())
-    content = docs_text.select("doc_id", F.col(text_col).alias("content")).join(ids, "doc_id")
+    content = docs_text.select("doc_id", F.col(text_col).alias("content")).join(ids, "doc_id", "left_semi")
     q = sized_broadcast(queries.select("query_id", "query_text"))
-    j = cands.join(content, "doc_id").join(q, "query_id")
-    j = j.withColumn("rerank_score", scorer(F.col("query_text"), F.col("content")).cast("double"))
+    if scorer is jaccard_scorer:
+        # distinct tokens once per candidate document (not once per pair)
+        dt = content.select("doc_id", F.array_distinct(tokens(F.col("content"))).alias("dtoks"))
+        qa = q.select("query_id", F.array_distinct(tokens(F.col("query_text"))).alias("qtoks"))
+        j = cands.join(dt, "doc_id").join(qa, "query_id")
+        inter = F.size(F.array_intersect("qtoks", "dtoks"))
+        union = F.size("qtoks") + F.size("dtoks") - inter
+        score = F.when(union > 0, inter / union).otherwise(F.lit(0.0))
+    else:
+        j = cands.join(content, "doc_id").join(q, "query_id")
+        score = scorer(F.col("query_text"), F.col("content"))
+    j = j.withColumn("rerank_score", score.cast("double"))
     return j.select(*cands.columns, "rerank_score",
                     (RERANK_KEEP * F.col("combined_score") + RERANK_MODEL * F.col("rerank_score"))
                     .alias("final_score"))

@@ -149,7 +149,7 @@ def q_message_envelope(spark, sf_dir):
     """Landed messages consumed as a stream (availableNow, checkpointed)
     and decoded JSON-or-text into envelopes."""
     path = fx.land_messages(spark, sf_dir)
-    stream = msg.decode_messages(msg.read_messages(spark, path, files_per_trigger=16))
+    stream = msg.decode_messages(msg.read_messages(spark, path, files_per_trigger=100))
     out = run_available(stream.select(
         "metadata.topic", "metadata.partition", "metadata.offset", "key", "content_kind",
         F.try_variant_get("content", "$.sensor_id", "bigint").alias("sensor_id"),
@@ -176,7 +176,7 @@ def q_message_batches(spark, sf_dir):
     append keyed by micro-batch id)."""
     path = fx.land_messages(spark, sf_dir, 500)
     target = scratch_path(spark, "batches")
-    run_available(msg.read_messages(spark, path, files_per_trigger=16), "batches",
+    run_available(msg.read_messages(spark, path, files_per_trigger=100), "batches",
                   foreach_batch=_batch_stats(target))
     return read_back(spark, target).select("partition", "batch_no", "n_messages", "min_offset", "max_offset")
 
@@ -192,7 +192,7 @@ def q_iot_stream(spark, sf_dir):
     """Stateless streaming filter/projection of sensor readings;
     non-object messages are quarantined instead of failing the stream."""
     path = fx.land_messages(spark, sf_dir)
-    ok, _bad = msg.iot_readings(msg.decode_messages(msg.read_messages(spark, path, files_per_trigger=16)), IOT_TYPES)
+    ok, _bad = msg.iot_readings(msg.decode_messages(msg.read_messages(spark, path, files_per_trigger=100)), IOT_TYPES)
     out = run_available(ok.select("metadata.partition", "metadata.offset", "sensor_id", "sensor_type",
                                   "location", "value", "document_type"), "iot")
     return read_back(spark, out)
