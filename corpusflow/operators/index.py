@@ -39,21 +39,29 @@ class TextIndex:
         return p.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
+# Document columns that retrieval filters use; when present they ride along on
+# every posting so filters run inside the (broadcast) query-term join.
+FILTER_DOC_COLUMNS = ("security_clearance", "source_type", "document_type", "region", "doc_date")
+
+
 def build_text_index(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                     path: str | None = None) -> TextIndex:
+                     path: str | None = None, meta_cols: list[str] | None = None) -> TextIndex:
     """Tokenise once per document, explode, count per ``(doc_id, term)``.
 
-    With ``path`` the index is written there (Parquet, shared folder) and read
-    back, so every later query scans the small index instead of re-tokenising
-    the corpus, and the lineage is cut at the written table.
+    ``meta_cols`` (default: the filter columns present in ``df``) are copied
+    onto each posting from the document's own row, so no join is needed to
+    filter candidates. With ``path`` the index is written there (Parquet,
+    shared folder) and read back, so later queries scan the small index
+    instead of re-tokenising the corpus, and the lineage is cut there.
     """
-    toks = df.select(F.col(id_col).alias("doc_id"), tokens(text_col).alias("toks"))
+    meta = list(meta_cols) if meta_cols is not None else [c for c in FILTER_DOC_COLUMNS if c in df.columns]
+    toks = df.select(F.col(id_col).alias("doc_id"), *meta, tokens(text_col).alias("toks"))
     toks = toks.withColumn("dl", F.size("toks"))
     # explode_outer: a plain explode makes the optimizer add a size(...) > 0
     # filter that evaluates the tokeniser a second time per document.
-    postings = (toks.select("doc_id", "dl", F.explode_outer("toks").alias("term"))
+    postings = (toks.select("doc_id", "dl", *meta, F.explode_outer("toks").alias("term"))
                 .where(F.col("term").isNotNull())
-                .groupBy("doc_id", "term", "dl")
+                .groupBy("doc_id", "term", "dl", *meta)
                 .agg(F.count(F.lit(1)).alias("tf")))
     docs = toks.select("doc_id", "dl")
     index = TextIndex(postings=postings, docs=docs)

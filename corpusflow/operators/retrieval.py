@@ -132,11 +132,15 @@ def query_terms(queries: DataFrame, text_col: str = "query_text") -> DataFrame:
 
 
 def bm25_scores(index: TextIndex, queries: DataFrame, k1: float = BM25_K1,
-                b: float = BM25_B, text_col: str = "query_text") -> DataFrame:
+                b: float = BM25_B, text_col: str = "query_text", fields=()) -> DataFrame:
     """Okapi BM25 ``(query_id, doc_id, score)`` for every document sharing a
     term with a query. idf = ln(1 + (N - df + .5)/(df + .5)); N, avgdl and df
-    are corpus-wide (filters restrict candidates only)."""
+    are corpus-wide (filters restrict candidates only). ``fields`` are filter
+    fields whose document columns are on the postings: they are evaluated in
+    the query-term join, before aggregation."""
     qt = query_terms(queries, text_col)
+    if fields:
+        qt = qt.join(queries.select("query_id", *[f[0] for f in fields]), "query_id")
     terms = sized_broadcast(qt.select("term").distinct())
     # Postings of query terms only. A semi-join on the grouping key is pushed
     # below the postings aggregation, so with a lazy index only matching
@@ -148,20 +152,28 @@ def bm25_scores(index: TextIndex, queries: DataFrame, k1: float = BM25_K1,
     idf = F.log(1.0 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = F.col("tf") + k1 * (1.0 - b + b * F.col("dl") / avgdl)
     w = idf * F.col("tf") * (k1 + 1.0) / norm
-    scored = (match.join(F.broadcast(dfreq), "term")
-              .join(sized_broadcast(qt), "term")
-              .select("query_id", "doc_id", w.alias("w")))
-    return scored.groupBy("query_id", "doc_id").agg(F.sum("w").alias("score"))
+    scored = match.join(F.broadcast(dfreq), "term").join(sized_broadcast(qt), "term")
+    if fields:
+        scored = scored.where(filter_predicate(fields))
+    return scored.select("query_id", "doc_id", w.alias("w")) \
+                 .groupBy("query_id", "doc_id").agg(F.sum("w").alias("score"))
 
 
 def bm25_search(index: TextIndex, queries: DataFrame, k: int = 10, docs: DataFrame | None = None,
                 k1: float = BM25_K1, b: float = BM25_B, text_col: str = "query_text") -> DataFrame:
     """R1 (+R3, R8): filtered keyword top-k with min-max normalised score.
 
+    Filters on document columns carried by the index run inside the
+    query-term join; any others join ``docs`` on the aggregated candidates.
     Returns ``query_id, doc_id, bm25_raw, bm25_score, bm25_rank``.
     """
     queries = with_clearance(queries)
-    scored = apply_filters(bm25_scores(index, queries, k1, b, text_col), queries, docs)
+    fields = _active_filters(queries, docs)
+    on_postings = [f for f in fields if f[1] in index.postings.columns]
+    rest = [f for f in fields if f not in on_postings]
+    scored = bm25_scores(index, queries, k1, b, text_col, on_postings)
+    if rest:
+        scored = apply_filters(scored, queries.select("query_id", *[f[0] for f in rest]), docs)
     top = top_k(scored, k, "score", digits=BM25_DIGITS, rank_col="bm25_rank")
     top = minmax_normalize(top, "score", "bm25_score")
     return top.select("query_id", "doc_id", F.col("score").alias("bm25_raw"),
