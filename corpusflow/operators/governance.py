@@ -11,18 +11,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusflow.operators.sizing import sized_broadcast
+
 # ------------------------------------------------------------------ G1
 
+def _latest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    return rows.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+
+
 def upsert(existing: DataFrame | None, updates: DataFrame, key: str | list[str] = "chunk_id",
            order: list[str] | None = None) -> DataFrame:
     """Keyed upsert: for each key keep the row with the greatest ``order``
-    columns (default ``ingest_ts``, ``batch_id``). Each key's versions form one
-    small window partition, so no key collects more than its own versions."""
+    columns (default ``ingest_ts``, ``batch_id``).
+
+    Only keys present in ``updates`` are re-ranked: the update keys are
+    broadcast (after a size check) and split the existing table map-side into
+    untouched rows, passed through without a shuffle, and touched rows, which
+    are ranked together with the updates. Each key's window holds only its own
+    versions."""
     keys = [key] if isinstance(key, str) else list(key)
     order = order or ["ingest_ts", "batch_id"]
-    allrows = updates if existing is None else existing.unionByName(updates, allowMissingColumns=True)
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
-    return allrows.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+    if existing is None:
+        return _latest(updates, keys, order)
+    upd_keys = sized_broadcast(updates.select(*keys).distinct())
+    untouched = existing.join(upd_keys, keys, "left_anti")
+    touched = existing.join(upd_keys, keys, "left_semi")
+    merged = _latest(touched.unionByName(updates, allowMissingColumns=True), keys, order)
+    return untouched.unionByName(merged, allowMissingColumns=True)
 
 
 class SnapshotTable:

@@ -15,11 +15,16 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.text import tokens
 
+# Fixed value: one token = a maximal run of Unicode letters/digits (the
+# complement of the tokeniser's separator class).
+TOKEN_RUN = r"[\p{L}\p{N}]+"
+
 
 @dataclass
 class TextIndex:
-    postings: DataFrame   # doc_id, term, tf, dl
+    postings: DataFrame   # doc_id, term, tf, dl (+ filter columns)
     docs: DataFrame       # doc_id, dl  (every document, also those with no tokens)
+    materialized: bool = False  # postings are a written table (cheap to rescan)
 
     def n_docs(self):
         """Scalar subquery column: number of indexed documents."""
@@ -63,7 +68,10 @@ def build_text_index(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 .where(F.col("term").isNotNull())
                 .groupBy("doc_id", "term", "dl", *meta)
                 .agg(F.count(F.lit(1)).alias("tf")))
-    docs = toks.select("doc_id", "dl")
+    # Token count per document for N/avgdl: counting maximal letter/digit runs
+    # equals the number of non-empty split pieces, without building arrays.
+    docs = df.select(F.col(id_col).alias("doc_id"),
+                     F.regexp_count(F.lower(F.col(text_col)), F.lit(TOKEN_RUN)).alias("dl"))
     index = TextIndex(postings=postings, docs=docs)
     if path is None:
         return index
@@ -86,7 +94,7 @@ def save_text_index(index: TextIndex, path: str) -> None:
 
 def load_text_index(spark: SparkSession, path: str) -> TextIndex:
     return TextIndex(postings=spark.read.parquet(f"{path}/postings"),
-                     docs=spark.read.parquet(f"{path}/docs"))
+                     docs=spark.read.parquet(f"{path}/docs"), materialized=True)
 
 
 def unit_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",

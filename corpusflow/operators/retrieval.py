@@ -147,6 +147,10 @@ def bm25_scores(index: TextIndex, queries: DataFrame, k1: float = BM25_K1,
     # tokens are counted; the term list is broadcast, so the large side is
     # filtered map-side and never shuffled for this join.
     match = index.postings.join(terms, "term", "left_semi")
+    if not index.materialized:
+        # match feeds both df and scoring; write it once to the checkpoint
+        # folder instead of tokenising the corpus twice.
+        match = match.checkpoint(eager=True)
     dfreq = match.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n, avgdl = index.n_docs(), index.avg_dl()
     idf = F.log(1.0 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))

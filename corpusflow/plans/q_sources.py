@@ -158,12 +158,13 @@ def q_message_envelope(spark, sf_dir):
 
 
 def _batch_stats(target):
+    """Per micro-batch stats written to ``target/micro_batch=<id>`` with
+    overwrite, so a replayed micro-batch replaces its own output."""
     def fn(batch, batch_id):
         (batch.groupBy("partition", F.floor(F.col("offset") / 500).cast("long").alias("batch_no"))
               .agg(F.count(F.lit(1)).alias("n_messages"), F.min("offset").alias("min_offset"),
                    F.max("offset").alias("max_offset"))
-              .withColumn("micro_batch", F.lit(batch_id))
-              .write.mode("append").parquet(target))
+              .write.mode("overwrite").parquet(f"{target}/micro_batch={batch_id}"))
     return fn
 
 
