@@ -206,3 +206,59 @@ def q_versioned_index(spark, sf_dir):
     return r.select("doc_id", F.col("version").cast("long").alias("version"),
                     F.col("valid_from").cast("string").alias("valid_from"),
                     F.col("valid_to").cast("string").alias("valid_to"), "is_current", "content_sha")
+
+
+# ----------------------------------------------------------------- E1 / E2
+INGEST_EXTS = [".txt", ".md", ".pdf"]
+
+
+def _sql_ingest_objects() -> str:
+    from corpusflow.plans.q_masking import sql_mask_chain
+    chain, last = sql_mask_chain("ch")
+    return f"""WITH obj AS (
+  SELECT doc_id, lang || '/doc_' || doc_id::VARCHAR || ['.txt', '.pdf', '.docx', '.md'][(doc_id % 4) + 1] AS key, text
+  FROM documents WHERE doc_id % 4 IN (0, 3)),
+w AS (SELECT key, doc_id * 1000000 + s AS cid, s // 800 AS chunk_index, substr(text, s + 1, 1000) AS content
+      FROM (SELECT *, unnest(range(0, length(text), 800)) AS s FROM obj)),
+ch AS (SELECT cid AS doc_id, content AS text FROM w),
+{chain}
+SELECT w.key, w.chunk_index::BIGINT AS chunk_index, m.t AS content, len(m.found)::BIGINT AS pii_entities_count
+FROM w JOIN {last} m ON m.doc_id = w.cid"""
+
+
+@register("ingest_objects", _sql_ingest_objects())
+def q_ingest_objects(spark, sf_dir):
+    """Landed document objects (.txt .md .pdf) routed, decoded, chunked
+    (1000/200), masked and upserted into a snapshot store; PDFs are
+    quarantined (no decoder)."""
+    from corpusflow.operators.ingest import ingest_objects
+    root = fx.land_document_objects(spark, sf_dir)
+    store = gv.SnapshotTable(spark, scratch_path(spark, "ingest-store"))
+    r = ingest_objects(spark, root, extensions=INGEST_EXTS, store=store, run_id="e1")
+    return r.chunks.select(F.col("metadata.key").alias("key"), F.col("chunk_index").cast("long").alias("chunk_index"),
+                           "content", F.col("pii_entities_count").cast("long").alias("pii_entities_count"))
+
+
+def _sql_ingest_stream() -> str:
+    from corpusflow.plans.q_masking import sql_mask_chain
+    chain, last = sql_mask_chain("ev")
+    return f"""WITH ev AS (
+  SELECT event_id AS doc_id, 'sensor_id: ' || user_id::VARCHAR || chr(10) || 'sensor_type: ' || event_type || chr(10)
+         || 'value: ' || value::VARCHAR || chr(10) || 'location: zone-' || (user_id % 10)::VARCHAR AS text
+  FROM events WHERE event_id % 97 <> 0 AND event_id % 89 <> 0),
+{chain}
+SELECT 'kafka://iot-sensors/' || (doc_id % 4)::VARCHAR || '/' || (doc_id // 4)::VARCHAR || '-0' AS chunk_id,
+       t AS content, len(found)::BIGINT AS pii_entities_count
+FROM {last}"""
+
+
+@register("ingest_stream", _sql_ingest_stream())
+def q_ingest_stream(spark, sf_dir):
+    """Landed sensor messages ingested as a stream: each micro-batch is
+    turned into one masked chunk per reading and upserted (snapshot version =
+    batch id + 1, so replays are no-ops)."""
+    from corpusflow.operators.ingest import ingest_message_stream
+    path = fx.land_messages(spark, sf_dir)
+    store = gv.SnapshotTable(spark, scratch_path(spark, "stream-store"))
+    snap = ingest_message_stream(msg.read_messages(spark, path, files_per_trigger=100), store)
+    return snap.select("chunk_id", "content", F.col("pii_entities_count").cast("long").alias("pii_entities_count"))

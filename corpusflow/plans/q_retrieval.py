@@ -200,3 +200,18 @@ def q_search_response(spark, sf_dir):
         "query_id", "user_role",
         F.concat_ws(",", F.transform("sources", lambda s: s["doc_id"].cast("string"))).alias("source_ids"),
         "sources_count", "method")
+
+
+# ------------------------------------------------------------ text_index
+SQL_TEXT_INDEX = f"""WITH toks AS (SELECT doc_id, {toks('text')} AS t FROM documents)
+SELECT doc_id, term, dl::BIGINT AS dl, count(*)::BIGINT AS tf
+FROM (SELECT doc_id, len(t) AS dl, unnest(t) AS term FROM toks) GROUP BY doc_id, term, dl"""
+
+
+@register("text_index", SQL_TEXT_INDEX)
+def q_text_index(spark, sf_dir):
+    """The keyword index (postings with term frequency and document
+    length) over every document."""
+    idx = build_text_index(read_table(spark, sf_dir, "documents"))
+    return idx.postings.select("doc_id", "term", F.col("dl").cast("long").alias("dl"),
+                               F.col("tf").cast("long").alias("tf"))

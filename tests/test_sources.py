@@ -79,3 +79,22 @@ def test_poll_numbering(spark):
     numbered, _ = api.poll_endpoint(polls)
     out = read_back(spark, run_available(numbered, "test-polls"))
     assert sorted((r.poll_number, r.poll_time) for r in out.collect()) == [(1, "2024-01-02"), (2, "2024-01-03")]
+
+
+def test_ingest_objects_quarantine_and_stats(spark):
+    from corpusflow.operators.ingest import ingest_objects
+    root = scratch_path(spark, "test-ingest") + "/landing"
+    df = spark.createDataFrame([("a/1.txt", bytearray(b"call 555-123-4567 now")), ("a/2.pdf", bytearray(b"%PDF")),
+                                ("a/3.txt", bytearray(b"\xff\xfe bad")), ("a/4.md", bytearray(b""))],
+                               "key string, data binary")
+    files.land_objects(df, root)
+    store = gv.SnapshotTable(spark, scratch_path(spark, "test-ingest-store"))
+    r = ingest_objects(spark, root, store=store, extensions=[".txt", ".md", ".pdf"], run_id="t")
+    q = sorted((x.key, x.error) for x in r.quarantine.collect())
+    assert q == [("a/2.pdf", "no parser for route pdf"), ("a/3.txt", "invalid_utf8")]
+    s = r.stats.first()
+    # zero-length objects yield no file splits, so file sources never see them
+    assert (s.total, s.successful, s.failed, s.total_chunks) == (3, 1, 2, 1)
+    c = r.chunks.collect()
+    assert [x.content for x in c] == ["call ******4567 now"] and c[0].pii_entities_count == 1
+    assert r.lineage.first().chunk_count == 1 and r.version == 0
