@@ -67,7 +67,9 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Checkpoint folder + package shipping; idempotent."""
+    """Checkpoint folder + package shipping + UTC session time; idempotent."""
+    if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
     ship_package(spark)
     return spark

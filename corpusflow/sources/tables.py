@@ -10,6 +10,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 # (application id, path, size, mtime) -> path of the spread copy
 _SPREAD_COPIES: dict[tuple, str] = {}
+# Files smaller than this are cheap enough for one task; spreading them would
+# cost more (an extra write) than it saves.
+SPREAD_MIN_BYTES = 8 * 1024 * 1024
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -39,7 +42,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """``<sf_dir>/<name>.parquet`` as a DataFrame.
 
     If the table is under-split (fewer scan partitions than the default
-    parallelism, e.g. a single row group), it is rewritten once per session
+    parallelism, e.g. a single row group) and at least ``SPREAD_MIN_BYTES``
+    large, it is rewritten once per session
     as a spread Parquet copy in the shared checkpoint folder and read from
     there, so every later scan runs in parallel and keeps column pruning and
     filter pushdown. Tables with enough splits are read directly.
@@ -50,7 +54,10 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     target = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    key = (spark.sparkContext.applicationId, path, *_file_stamp(spark, path))
+    size, mtime = _file_stamp(spark, path)
+    if size < SPREAD_MIN_BYTES:
+        return df
+    key = (spark.sparkContext.applicationId, path, size, mtime)
     if key not in _SPREAD_COPIES:
         out = scratch_path(spark, f"spread-{name}")
         df.repartition(target).write.parquet(out)
