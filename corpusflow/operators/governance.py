@@ -16,8 +16,14 @@ from corpusflow.operators.sizing import sized_broadcast
 # ------------------------------------------------------------------ G1
 
 def _latest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
-    return rows.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+    """Newest row per key as an aggregation (``max_by`` over the order
+    columns): partial aggregation keeps one row per key per task before the
+    shuffle, so a key with a huge number of copies is not sorted in one task."""
+    others = [c for c in rows.columns if c not in keys]
+    # nulls in the order columns rank lowest (as desc_nulls_last would)
+    ordkey = F.struct(*[F.struct(F.col(c).isNotNull(), F.col(c)) for c in order])
+    best = F.max_by(F.struct(*[F.col(c) for c in others]), ordkey).alias("__best")
+    return rows.groupBy(*keys).agg(best).select(*keys, *[F.col(f"__best.{c}").alias(c) for c in others])
 
 
 def upsert(existing: DataFrame | None, updates: DataFrame, key: str | list[str] = "chunk_id",

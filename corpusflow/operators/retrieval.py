@@ -156,6 +156,7 @@ def bm25_scores(index: TextIndex, queries: DataFrame, k1: float = BM25_K1,
     idf = F.log(1.0 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = F.col("tf") + k1 * (1.0 - b + b * F.col("dl") / avgdl)
     w = idf * F.col("tf") * (k1 + 1.0) / norm
+    # dfreq has one row per distinct query term, already bounded by the check above
     scored = match.join(F.broadcast(dfreq), "term").join(sized_broadcast(qt), "term")
     if fields:
         scored = scored.where(filter_predicate(fields))

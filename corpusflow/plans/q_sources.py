@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpusflow.operators.sizing import sized_broadcast
 from corpusflow.plans import fixtures as fx
 from corpusflow.plans.registry import register
 from corpusflow.session import scratch_path
@@ -83,8 +84,8 @@ def _shipments(spark, sf_dir):
     li = read_table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.max("l_shipdate").alias("arrival_date"), F.sum("l_quantity").alias("weight_kg"))
     j = (o.join(c, o.o_custkey == c.c_custkey, "left")
-          .join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey, "left")
-          .join(F.broadcast(r), F.col("n_regionkey") == r.r_regionkey, "left")
+          .join(sized_broadcast(n), F.col("c_nationkey") == n.n_nationkey, "left")
+          .join(sized_broadcast(r), F.col("n_regionkey") == r.r_regionkey, "left")
           .join(li, o.o_orderkey == li.l_orderkey, "left"))
     return j.select(
         F.col("o_orderkey").alias("shipment_id"), F.col("o_custkey").alias("vendor_id"),
@@ -224,7 +225,7 @@ def q_produce_messages(spark, sf_dir):
 def _land_ports(spark, sf_dir):
     s = read_table(spark, sf_dir, "supplier")
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey, "left")
+    j = s.join(sized_broadcast(n), s.s_nationkey == n.n_nationkey, "left")
     port = F.struct(F.concat(F.lit("P"), F.col("s_suppkey").cast("string")).alias("port_code"),
                     F.col("n_name").alias("country"), F.lit("2024-01-01T00:00:00Z").alias("timestamp"),
                     F.col("s_acctbal").alias("congestion"), F.pmod("s_suppkey", F.lit(17)).alias("vessels_waiting"))
@@ -279,8 +280,8 @@ def _land_routes(spark, sf_dir):
     n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     o = n.select(F.col("n_nationkey").alias("ok"), F.col("n_name").alias("origin"))
     d = n.select(F.col("n_nationkey").alias("dk"), F.col("n_name").alias("destination"))
-    j = (s.join(F.broadcast(o), s.s_nationkey == o.ok, "left")
-          .join(F.broadcast(d), F.pmod(s.s_nationkey + 1, F.lit(25)) == d.dk, "left"))
+    j = (s.join(sized_broadcast(o), s.s_nationkey == o.ok, "left")
+          .join(sized_broadcast(d), F.pmod(s.s_nationkey + 1, F.lit(25)) == d.dk, "left"))
     route = F.struct("origin", "destination", F.concat(F.lit("carrier-"), F.pmod("s_suppkey", F.lit(5)).cast("string"))
                      .alias("carrier"), F.col("s_acctbal").alias("rate"), F.lit("2024-01-01").alias("timestamp"))
     pages = j.groupBy("s_nationkey", F.floor(F.col("s_suppkey") / 100).alias("blk")).agg(
