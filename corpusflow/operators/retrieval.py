@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.text import tokens
 from corpusflow.operators.index import TextIndex
-from corpusflow.operators.sizing import (bounded_count, minmax_normalize, rank_order,
-                                         sized_broadcast, top_k)
+from corpusflow.operators.sizing import (BROADCAST_MAX_ROWS, bounded_count, minmax_normalize,
+                                         rank_order, sized_broadcast, top_k)
 
 # Role -> security clearance levels the role may read. A role not
 # in the table reads public documents only; no role at all means no restriction.
@@ -359,14 +359,20 @@ def jaccard_scorer(query_text: Column, content: Column) -> Column:
 
 
 def rerank(fused: DataFrame, queries: DataFrame, docs_text: DataFrame,
-           scorer=jaccard_scorer, text_col: str = "text") -> DataFrame:
+           scorer=jaccard_scorer, text_col: str = "text", max_candidates: int | None = None) -> DataFrame:
     """``final = 0.7 * combined + 0.3 * rerank_score``.
 
-    Only candidates are scored: their ids are broadcast (size-checked) into the
-    document scan, so the corpus is filtered map-side instead of shuffled.
+    Only candidates are scored: their ids are broadcast into the document
+    scan, so the corpus is filtered map-side instead of shuffled. The
+    broadcast needs a size bound: ``max_candidates`` when the caller knows one
+    (hybrid search: queries x 4k), otherwise the ids are counted.
     """
     cands = fused.select("query_id", "doc_id", "combined_score", "sem_score", "bm25_score")
-    ids = sized_broadcast(cands.select("doc_id").distinct())
+    cand_ids = cands.select("doc_id").distinct()
+    if max_candidates is not None and max_candidates <= BROADCAST_MAX_ROWS:
+        ids = F.broadcast(cand_ids)
+    else:
+        ids = sized_broadcast(cand_ids)
     content = docs_text.select("doc_id", F.col(text_col).alias("content")).join(ids, "doc_id", "left_semi")
     q = sized_broadcast(queries.select("query_id", "query_text"))
     if scorer is jaccard_scorer:
@@ -409,7 +415,10 @@ def hybrid_search(corpus: HybridCorpus, queries: DataFrame, top_k_: int | None =
     bm = bm25_search(corpus.index, queries, 2 * k, docs=corpus.docs)
     fused = fuse(sem, bm, semantic_weight, bm25_weight)
     if enable_rerank:
-        fused = rerank(fused, queries, corpus.docs, scorer)
+        # at most 2k semantic + 2k keyword candidates per query; counting the
+        # (cheap) query table bounds the candidate list without running the search
+        nq = bounded_count(queries, BROADCAST_MAX_ROWS)
+        fused = rerank(fused, queries, corpus.docs, scorer, max_candidates=nq * 4 * k)
         score = "final_score"
     else:
         score = "combined_score"
