@@ -195,6 +195,19 @@ def row_chunks(rows: DataFrame, key_cols: list[str], order_cols: str | list[str]
                        F.to_json(F.struct(*[F.col(f"`{c}`") for c in columns])).alias("data"))
 
 
+def table_chunks(rows: DataFrame, key_cols: list[str], order_cols: str | list[str], columns: list[str],
+                 chunk_by: str = "row") -> DataFrame:
+    """P10: workbook chunks by ``row`` (header + one row each), ``sheet`` or
+    ``table`` (the whole sheet as one Markdown chunk; a sheet is one table)."""
+    if chunk_by == "row":
+        return row_chunks(rows, key_cols, order_cols, columns)
+    if chunk_by not in ("sheet", "table"):
+        raise ValueError(f"Unknown chunk_by: {chunk_by}")
+    r = render_sheets(rows, key_cols, order_cols, columns)
+    return r.select(*key_cols, F.col("markdown").alias("content"), F.lit("table").alias("type"),
+                    F.lit(f"excel_{chunk_by}").alias("format"), "num_rows", "num_columns")
+
+
 def select_sheets(sheets: DataFrame, parse_all_sheets: bool = True,
                   index_col: str = "sheet_index") -> DataFrame:
     """All sheets, or only the first of each workbook."""

@@ -55,3 +55,16 @@ def test_profile_and_records(spark):
     assert r.content == "a: 1\nb: None\nc: 2.5"
     one = ps.single_chunk(ps.records_to_text(df)).first()
     assert (one.chunk_index, one.total_chunks) == (0, 1)
+
+
+def test_table_chunks_modes(spark):
+    rows = spark.createDataFrame([(1, "s", 2, "b"), (1, "s", 1, "a"), (2, "s", 1, "c")],
+                                 "doc long, sheet string, n long, v string")
+    by_row = ps.table_chunks(rows, ["doc", "sheet"], ["n"], ["n", "v"], "row").orderBy("doc", "row_index").collect()
+    assert [(r.doc, r.row_index) for r in by_row] == [(1, 0), (1, 1), (2, 0)]
+    assert by_row[0].content == "| n | v |\n| --- | --- |\n| 1 | a |"
+    by_sheet = {r.doc: r.content for r in ps.table_chunks(rows, ["doc", "sheet"], ["n"], ["n", "v"], "sheet").collect()}
+    assert by_sheet[1] == "| n | v |\n| --- | --- |\n| 1 | a |\n| 2 | b |"
+    import pytest
+    with pytest.raises(ValueError):
+        ps.table_chunks(rows, ["doc"], ["n"], ["n"], "page")
