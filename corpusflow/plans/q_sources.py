@@ -125,15 +125,21 @@ def q_shipment_logs(spark, sf_dir):
                     F.round("weight_kg", 6).alias("weight_kg"), "region", "source_uri")
 
 
-@register("table_schema", """SELECT (row_number() OVER () - 1)::BIGINT AS position, column_name,
-       CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double'
-            WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS data_type,
-       "null" = 'YES' AS nullable
-FROM (DESCRIBE orders)""")
+ORDER_SCHEMA = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"),
+                ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string")]
+SQL_SCHEMA = "\nUNION ALL\n".join(
+    f"SELECT {i}::BIGINT AS position, '{c}' AS column_name, '{t}' AS data_type, TRUE AS nullable, "
+    f"count(*) FILTER (WHERE {c} IS NULL)::BIGINT AS null_count FROM orders"
+    for i, (c, t) in enumerate(ORDER_SCHEMA))
+
+
+@register("table_schema", SQL_SCHEMA)
 def q_table_schema(spark, sf_dir):
-    """Column names, types and nullability of the orders table."""
+    """Column names, types, nullability and observed null counts of the
+    orders table."""
     s = database.table_schema(read_table(spark, sf_dir, "orders"))
-    return s.select(F.col("position").cast("long").alias("position"), "column_name", "data_type", "nullable")
+    return s.select(F.col("position").cast("long").alias("position"), "column_name", "data_type", "nullable",
+                    F.col("null_count").cast("long").alias("null_count"))
 
 
 # ------------------------------------------------------------- messages

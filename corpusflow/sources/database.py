@@ -82,11 +82,16 @@ def ingest_shipment_logs(shipments: DataFrame, start_date: str, end_date: str |
 
 
 def table_schema(df: DataFrame) -> DataFrame:
-    """``column_name, data_type, nullable, column_default, is_primary_key``
-    from the DataFrame schema (defaults and keys exist only in JDBC metadata,
-    so they are null here)."""
-    spark = df.sparkSession
-    rows = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
-    s = spark.createDataFrame(rows, "position int, column_name string, data_type string, nullable boolean")
-    return s.withColumn("column_default", F.lit(None).cast("string")) \
-            .withColumn("is_primary_key", F.lit(None).cast("boolean"))
+    """``position, column_name, data_type, nullable, column_default,
+    is_primary_key`` from the schema (defaults and keys exist only in JDBC
+    metadata, so they are null here) plus ``null_count`` observed in the data,
+    all from one aggregation pass over the table."""
+    fields = df.schema.fields
+    counts = df.agg(*[F.count_if(F.col(f"`{f.name}`").isNull()).alias(f"__n{i}") for i, f in enumerate(fields)])
+    entries = F.array(*[F.struct(F.lit(i).alias("position"), F.lit(f.name).alias("column_name"),
+                                 F.lit(f.dataType.simpleString()).alias("data_type"),
+                                 F.lit(f.nullable).alias("nullable"), F.col(f"__n{i}").alias("null_count"))
+                        for i, f in enumerate(fields)])
+    return counts.select(F.inline(entries)) \
+                 .withColumn("column_default", F.lit(None).cast("string")) \
+                 .withColumn("is_primary_key", F.lit(None).cast("boolean"))
