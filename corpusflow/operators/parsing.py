@@ -46,15 +46,31 @@ def decode_utf8(df: DataFrame, bytes_col: str = "content", out_col: str = "text"
 
 # ------------------------------------------------------------------- P3-P6
 
+PAGE_BLOCK = 1024
+
+
 def join_pages(pages: DataFrame, doc_col: str = "document_id", page_col: str = "page",
-               text_col: str = "text") -> DataFrame:
+               text_col: str = "text", block: int = PAGE_BLOCK) -> DataFrame:
     """``(document_id, full_text, num_pages)``; non-empty page texts in
-    page order joined by a blank line. One group per document (its pages)."""
-    g = pages.groupBy(doc_col).agg(
-        F.array_sort(F.collect_list(F.struct(F.col(page_col).alias("p"), F.col(text_col).alias("t"))))
-        .alias("__pg"), F.count(F.lit(1)).alias("num_pages"))
-    texts = F.filter(F.transform("__pg", lambda x: x["t"]), lambda t: F.coalesce(F.length(t), F.lit(0)) > 0)
-    return g.select(doc_col, F.array_join(texts, "\n\n").alias("full_text"), "num_pages")
+    page order joined by a blank line.
+
+    Two-level: pages are first joined within blocks of ``block`` page numbers
+    (``page div block``), then the block texts per document. A document with a
+    huge number of pages is thus pre-aggregated in parallel and its final
+    group holds one partial text per block, not one entry per page."""
+    nonempty = lambda t: F.coalesce(F.length(t), F.lit(0)) > 0
+    ordered = lambda c: F.transform(F.array_sort(c), lambda x: x["t"])
+    part = pages.groupBy(doc_col, F.floor(F.col(page_col) / block).alias("__blk")).agg(
+        F.array_join(F.filter(ordered(F.collect_list(F.struct(F.col(page_col).alias("p"),
+                                                              F.col(text_col).alias("t")))), nonempty),
+                     "\n\n").alias("__part"),
+        F.count(F.lit(1)).alias("__n"))
+    g = part.groupBy(doc_col).agg(
+        F.array_join(F.filter(ordered(F.collect_list(F.struct(F.col("__blk").alias("p"),
+                                                              F.col("__part").alias("t")))), nonempty),
+                     "\n\n").alias("full_text"),
+        F.sum("__n").alias("num_pages"))
+    return g
 
 
 # Contract field patterns.

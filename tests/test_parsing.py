@@ -68,3 +68,11 @@ def test_table_chunks_modes(spark):
     import pytest
     with pytest.raises(ValueError):
         ps.table_chunks(rows, ["doc"], ["n"], ["n"], "page")
+
+
+def test_join_pages_multi_block(spark):
+    rows = [(1, p, f"p{p}" if p % 3 else "") for p in range(1, 11)]
+    pages = spark.createDataFrame(rows, "document_id long, page long, text string")
+    got = ps.join_pages(pages, block=2).first()
+    assert got.full_text == "\n\n".join(f"p{p}" for p in range(1, 11) if p % 3)
+    assert got.num_pages == 10
