@@ -29,7 +29,8 @@ def csv_field(c: Column) -> Column:
     """One CSV field: quoted (quotes doubled) when it holds a comma, quote,
     CR or LF; null is empty."""
     v = F.coalesce(c, F.lit(""))
-    return F.when(v.rlike('[,"\r\n]'), F.concat(F.lit('"'), F.regexp_replace(v, '"', '""'), F.lit('"'))) \
+    needs = v.contains(",") | v.contains('"') | v.contains("\r") | v.contains("\n")
+    return F.when(needs, F.concat(F.lit('"'), F.replace(v, F.lit('"'), F.lit('""')), F.lit('"'))) \
             .otherwise(v)
 
 
@@ -39,7 +40,9 @@ def csv_line(cells: Column) -> Column:
 
 def html_escape(c: Column) -> Column:
     v = F.coalesce(c, F.lit(""))
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(v, "&", "&amp;"), "<", "&lt;"), ">", "&gt;")
+    # literal replacements (no regex engine per cell)
+    return F.replace(F.replace(F.replace(v, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
+                     F.lit(">"), F.lit("&gt;"))
 
 
 def html_row(cells: Column, tag: str = "td") -> Column:
