@@ -106,3 +106,21 @@ def unit_vectors(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embeddin
     return df.select(F.col(id_col).alias(out_id),
                      F.when(norm > 0, F.transform(v, lambda x: x / norm))
                      .otherwise(v).alias("uvec"))
+
+
+def build_vector_index(vectors: DataFrame, docs: DataFrame | None = None, path: str | None = None,
+                       id_col: str = "doc_id", vec_col: str = "embedding",
+                       meta_cols: list[str] | None = None) -> DataFrame:
+    """R12 (vectors): ``(doc_id, embedding, <filter columns>)``. The filter
+    columns of ``docs`` are joined on once here, so filtered vector searches
+    read them from the index instead of joining metadata per query batch.
+    With ``path`` the index is written to the shared folder and read back."""
+    v = vectors.select(F.col(id_col).alias("doc_id"), F.col(vec_col).alias("embedding"))
+    if docs is not None:
+        meta = list(meta_cols) if meta_cols is not None else [c for c in FILTER_DOC_COLUMNS if c in docs.columns]
+        if meta:
+            v = v.join(docs.select("doc_id", *meta), "doc_id")
+    if path is None:
+        return v
+    v.write.mode("overwrite").parquet(path)
+    return vectors.sparkSession.read.parquet(path)

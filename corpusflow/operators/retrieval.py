@@ -55,11 +55,12 @@ BM25_DIGITS = 9
 
 
 def clearance_for_role(role: Column) -> Column:
-    """R7 as a column: allowed clearance array for a role column."""
+    """R7 as a column: allowed clearance array for a role column. A null or
+    empty role means no restriction; an unknown role reads public only."""
     m = F.create_map(*[x for r, lv in ROLE_CLEARANCE.items()
                        for x in (F.lit(r), F.array(*[F.lit(v) for v in lv]))])
     default = F.array(*[F.lit(v) for v in DEFAULT_CLEARANCE])
-    return F.when(role.isNull(), F.lit(None).cast("array<string>")) \
+    return F.when(role.isNull() | (role == ""), F.lit(None).cast("array<string>")) \
             .otherwise(F.coalesce(F.element_at(m, role), default))
 
 
@@ -249,11 +250,13 @@ def knn_candidates(queries: DataFrame, vectors: DataFrame, k: int,
     blocks and paired with document blocks through a keyed cogroup.
     """
     queries = with_clearance(queries)
-    fields = _active_filters(queries, docs)
+    fields = _active_filters(queries, docs if docs is not None else vectors)
     meta_cols = sorted({f[1] for f in fields})
     d = vectors
-    if meta_cols:
-        d = d.join(docs.select("doc_id", *meta_cols), "doc_id")
+    missing = [c for c in meta_cols if c not in vectors.columns]
+    if missing:
+        # a vector index built with build_vector_index carries these already
+        d = d.join(docs.select("doc_id", *missing), "doc_id")
     d = d.select("doc_id", F.col("embedding"), *meta_cols)
     q = queries.select("query_id", F.col(qvec_col).alias("qvec"), *[f[0] for f in fields]) \
                .where(F.col("qvec").isNotNull())

@@ -135,3 +135,29 @@ def test_hybrid_default_k(spark):
     assert sorted(r["rank"] for r in res) == [1, 2, 3, 4, 5]
     resp = rt.query_response(rt.hybrid_search(corpus, q, 3), q).collect()[0]
     assert resp.sources_count == 3 and [s["rank"] for s in resp.sources] == [1, 2, 3]
+
+
+def test_empty_role_is_unrestricted(spark):
+    df = spark.createDataFrame([("",)], "r string")
+    assert df.select(rt.clearance_for_role(F.col("r")).alias("a")).first().a is None
+
+
+def test_vector_index_carries_filters(spark):
+    from corpusflow.operators.index import build_vector_index
+    m = _vectors(12, 4)
+    vecs = spark.createDataFrame([(i, m[i].tolist()) for i in range(12)], "doc_id long, embedding array<double>")
+    docs = spark.createDataFrame([(i, ["public", "internal", "confidential", "restricted"][i % 4]) for i in range(12)],
+                                 "doc_id long, security_clearance string")
+    vidx = build_vector_index(vecs, docs, path=scratch_path(spark, "test-vidx"))
+    assert "security_clearance" in vidx.columns
+    q = spark.createDataFrame([(1, m[0].tolist(), "viewer")], "query_id long, qvec array<double>, user_role string")
+    got = {r.doc_id for r in rt.vector_search(q, vidx, k=12).collect()}
+    assert got == {i for i in range(12) if i % 4 == 0}
+
+
+def test_similar_documents_unknown_id(spark):
+    m = _vectors(6, 4)
+    vecs = spark.createDataFrame([(i, m[i].tolist()) for i in range(6)], "doc_id long, embedding array<double>")
+    q = spark.createDataFrame([(99,), (2,)], "query_id long")
+    res = rt.similar_documents(vecs, k=2, queries=q).collect()
+    assert {r.query_id for r in res} == {2} and all(r.doc_id != 2 for r in res)
