@@ -38,6 +38,17 @@ def read_messages(spark: SparkSession, path: str | None = None, kafka_options: d
                 .option("timestampFormat", TS_FORMAT).json(path)
 
 
+def consume_messages(spark: SparkSession, path: str | None = None, kafka_options: dict | None = None,
+                     max_messages: int | None = 100) -> DataFrame:
+    """S9 bounded read: decoded envelopes of at most ``max_messages``
+    messages, taken in (partition, offset) order (the cap is the feature);
+    ``None`` reads everything available."""
+    m = read_messages(spark, path, kafka_options, streaming=False)
+    if max_messages is not None:
+        m = m.orderBy("partition", "offset").limit(max_messages)
+    return decode_messages(m)
+
+
 def message_uri(topic: Column, partition: Column, offset: Column) -> Column:
     return F.concat(F.lit("kafka://"), topic, F.lit("/"), partition.cast("string"), F.lit("/"),
                     offset.cast("string"))

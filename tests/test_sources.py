@@ -98,3 +98,10 @@ def test_ingest_objects_quarantine_and_stats(spark):
     c = r.chunks.collect()
     assert [x.content for x in c] == ["call ******4567 now"] and c[0].pii_entities_count == 1
     assert r.lineage.first().chunk_count == 1 and r.version == 0
+
+
+def test_consume_messages_cap(spark):
+    path = fx.land_messages(spark, SF001, 100)
+    got = msg.consume_messages(spark, path, max_messages=7).collect()
+    assert len(got) == 7
+    assert sorted((r.metadata.partition, r.metadata.offset) for r in got) == [(0, i) for i in range(7)]
