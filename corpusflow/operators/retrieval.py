@@ -54,21 +54,29 @@ COSINE_DIGITS = 6
 BM25_DIGITS = 9
 
 
-def clearance_for_role(role: Column) -> Column:
-    """R7 as a column: allowed clearance array for a role column. A null or
-    empty role means no restriction; an unknown role reads public only."""
+def clearance_for_role(role: Column, unrestricted: bool = True) -> Column:
+    """R7 as a column: allowed clearance array for a role column. An unknown
+    role reads public only. A null or empty role means no restriction when
+    ``unrestricted`` (the reference behaviour), else public only."""
     m = F.create_map(*[x for r, lv in ROLE_CLEARANCE.items()
                        for x in (F.lit(r), F.array(*[F.lit(v) for v in lv]))])
     default = F.array(*[F.lit(v) for v in DEFAULT_CLEARANCE])
-    return F.when(role.isNull() | (role == ""), F.lit(None).cast("array<string>")) \
+    no_role = F.lit(None).cast("array<string>") if unrestricted else default
+    return F.when(role.isNull() | (role == ""), no_role) \
             .otherwise(F.coalesce(F.element_at(m, role), default))
 
 
-def with_clearance(queries: DataFrame, role_col: str = "user_role") -> DataFrame:
-    """Add ``allowed_clearance`` from the role (kept if already present)."""
-    if "allowed_clearance" in queries.columns or role_col not in queries.columns:
+def with_clearance(queries: DataFrame, role_col: str = "user_role", unrestricted: bool = True) -> DataFrame:
+    """Add ``allowed_clearance`` from the role (kept if already present).
+    Without a role column, nothing is added when ``unrestricted``; otherwise
+    every query reads public documents only."""
+    if "allowed_clearance" in queries.columns:
         return queries
-    return queries.withColumn("allowed_clearance", clearance_for_role(F.col(role_col)))
+    if role_col not in queries.columns:
+        if unrestricted:
+            return queries
+        return queries.withColumn("allowed_clearance", F.array(*[F.lit(v) for v in DEFAULT_CLEARANCE]))
+    return queries.withColumn("allowed_clearance", clearance_for_role(F.col(role_col), unrestricted))
 
 
 def _active_filters(queries: DataFrame, docs: DataFrame | None):
@@ -405,15 +413,19 @@ class HybridCorpus:
 
 def hybrid_search(corpus: HybridCorpus, queries: DataFrame, top_k_: int | None = DEFAULT_TOP_K,
                   semantic_weight: float = SEMANTIC_WEIGHT, bm25_weight: float = BM25_WEIGHT,
-                  enable_rerank: bool = True, scorer=jaccard_scorer) -> DataFrame:
+                  enable_rerank: bool = True, scorer=jaccard_scorer, unrestricted: bool = False) -> DataFrame:
     """role/metadata filters -> 2k semantic + 2k keyword candidates ->
     normalise -> fuse -> (rerank) -> top k. ``top_k_`` 0/None means 5.
 
+    Fail-closed: a query without a role reads public documents only unless
+    ``unrestricted=True`` is passed (then, as in the reference, no role means
+    no restriction).
+
     Returns ``query_id, doc_id, sem_score, bm25_score, combined_score,
     [rerank_score, final_score], rank``.
     """
     k = top_k_ or DEFAULT_TOP_K
-    queries = with_clearance(queries)
+    queries = with_clearance(queries, unrestricted=unrestricted)
     sem = vector_search(queries, corpus.vectors, 2 * k, docs=corpus.docs)
     bm = bm25_search(corpus.index, queries, 2 * k, docs=corpus.docs)
     fused = fuse(sem, bm, semantic_weight, bm25_weight)

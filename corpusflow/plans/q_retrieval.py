@@ -145,7 +145,8 @@ def _hybrid(spark, sf_dir, with_roles, with_filters, rerank):
     docs = fx.corpus_docs(spark, sf_dir)
     corpus = HybridCorpus(index=build_text_index(docs), vectors=fx.doc_vectors(spark, sf_dir), docs=docs)
     q = fx.filtered_queries(spark, sf_dir) if with_filters else fx.hybrid_queries(spark, sf_dir, with_roles)
-    res = hybrid_search(corpus, q, HYB_K, enable_rerank=rerank)
+    # queries without roles are searched unrestricted on purpose (R9 opt-in)
+    res = hybrid_search(corpus, q, HYB_K, enable_rerank=rerank, unrestricted=not with_roles)
     cols = ["query_id", "doc_id", F.col("rank").cast("long").alias("rank"),
             r6("sem_score"), r6("bm25_score"), r6("combined_score")]
     if rerank:

@@ -161,3 +161,15 @@ def test_similar_documents_unknown_id(spark):
     q = spark.createDataFrame([(99,), (2,)], "query_id long")
     res = rt.similar_documents(vecs, k=2, queries=q).collect()
     assert {r.query_id for r in res} == {2} and all(r.doc_id != 2 for r in res)
+
+
+def test_hybrid_fail_closed_without_role(spark):
+    docs = spark.createDataFrame([(i, t, ["public", "internal"][i % 2]) for i, t in DOCS],
+                                 "doc_id long, text string, security_clearance string")
+    m = _vectors(5, 4)
+    vecs = spark.createDataFrame([(i + 1, m[i].tolist()) for i in range(5)], "doc_id long, embedding array<double>")
+    corpus = rt.HybridCorpus(build_text_index(docs), vecs, docs)
+    q = spark.createDataFrame([(1, "singapore port", m[0].tolist())], "query_id long, query_text string, qvec array<double>")
+    closed = {r.doc_id for r in rt.hybrid_search(corpus, q, 5).collect()}
+    opened = {r.doc_id for r in rt.hybrid_search(corpus, q, 5, unrestricted=True).collect()}
+    assert closed == {2, 4} and opened == {1, 2, 3, 4, 5}
