@@ -26,6 +26,18 @@ def read_responses(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+def read_responses_checked(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """Landed responses split into parsed rows and a quarantine of lines that
+    are not valid JSON (``raw_response``, ``error``), so failed landings are
+    counted instead of silently becoming empty results."""
+    lines = spark.read.text(path)
+    valid = F.try_parse_json("value").isNotNull()
+    good = lines.where(valid).select(F.from_json("value", schema).alias("__r")).select("__r.*")
+    bad = lines.where(~valid).select(F.col("value").alias("raw_response"),
+                                     F.lit("malformed response").alias("error"))
+    return good, bad
+
+
 def _api_meta(api_name: str, document_type: str, uri, **extra):
     return F.struct(F.lit("api").alias("source_type"), F.lit(api_name).alias("api_name"),
                     F.lit(document_type).alias("document_type"), uri.alias("source_uri"),

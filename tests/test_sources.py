@@ -105,3 +105,12 @@ def test_consume_messages_cap(spark):
     got = msg.consume_messages(spark, path, max_messages=7).collect()
     assert len(got) == 7
     assert sorted((r.metadata.partition, r.metadata.offset) for r in got) == [(0, i) for i in range(7)]
+
+
+def test_landed_responses_quarantine(spark):
+    path = scratch_path(spark, "test-resp")
+    spark.createDataFrame([('{"ports": [{"port_code": "P1", "country": "X"}]}',), ("<html>502</html>",)], "value string") \
+        .write.text(path)
+    good, bad = api.read_responses_checked(spark, path, api.PORTS_SCHEMA)
+    assert [r.metadata.port_code for r in api.port_congestion(good).collect()] == ["P1"]
+    assert [r.raw_response for r in bad.collect()] == ["<html>502</html>"]
