@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.text import tokens
 from corpusflow.operators.index import TextIndex
-from corpusflow.operators.sizing import (BROADCAST_MAX_ROWS, bounded_count, minmax_normalize,
+from corpusflow.operators.sizing import (BROADCAST_MAX_ROWS, bounded_count, fits, minmax_normalize,
                                          sized_broadcast, top_k)
 
 # Role -> security clearance levels the role may read. A role not
@@ -150,7 +150,11 @@ def bm25_scores(index: TextIndex, queries: DataFrame, k1: float = BM25_K1,
     qt = query_terms(queries, text_col)
     if fields:
         qt = qt.join(queries.select("query_id", *[f[0] for f in fields]), "query_id")
-    terms = sized_broadcast(qt.select("term").distinct())
+    # one size check bounds both: distinct terms never outnumber (query, term) pairs
+    small = fits(qt)
+    terms = qt.select("term").distinct()
+    terms = F.broadcast(terms) if small else sized_broadcast(terms)
+    qt_side = F.broadcast(qt) if small else qt
     # Postings of query terms only. A semi-join on the grouping key is pushed
     # below the postings aggregation, so with a lazy index only matching
     # tokens are counted; the term list is broadcast, so the large side is
@@ -166,7 +170,7 @@ def bm25_scores(index: TextIndex, queries: DataFrame, k1: float = BM25_K1,
     norm = F.col("tf") + k1 * (1.0 - b + b * F.col("dl") / avgdl)
     w = idf * F.col("tf") * (k1 + 1.0) / norm
     # dfreq has one row per distinct query term, already bounded by the check above
-    scored = match.join(F.broadcast(dfreq), "term").join(sized_broadcast(qt), "term")
+    scored = match.join(F.broadcast(dfreq), "term").join(qt_side, "term")
     if fields:
         scored = scored.where(filter_predicate(fields))
     return scored.select("query_id", "doc_id", w.alias("w")) \

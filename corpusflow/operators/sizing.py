@@ -15,6 +15,11 @@ def bounded_count(df: DataFrame, bound: int) -> int:
     return df.limit(bound + 1).count()
 
 
+def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """True if ``df`` provably has at most ``max_rows`` rows."""
+    return bounded_count(df, max_rows) <= max_rows
+
+
 def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Broadcast ``df`` only if it provably has at most ``max_rows`` rows;
     otherwise return it unchanged so the join shuffles."""
