@@ -76,3 +76,16 @@ def test_join_pages_multi_block(spark):
     got = ps.join_pages(pages, block=2).first()
     assert got.full_text == "\n\n".join(f"p{p}" for p in range(1, 11) if p % 3)
     assert got.num_pages == 10
+
+
+def test_select_sheets_and_bill_of_lading(spark):
+    sheets = spark.createDataFrame([(1, 0, "lines"), (1, 1, "summary"), (2, 0, "lines")],
+                                   "workbook long, sheet_index int, sheet_name string")
+    assert ps.select_sheets(sheets, True).count() == 3
+    assert sorted(r.sheet_name for r in ps.select_sheets(sheets, False).collect()) == ["lines", "lines"]
+    pages = spark.createDataFrame([(7, 1, "BOL 123"), (7, 2, "Consignee: ACME")], "document_id long, page long, text string")
+    tables = spark.createDataFrame([(7, 1, 0, [["item", "qty"], ["bolts", "5"]])],
+                                   "document_id long, page long, table_index long, cells array<array<string>>")
+    r = ps.bill_of_lading(pages, tables).first()
+    assert r.document_type == "bill_of_lading" and r.full_text == "BOL 123\n\nConsignee: ACME"
+    assert r.tables[0].markdown == "| item | qty |\n| --- | --- |\n| bolts | 5 |" and r.parsed_at is not None
