@@ -273,17 +273,18 @@ def knn_candidates(queries: DataFrame, vectors: DataFrame, k: int,
     q = queries.select("query_id", F.col(qvec_col).alias("qvec"), *[f[0] for f in fields]) \
                .where(F.col("qvec").isNotNull())
 
+    # queries are collected for broadcasting only below a byte bound (rows x
+    # dims x 8); one bounded collect both checks and fetches them
     dim_guess = 3072
     max_rows = max(1, QUERY_BROADCAST_BYTES // (8 * dim_guess))
-    nq = bounded_count(q, max_rows)
-    if nq <= max_rows:
-        return _knn_broadcast(q, d, k, exclude_self, fields)
+    qpdf = q.limit(max_rows + 1).toPandas()
+    if len(qpdf) <= max_rows:
+        return _knn_broadcast(qpdf, d, k, exclude_self, fields)
     return _knn_blocked(q, d, k, exclude_self, fields)
 
 
-def _knn_broadcast(q, d, k, exclude_self, fields):
-    qpdf = q.toPandas()  # bounded above by the size check
-    spark = q.sparkSession
+def _knn_broadcast(qpdf, d, k, exclude_self, fields):
+    spark = d.sparkSession
     payload = {
         "ids": qpdf["query_id"].to_numpy(dtype=np.int64),
         "mat": _unit_rows(qpdf["qvec"]) if len(qpdf) else np.zeros((0, 1)),
@@ -374,7 +375,8 @@ def jaccard_scorer(query_text: Column, content: Column) -> Column:
 
 
 def rerank(fused: DataFrame, queries: DataFrame, docs_text: DataFrame,
-           scorer=jaccard_scorer, text_col: str = "text", max_candidates: int | None = None) -> DataFrame:
+           scorer=jaccard_scorer, text_col: str = "text", max_candidates: int | None = None,
+           n_queries: int | None = None) -> DataFrame:
     """``final = 0.7 * combined + 0.3 * rerank_score``.
 
     Only candidates are scored: their ids are broadcast into the document
@@ -389,7 +391,8 @@ def rerank(fused: DataFrame, queries: DataFrame, docs_text: DataFrame,
     else:
         ids = sized_broadcast(cand_ids)
     content = docs_text.select("doc_id", F.col(text_col).alias("content")).join(ids, "doc_id", "left_semi")
-    q = sized_broadcast(queries.select("query_id", "query_text"))
+    qsel = queries.select("query_id", "query_text")
+    q = F.broadcast(qsel) if n_queries is not None and n_queries <= BROADCAST_MAX_ROWS else sized_broadcast(qsel)
     if scorer is jaccard_scorer:
         # distinct tokens once per candidate document (not once per pair)
         dt = content.select("doc_id", F.array_distinct(tokens(F.col("content"))).alias("dtoks"))
@@ -437,7 +440,7 @@ def hybrid_search(corpus: HybridCorpus, queries: DataFrame, top_k_: int | None =
         # at most 2k semantic + 2k keyword candidates per query; counting the
         # (cheap) query table bounds the candidate list without running the search
         nq = bounded_count(queries, BROADCAST_MAX_ROWS)
-        fused = rerank(fused, queries, corpus.docs, scorer, max_candidates=nq * 4 * k)
+        fused = rerank(fused, queries, corpus.docs, scorer, max_candidates=nq * 4 * k, n_queries=nq)
         score = "final_score"
     else:
         score = "combined_score"
