@@ -158,16 +158,42 @@ def job_status(runs: DataFrame, job_id: str | None = None) -> DataFrame:
 
 
 def versioned_index(versions: DataFrame, key: str = "doc_id", ts_col: str = "ingest_ts",
-                    content_col: str = "content") -> DataFrame:
+                    content_col: str = "content", slices: int | None = None) -> DataFrame:
     """Audit history per document. Consecutive ingests with unchanged
     content (same sha2) collapse into one version; each version gets
     ``version`` (1, 2, ...), ``valid_from``, ``valid_to`` (next version's
-    start, null for the current one) and ``is_current``."""
-    w = Window.partitionBy(key).orderBy(ts_col)
-    h = versions.withColumn("content_sha", F.sha2(F.col(content_col), 256))
-    changed = h.withColumn("__prev", F.lag("content_sha").over(w)) \
-               .where(F.col("__prev").isNull() | (F.col("__prev") != F.col("content_sha"))).drop("__prev")
-    return (changed.withColumn("version", F.row_number().over(w))
-                   .withColumn("valid_from", F.col(ts_col))
-                   .withColumn("valid_to", F.lead(ts_col).over(w))
-                   .withColumn("is_current", F.col("valid_to").isNull()))
+    start, null for the current one) and ``is_current``.
+
+    Skew-safe: the ordering work runs on a narrow ``(key, ts, sha)`` skeleton
+    range-partitioned by ``(key, ts)``, so one document with a huge history is
+    split over many slices. Lags and numbering are computed inside each
+    ``(key, slice)`` and stitched across slice boundaries through a small
+    per-slice summary (at most one row per slice per document). The content is
+    joined back once on ``(key, ts)``.
+    """
+    spark = versions.sparkSession
+    n = slices or spark.sparkContext.defaultParallelism
+    sha = F.sha2(F.col(content_col), 256)
+    sk = (versions.select(key, ts_col, sha.alias("content_sha"))
+          .repartitionByRange(n, key, ts_col).withColumn("__s", F.spark_partition_id()))
+    w_in = Window.partitionBy(key, "__s").orderBy(ts_col)
+    sk = sk.withColumn("__prev", F.lag("content_sha").over(w_in)).withColumn("__rn", F.row_number().over(w_in))
+    # last hash of every slice, and the previous slice's last hash per document
+    w_doc = Window.partitionBy(key).orderBy("__s")
+    ends = sk.groupBy(key, "__s").agg(F.max_by("content_sha", ts_col).alias("__last")) \
+             .withColumn("__prev_slice", F.lag("__last").over(w_doc)).drop("__last")
+    sk = sk.join(ends, [key, "__s"])
+    prev = F.when(F.col("__rn") == 1, F.col("__prev_slice")).otherwise(F.col("__prev"))
+    kept = sk.where(prev.isNull() | (prev != F.col("content_sha"))).select(key, ts_col, "content_sha", "__s")
+    kept = kept.withColumn("__kr", F.row_number().over(w_in)).withColumn("__next", F.lead(ts_col).over(w_in))
+    # kept versions before each slice, and the first kept start of the next slice
+    summ = kept.groupBy(key, "__s").agg(F.count(F.lit(1)).alias("__kc"), F.min(ts_col).alias("__first"))
+    summ = summ.withColumn("__offset", F.coalesce(F.sum("__kc").over(
+                 w_doc.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))) \
+               .withColumn("__next_slice", F.lead("__first").over(w_doc)).select(key, "__s", "__offset", "__next_slice")
+    kept = kept.join(summ, [key, "__s"])
+    valid_to = F.coalesce(F.col("__next"), F.col("__next_slice"))
+    hist = kept.select(key, ts_col, "content_sha", (F.col("__offset") + F.col("__kr")).alias("version"),
+                       F.col(ts_col).alias("valid_from"), valid_to.alias("valid_to"),
+                       valid_to.isNull().alias("is_current"))
+    return versions.join(hist, [key, ts_col])

@@ -114,3 +114,17 @@ def test_landed_responses_quarantine(spark):
     good, bad = api.read_responses_checked(spark, path, api.PORTS_SCHEMA)
     assert [r.metadata.port_code for r in api.port_congestion(good).collect()] == ["P1"]
     assert [r.raw_response for r in bad.collect()] == ["<html>502</html>"]
+
+
+def test_versioned_index_hot_document(spark):
+    # one document with a long history split over many slices, plus a cold one
+    rows = [(1, f"v{i // 3}", i) for i in range(300)] + [(2, "a", 0), (2, "a", 1), (2, "b", 2), (2, "a", 3)]
+    df = spark.createDataFrame(rows, "doc_id long, content string, t long") \
+        .withColumn("ingest_ts", F.timestamp_seconds("t")).drop("t")
+    got = gv.versioned_index(df, slices=16).orderBy("doc_id", "version").collect()
+    hot = [r for r in got if r.doc_id == 1]
+    assert [r.version for r in hot] == list(range(1, 101))
+    assert [r.content for r in hot] == [f"v{i}" for i in range(100)]
+    assert all(a.valid_to == b.valid_from for a, b in zip(hot, hot[1:])) and hot[-1].is_current
+    cold = [(r.version, r.content, r.is_current) for r in got if r.doc_id == 2]
+    assert cold == [(1, "a", False), (2, "b", False), (3, "a", True)]
