@@ -29,6 +29,8 @@ PATTERNS = {
     "IBAN_CODE": IBAN,
 }
 ENTITY_TYPES = list(PATTERNS)
+# A character every match of the pattern contains (used to skip passes).
+REQUIRED_CHAR = {"EMAIL_ADDRESS": "@", "US_SSN": "-"}
 MASK_CHAR = "*"
 
 
@@ -120,6 +122,11 @@ def mask_text_columns(df, text_col: str, out_col: str, findings_col: str,
         if entities is not None and et not in entities:
             continue
         pieces, hits = split_matches(F.col(out_col), et)
+        if et in REQUIRED_CHAR:
+            # cheap literal test first: no required character, no match possible
+            has = F.col(out_col).contains(REQUIRED_CHAR[et])
+            pieces = F.when(has, pieces).otherwise(F.array(F.col(out_col)))
+            hits = F.when(has, hits).otherwise(F.array().cast("array<string>"))
         df = df.withColumns({"__pcs": pieces, "__hts": hits})
         df = df.withColumns({
             out_col: F.when(F.col(out_col).isNull(), F.lit(None).cast("string"))
