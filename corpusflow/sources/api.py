@@ -89,8 +89,8 @@ def custom_api(responses: DataFrame, api_name: str, document_type: str, data_pat
     path = "$" + "".join(f".{k}" for k in data_path.split(".")) if data_path else "$"
     node = F.try_variant_get(v, path, "variant")
     node = F.coalesce(node, F.parse_json(F.lit("{}")))
-    is_list = F.schema_of_variant(node).startswith("ARRAY")
-    items = F.when(is_list, F.try_variant_get(node, "$", "array<variant>")).otherwise(F.array(node))
+    as_list = F.try_variant_get(node, "$", "array<variant>")
+    items = F.when(as_list.isNotNull(), as_list).otherwise(F.array(node))
     r = responses.withColumn("__resp", F.monotonically_increasing_id()) if "response_id" not in responses.columns \
         else responses.withColumnRenamed("response_id", "__resp")
     x = r.select(F.col("__resp").alias("response_id"), F.posexplode(items).alias("item_index", "item"))
