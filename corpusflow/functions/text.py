@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 # Token and whitespace rules shared by indexing, ranking and
 # chunking. Tokens are maximal runs of Unicode letters or digits, lower-cased.
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
-# Sentence boundary: whitespace run that follows one of . ! ? (Unicode \s).
-SENTENCE_SPLIT = r"(?U)(?<=[.!?])\s+"
+# Whitespace as Python's str.isspace() defines it: Unicode White_Space plus the
+# separators U+001C-U+001F (Java's (?U)\s lacks those four).
+WS = r"[\s\x1c-\x1f]"
+# Sentence boundary: whitespace run that follows one of . ! ?
+SENTENCE_SPLIT = r"(?U)(?<=[.!?])" + WS + "+"
 
 
 def col_of(c) -> Column:
@@ -18,7 +21,7 @@ def col_of(c) -> Column:
 
 def ustrip(c) -> Column:
     """Strip leading/trailing Unicode whitespace (``trim`` only strips spaces)."""
-    return F.regexp_replace(col_of(c), r"(?U)^\s+|\s+$", "")
+    return F.regexp_replace(col_of(c), "(?U)^" + WS + "+|" + WS + "+$", "")
 
 
 def tokens(c) -> Column:
