@@ -3,10 +3,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from corpusflow.plans.registry import QUERIES, load_all
 from corpusflow.sources.tables import TABLES
 from tests.conftest import SF001
 
-NAMES = sorted(E.queries())
+load_all()
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -28,7 +30,7 @@ def test_entry(spark):
 
 
 def test_oracles_cover_queries():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(NAMES) - set(E.oracle_sql())
     assert missing == {"chunk_recursive", "chunk_parent_child"}
 
 
