@@ -30,6 +30,11 @@ def id_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(col(id_col).alias("doc_id"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def held_out(id_col: str, parts: int, part: int) -> Column:
+    """Whether crc32 of the id as text, modulo ``parts``, is ``part``; a null id counts as empty text."""
+    return F.crc32(F.coalesce(col(id_col).cast("string"), F.lit("")).cast("binary")) % parts == part
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared scratch folder and read it from there.
 

@@ -101,7 +101,8 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, **options) -> tuple[Da
             .groupBy("h", "text").agg(F.count("*").alias("n")).where("n > 1")
             .select("h", F.unhex(F.sha2("text", 256)).alias("sha")))
     best = F.max(F.struct("doc_id", F.negative("rid").alias("rid")))
-    classes = (narrow.join(same, ["h", "sha"]).groupBy("h", "sha").agg(best.alias("best"), F.count("*").alias("n"))
+    copies = narrow.groupBy("h", "sha").agg(best.alias("best"), F.count("*").alias("n")).where("n > 1")
+    classes = (copies.join(same, ["h", "sha"])
                .select("h", "sha", F.col("best.doc_id").alias("keep_id"), (-F.col("best.rid")).alias("keep_rid"), "n"))
     return narrow, stored(classes, "copy-classes")
 

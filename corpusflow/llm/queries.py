@@ -8,6 +8,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusflow.session import prepare
@@ -34,6 +35,27 @@ def op1(spark, sf_dir):
     return simhash_components(spark.read.parquet(f"{sf_dir}/documents.parquet"), shingle=3, radius=3)
 
 
+@query("op2_decontaminate")
+def op2(spark, sf_dir):
+    from corpusflow.llm.decontaminate import leaks
+    return leaks(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("tiles")
+
+
+@query("op3_byte_bpe")
+def op3(spark, sf_dir):
+    from corpusflow.llm.bpe import encode_documents
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op4_lm_score")
+def op4(spark, sf_dir):
+    from corpusflow.llm.common import held_out
+    from corpusflow.llm.lm_score import score, train
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return score(docs, train(docs.where(~held_out("doc_id", 7, 2)))).withColumn("held_out", held_out("doc_id", 7, 2))
+
+
 @query("op5_exact_dedup", """
 SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
@@ -41,3 +63,46 @@ FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""")
 def op5(spark, sf_dir):
     from corpusflow.llm.exact_dedup import exact_dedup
     return exact_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+@query("op6_licenses")
+def op6(spark, sf_dir):
+    from corpusflow.llm.licenses import scan
+    return scan(spark.read.parquet(f"{sf_dir}/documents.parquet")).drop("spans")
+
+
+@query("op7_language_id")
+def op7(spark, sf_dir):
+    from corpusflow.llm.common import held_out
+    from corpusflow.llm.language_id import identify, train
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    net = train(docs.where(~held_out("doc_id", 3, 1)))
+    return identify(docs, net).withColumn("held_out", held_out("doc_id", 3, 1))
+
+
+@query("op8_warc", """
+SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ('0b' || substr(bits, 1 + 5 * i::INT, 5))::INT, 1)), '') AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = last THEN NULL ELSE last END AS refers_to
+FROM (SELECT *, max(page_id) OVER (PARTITION BY coalesce(html, '')) AS last,
+             array_to_string(list_transform(string_split(sha1(coalesce(html, '')), ''), lambda h: lpad(bin(strpos('0123456789abcdef', h) - 1), 4, '0')), '') AS bits
+      FROM pages)""")
+def op8(spark, sf_dir):
+    from corpusflow.llm.warc import archive_folder, read_records, write_archives
+    folder = archive_folder(spark)
+    index = write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder, least_bytes=0)
+    return read_records(index, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op9_token_counts")
+def op9(spark, sf_dir):
+    from corpusflow.llm.token_counts import length_histogram, token_lengths
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return length_histogram(token_lengths(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
+
+
+@query("op10_url_filter")
+def op10(spark, sf_dir):
+    from corpusflow.llm.url_filter import judge
+    return judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
