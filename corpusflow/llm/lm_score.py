@@ -1,9 +1,9 @@
 """Language-model scores from a log-frequency Bloom filter (Talbot and Osborne 2007).
 
-Counting. Every training task counts words exactly, and hashes its word pairs to 48 bits; for
-each of ``SEGMENTS`` hash ranges it sends one block of sorted distinct hashes (Golomb coded)
-with their counts. A segment merges its blocks. Frequent pairs are thus one entry of each
-block, and a segment holds a fixed share of all hashes.
+Counting. A word is known by the XXH64 hash of its bytes, a pair of words by 48 bits mixed from
+two hashes. Every training task sends, for each of ``SEGMENTS`` hash ranges, blocks of sorted
+distinct hashes (Golomb coded) with their counts, and a segment merges its blocks: a frequent
+word or pair is one entry of each block, and a segment holds a fixed share of all hashes.
 
 The filter. A count c is quantised to q = 1 + floor(log(c) / log(``LOG_BASE``)) and the entries
 (n-gram, 1) ... (n-gram, q) are put into the n-gram's segment of one bit array. A reader probes
@@ -14,7 +14,7 @@ count that makes the rest fit are left out (as usual n-gram cutoffs do); words n
 
 The score of a text is the sum over its words and its end of log10 of
 ``LAMBDA * c(h, w) / c(h) + (1 - LAMBDA) * (c(w) + 1) / (N + 1 * (V + 1))``, with all counts
-from the filter, h the word before (at first the start) and pairs that weren't seen 0.
+from the filter, h the word before (at first the end of a text) and pairs that weren't seen 0.
 
 The base score is exact. The commonest ``head`` words are broadcast with their counts; the few
 others of a text are joined with the count table.
@@ -23,8 +23,6 @@ others of a text are joined with the count table.
 from __future__ import annotations
 
 import math
-from collections import Counter
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -37,21 +35,23 @@ from corpusflow.llm.common import col, slabs, stored
 
 LOG_BASE = 1.5
 LAMBDA = 0.7
-#: Ranges of the hashes; each is counted and filtered on its own.
-SEGMENTS = 64
-HASH_BITS = 48
+#: Ranges of the hashes, as a power of two; each is counted and filtered on its own.
+SEGMENT_BITS = 6
+SEGMENTS = 1 << SEGMENT_BITS
+KEY_BITS = 48
 #: Bits of the filter for each entry, and probes of each entry.
 BITS, PROBES = 10, 4
 MAX_FILTER_BYTES = 256 << 20
-#: Words that are broadcast with their exact counts.
-HEAD = 200_000
-#: Distinct words or pairs that a counting task holds before it sends them on.
-HELD = 300_000
-#: The end of a text, and its start as a history; neither is a word.
-END, START = b"\n", b"\r"
+#: Words that are broadcast with their exact counts, 16 bytes each.
+HEAD = 1 << 20
+#: Hashes that a counting task holds before it sends them on; bytes of text scored at once.
+HELD, SLAB = 4 << 20, 4 << 20
+#: The end of a text; no word.
+END = xxhash.xxh64_intdigest(b"\n")
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-_CUT = np.uint64(64 - HASH_BITS)
+_GOLDEN, _LOW = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFFFFFFFF)
+_CUT = np.uint64(64 - KEY_BITS)
 
 
 def words_of(text: str) -> list[bytes]:
@@ -64,105 +64,83 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-
-
 def pair_keys(history: np.ndarray, word: np.ndarray) -> np.ndarray:
     """48-bit keys of pairs of word hashes."""
     return _mix(history * np.uint64(3) + _mix(word + np.uint64(1))) >> _CUT
 
 
 def word_keys(word: np.ndarray) -> np.ndarray:
-    """48-bit keys of single words; as hash values unrelated to those of pairs."""
-    return _mix(word ^ np.uint64(0x5851F42D4C957F2D)) >> _CUT
+    """48-bit keys of single words: the leading bits of their hashes."""
+    return word >> _CUT
 
 
-def _tokens(texts: list[str]):
-    """Words of the texts one after the other, each text ended by END; and where each starts."""
-    out, starts = [], []
+def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words of the texts, END after each text; those of the words before; and
+    where each text starts."""
+    hashes, starts = [], []
     for t in texts:
-        starts.append(len(out))
-        out += words_of(t)
-        out.append(END)
-    return out, np.array(starts, np.int64)
+        starts.append(len(hashes))
+        hashes += map(xxhash.xxh64_intdigest, words_of(t))
+        hashes.append(END)
+    hashes = np.array(hashes, np.uint64)
+    return hashes, np.roll(hashes, 1), np.array(starts, np.int64)
 
 
-def _hashes(words: list[bytes], memory: dict):
-    """Hashes of words, by way of the distinct ones."""
-    fresh = set(words).difference(memory)
-    if len(memory) + len(fresh) > HELD:
-        memory.clear()
-        fresh = set(words)
-    fresh = list(fresh)
-    memory.update(zip(fresh, word_hashes(fresh).tolist()))
-    return np.fromiter(map(memory.__getitem__, words), np.uint64, len(words))
+def _text_slabs(column, limit: int = SLAB):
+    return slabs((t.as_py() or "" for t in column), limit)
 
 
-def _histories(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    before = np.empty_like(hashes)
-    before[1:] = hashes[:-1]
-    before[starts] = word_hashes([START])[0]
-    return before
+def _merge(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys and the sums of their counts."""
+    keys, counts = np.concatenate([*keys, np.zeros(0, np.uint64)]), np.concatenate([*counts, np.zeros(0, np.int64)])
+    if not len(keys):
+        return keys, counts
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    return keys[first], np.add.reduceat(counts, first)
 
 
-def _merge(keys: np.ndarray, counts: np.ndarray):
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.diff(keys, prepend=keys[:1] + np.uint64(1)) != 0) if len(keys) else np.zeros(0, np.int64)
-    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+def _pack(counts: np.ndarray) -> bytes:
+    return golomb.encode(np.cumsum(counts).astype(np.uint64))
+
 
+def _unpack(block: bytes) -> np.ndarray:
+    return np.diff(golomb.decode(block).astype(np.int64), prepend=0)
 
-def _pair_blocks(batches):
-    """(segment, keys, counts): Golomb-coded sorted keys of pairs, and their counts."""
-    held, n, memory = [], 0, {}
 
-    def cut():
-        keys, counts = _merge(*(np.concatenate([h[i] for h in held]) for i in (0, 1)))
-        edges = np.searchsorted(keys, np.arange(1, SEGMENTS, dtype=np.uint64) << np.uint64(HASH_BITS - 6))
-        parts = list(zip(range(SEGMENTS), np.split(keys, edges), np.split(counts, edges)))
-        return pa.RecordBatch.from_arrays([
-            pa.array([s for s, k, _ in parts if len(k)], pa.int32()),
-            pa.array([golomb.encode(k) for _, k, _ in parts if len(k)], pa.binary()),
-            pa.array([golomb.encode(np.cumsum(c)) for _, k, c in parts if len(k)], pa.binary())], ["segment", "keys", "counts"])
+def _blocks(batches):
+    """(segment, word, keys, counts): Golomb-coded sorted hashes of words or pairs, and counts."""
+    def cut(arrays):
+        rows = []
+        for word, bits in ((True, 64), (False, KEY_BITS)):
+            keys, counts = np.unique(np.concatenate([a[0 if word else 1] for a in arrays]), return_counts=True)
+            edges = np.searchsorted(keys, np.arange(1, SEGMENTS, dtype=np.uint64) << np.uint64(bits - SEGMENT_BITS))
+            rows += [(s, word, golomb.encode(k), _pack(c)) for s, (k, c) in enumerate(zip(np.split(keys, edges), np.split(counts, edges))) if len(k)]
+        kinds = [pa.int32(), pa.bool_(), pa.binary(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], ["segment", "word", "keys", "counts"])
 
+    held, n = [], 0
     for batch in batches:
-        for group in slabs(t or "" for t in batch.column("text").to_pylist()):
-            words, starts = _tokens(group)
-            hashes = _hashes(words, memory)
-            held.append(np.unique(pair_keys(_histories(hashes, starts), hashes), return_counts=True))
-            n += len(held[-1][0])
-            if n > 8 * HELD:
-                yield cut()
+        for group in _text_slabs(batch.column("text")):
+            hashes, before, _ = _tokens(group)
+            held.append((hashes, pair_keys(before, hashes)))
+            n += len(hashes)
+            if n >= HELD:
+                yield cut(held)
                 held, n = [], 0
     if held:
-        yield cut()
+        yield cut(held)
 
 
 def _segment(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The merged block of a segment, and how many pairs have each count (and their entries)."""
-    keys = [golomb.decode(k) for k in pdf["keys"]]
-    counts = [np.diff(golomb.decode(c).astype(np.int64), prepend=0) for c in pdf["counts"]]
-    keys, counts = _merge(np.concatenate(keys), np.concatenate(counts))
-    levels, sizes = np.unique(counts, return_counts=True)
-    return pd.DataFrame({"segment": pdf["segment"][:1], "keys": [golomb.encode(keys)], "counts": [golomb.encode(np.cumsum(counts).astype(np.uint64))], "levels": [levels], "sizes": [sizes]})
-
-
-def _word_counts(batches):
-    counts: Counter = Counter()
-
-    def out():
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "c"])
-
-    for batch in batches:
-        for text in batch.column("text"):
-            counts.update(words_of(text.as_py() or ""))
-            counts[END] += 1
-            if len(counts) > HELD:
-                yield out()
-                counts.clear()
-    if counts:
-        yield out()
+    """The merged words and pairs of a segment, and how many of each have each count."""
+    out = {"segment": pdf["segment"].iloc[:1].tolist()}
+    for name, own in (("word", pdf[pdf["word"]]), ("pair", pdf[~pdf["word"]])):
+        keys, counts = _merge([golomb.decode(k) for k in own["keys"]], [_unpack(c) for c in own["counts"]])
+        levels, sizes = np.unique(counts, return_counts=True)
+        out |= {f"{name}_keys": [golomb.encode(keys)], f"{name}_counts": [_pack(counts)], f"{name}_levels": [levels], f"{name}_sizes": [sizes]}
+    return pd.DataFrame(out)
 
 
 def quantise(counts: np.ndarray) -> np.ndarray:
@@ -171,178 +149,156 @@ def quantise(counts: np.ndarray) -> np.ndarray:
 
 def level_count(q: np.ndarray) -> np.ndarray:
     """The count that stands for level q: the middle of its range on a log scale; 0 for none."""
-    low = np.ceil(LOG_BASE ** (q - 1) - 1e-9)
-    high = np.maximum(np.ceil(LOG_BASE ** q - 1e-9) - 1, low)
+    low = np.ceil(LOG_BASE ** (q - 1.0) - 1e-9)
+    high = np.maximum(np.ceil(LOG_BASE ** (q * 1.0) - 1e-9) - 1, low)
     return np.where(q > 0, np.sqrt(low * high), 0.0)
 
 
 _LEVELS = level_count(np.arange(0, 128))
 
 
-def _spots(keys: np.ndarray, level, bits: int, probe: int) -> np.ndarray:
-    """Bit of one probe of (key, level), within the key's segment of ``bits`` bits."""
-    x = _mix(keys + np.uint64(0x9E3779B97F4A7C15) * (np.uint64(level) if np.isscalar(level) else level.astype(np.uint64)))
-    x = (x & np.uint64(0xFFFFFFFF)) + np.uint64(probe) * ((x >> np.uint64(32)) | np.uint64(1))
-    return x % np.uint64(bits)
+def _probes(keys: np.ndarray, level: int, bits: int):
+    """The bits of (key, level), one probe after the other, within the key's segment of ``bits`` bits."""
+    x = _mix(keys + np.uint64(int(_GOLDEN) * level & 0xFFFFFFFFFFFFFFFF))
+    step = (x >> np.uint64(32)) | np.uint64(1)
+    for _ in range(PROBES):
+        yield ((x & _LOW) * np.uint64(bits)) >> np.uint64(32)
+        x = x + step
 
 
 class Filter:
-    """The bit array: ``SEGMENTS`` equal segments of ``bits`` bits (a multiple of 8)."""
+    """The bit array: ``SEGMENTS`` equal segments of ``bits`` bits (a multiple of 8, below 2**32)."""
 
-    def __init__(self, bits: int, array: np.ndarray, total: int, distinct: int, cutoff: int):
+    def __init__(self, bits: int, array: bytearray, total: int, distinct: int, cutoff: int):
         self.bits, self.array, self.total, self.distinct, self.cutoff = bits, array, total, distinct, cutoff
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
         """Estimated counts, by probing level after level."""
+        array = np.frombuffer(self.array, np.uint8)
         q = np.zeros(len(keys), np.int64)
-        base = (keys >> np.uint64(HASH_BITS - 6)) * np.uint64(self.bits)
+        base = (keys >> np.uint64(KEY_BITS - SEGMENT_BITS)) * np.uint64(self.bits)
         alive, level = np.arange(len(keys)), 0
         while len(alive) and level < 126:
             level += 1
-            k, b = keys[alive], base[alive]
-            for probe in range(PROBES):
-                spot = b + _spots(k, level, self.bits, probe)
-                there = (self.array[(spot >> np.uint64(3)).astype(np.int64)] >> (spot & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                if not there.all():
-                    alive, k, b = alive[there], k[there], b[there]
+            there = np.arange(len(alive))
+            for spot in _probes(keys[alive], level, self.bits):
+                spot = (base[alive] + spot)[there]
+                hit = (array[(spot >> np.uint64(3)).astype(np.int64)] >> (spot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                if not hit.all():
+                    there = there[hit]
+            alive = alive[there]
             q[alive] = level
         return _LEVELS[q]
 
-    def score(self, texts: list[str], memory: dict) -> np.ndarray:
-        """log10 probability of each text."""
-        words, starts = _tokens(texts)
-        hashes = _hashes(words, memory)
-        before = _histories(hashes, starts)
-        single, back = np.unique(np.append(hashes, before), return_inverse=True)
-        known = self.counts(word_keys(single))
-        c_word, c_before = known[back[: len(hashes)]], known[back[len(hashes):]]
+    def score(self, hashes: np.ndarray, before: np.ndarray, words: np.ndarray, back: np.ndarray) -> np.ndarray:
+        """log10 probability of each token; ``words[back]`` are the ``hashes``."""
+        known = self.counts(word_keys(words))
+        c_word = known[back]
+        c_before = np.roll(c_word, 1)  # every text ends with END, so the first history is one as well
         pairs, back = np.unique(pair_keys(before, hashes), return_inverse=True)
         c_pair = np.minimum(self.counts(pairs)[back], np.minimum(c_word, c_before))
         p = (1 - LAMBDA) * (c_word + 1) / (self.total + self.distinct + 1)
         p += LAMBDA * np.divide(c_pair, c_before, out=np.zeros_like(p), where=c_before > 0)
-        return np.add.reduceat(np.log10(np.minimum(p, 1.0)), starts)
-
-
-def _bits_of(bits: int, cutoff: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        """One segment's bits, from its pairs and the words whose keys fall into it."""
-        segment = int(pdf["segment"].iloc[0])
-        array = np.zeros(bits, bool)
-        for keys, counts in zip(pdf["keys"], pdf["counts"]):
-            keys, counts = golomb.decode(keys), np.diff(golomb.decode(counts).astype(np.int64), prepend=0)
-            levels = quantise(counts[counts >= cutoff])
-            keys = keys[counts >= cutoff]
-            for level in range(1, int(levels.max(initial=0)) + 1):
-                for probe in range(PROBES):
-                    array[_spots(keys[levels >= level], level, bits, probe).astype(np.int64)] = True
-        return pd.DataFrame({"segment": [segment], "bits": [np.packbits(array, bitorder="little").tobytes()]})
+        return np.log10(np.minimum(p, 1.0))
+
+
+def _filter_bits(bits: int, cutoff: int):
+    def run(batches):
+        for pdf in batches:
+            for row in pdf.itertuples():
+                array = np.zeros(bits, bool)
+                for keys, counts, least in ((word_keys(golomb.decode(row.word_keys)), _unpack(row.word_counts), 1), (golomb.decode(row.pair_keys), _unpack(row.pair_counts), cutoff)):
+                    keys, levels = keys[counts >= least], quantise(counts[counts >= least])
+                    for level in range(1, int(levels.max(initial=0)) + 1):
+                        keys, levels = keys[levels >= level], levels[levels >= level]
+                        for spot in _probes(keys, level, bits):
+                            array[spot.astype(np.int64)] = True
+                yield pd.DataFrame({"segment": [row.segment], "bits": [np.packbits(array, bitorder="little").tobytes()]})
     return run
 
 
-def _keyed(start: bool):
-    """Blocks of word counts, as those of pairs: (segment, keys, counts) of each batch."""
+def _word_rows(least: int, most: int):
+    """(h, c) of the words with a count from ``least`` to ``most``."""
     def run(batches):
         for batch in batches:
-            keys = word_keys(word_hashes([START if start and w == END else w for w in batch.column("word").to_pylist()]))
-            keys, counts = _merge(keys, batch.column("c").to_numpy())
-            edges = np.searchsorted(keys, np.arange(1, SEGMENTS, dtype=np.uint64) << np.uint64(HASH_BITS - 6))
-            parts = [(s, k, c) for s, k, c in zip(range(SEGMENTS), np.split(keys, edges), np.split(counts, edges)) if len(k)]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([s for s, _, _ in parts], pa.int32()), pa.array([golomb.encode(k) for _, k, _ in parts], pa.binary()),
-                pa.array([golomb.encode(np.cumsum(c).astype(np.uint64)) for _, _, c in parts], pa.binary())], ["segment", "keys", "counts"])
+            for keys, counts in zip(batch.column("word_keys"), batch.column("word_counts")):
+                keys, counts = golomb.decode(keys.as_py()), _unpack(counts.as_py())
+                own = (counts >= least) & (counts <= most)
+                yield pa.RecordBatch.from_arrays([pa.array(keys[own].view(np.int64)), pa.array(counts[own])], ["h", "c"])
     return run
 
 
 class Model:
-    """``words``: the stored table (word, c); ``filter``: the broadcast filter; ``head``: the
-    broadcast base logarithms of the commonest words; ``total``/``distinct``: N and V."""
+    """``segments``: the stored counts; ``filter``: the broadcast filter; ``head``: the broadcast
+    sorted hashes and counts of all words counted ``least`` times or more; N and V."""
 
-    def __init__(self, words, filter_, head, total, distinct):
-        self.words, self.filter, self.head, self.total, self.distinct = words, filter_, head, total, distinct
+    def __init__(self, segments, filter_, head, least, total, distinct):
+        self.segments, self.filter, self.head, self.least, self.total, self.distinct = segments, filter_, head, least, total, distinct
+
+    def rare_words(self) -> DataFrame:
+        return self.segments.select("word_keys", "word_counts").mapInArrow(_word_rows(1, self.least - 1), "h long, c long")
 
 
 def train(docs: DataFrame, text_col: str = "text", head: int = HEAD, max_filter_bytes: int = MAX_FILTER_BYTES) -> Model:
     """Count all texts of ``docs`` and build the filter. Null and empty texts are an end alone."""
     spark, texts = docs.sparkSession, docs.select(col(text_col).cast("string").alias("text"))
-    words = stored(texts.mapInArrow(_word_counts, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")), "word-counts")
-    level = F.floor(F.log(F.col("c")) / math.log(LOG_BASE) + 1e-9) + 1
-    total, distinct, entries = words.agg(F.sum("c"), F.count("*"), F.sum(level)).first()
-    total, entries = total or 0, int(entries or 0) + 64
-    pairs = texts.mapInArrow(_pair_blocks, "segment int, keys binary, counts binary")
-    pairs = stored(pairs.groupBy("segment").applyInPandas(_segment, "segment int, keys binary, counts binary, levels array<long>, sizes array<long>"), "pair-counts")
-    by_count = pairs.select(F.explode(F.arrays_zip("levels", "sizes")).alias("x")).groupBy(F.col("x.levels").alias("c")).agg(F.sum("x.sizes").alias("n"))
-    # how many entries the pairs of each quantised level need: a bounded table, for the cutoff
-    low = by_count.select(F.least("c", F.lit(64)).alias("c"), "n", (F.col("n") * (F.floor(F.log("c") / math.log(LOG_BASE) + 1e-9) + 1)).alias("e"))
-    needed = sorted(low.groupBy("c").agg(F.sum("e")).collect())
-    cutoff, rest = 1, sum(int(e) for _, e in needed)
-    for c, e in needed:
+    blocks = texts.mapInArrow(_blocks, "segment int, word boolean, keys binary, counts binary")
+    both = ", ".join(f"{k}_keys binary, {k}_counts binary, {k}_levels array<long>, {k}_sizes array<long>" for k in ("word", "pair"))
+    segments = stored(blocks.groupBy("segment").applyInPandas(_segment, f"segment int, {both}"), "ngram-counts")
+    words, pairs = (_histogram(segments, k) for k in ("word", "pair"))
+    total, distinct = sum(c * n for c, n in words), sum(n for _, n in words)
+    entries = sum(int(quantise(np.array([c]))[0]) * n for c, n in words) + SEGMENTS
+    cutoff, rest = 1, sum(int(quantise(np.array([c]))[0]) * n for c, n in pairs)
+    for c, n in pairs:
         if (entries + rest) * BITS <= 8 * max_filter_bytes:
             break
-        cutoff, rest = c + 1, rest - int(e)
+        cutoff, rest = c + 1, rest - int(quantise(np.array([c]))[0]) * n
     bits = max(64, -(-(entries + rest) * BITS // SEGMENTS) * 21 // 20 // 8 * 8)
-    blocks = words.mapInArrow(_keyed(False), "segment int, keys binary, counts binary")
-    blocks = blocks.unionByName(words.where(F.col("word") == F.lit(END)).mapInArrow(_keyed(True), "segment int, keys binary, counts binary"))
-    blocks = blocks.select("*", F.lit(True).alias("single")).unionByName(pairs.select("segment", "keys", "counts", F.lit(False).alias("single")))
-    array = np.zeros(SEGMENTS * bits // 8, np.uint8)
-    made = stored(blocks.groupBy("segment").applyInPandas(_segment_bits(bits, cutoff), "segment int, bits binary"), "filter-segments")
+    columns = ["segment", "word_keys", "word_counts", "pair_keys", "pair_counts"]
+    made = stored(segments.select(*columns).mapInPandas(_filter_bits(bits, cutoff), "segment int, bits binary"), "filter-segments")
+    array = bytearray(SEGMENTS * bits // 8)
     for row in made.toLocalIterator():
-        array[row["segment"] * bits // 8:(row["segment"] + 1) * bits // 8] = np.frombuffer(row["bits"], np.uint8)
-    return Model(words, spark.sparkContext.broadcast(Filter(bits, array, total, distinct, cutoff)),
-                 spark.sparkContext.broadcast(_commonest(words, head, total, distinct)), total, distinct)
-
-
-def _commonest(words: DataFrame, head: int, total: int, distinct: int) -> tuple[dict[bytes, float], bool]:
-    """Base log10 of words, the commonest first by steps of a tenth in their counts, ``head`` at
-    most; and whether that is all words. Rare words that don't fit are joined when scoring."""
-    step = F.floor(F.log("c") / math.log(1.1) + 1e-9)
-    least, room = None, head
-    for at, n in sorted(words.groupBy(step).count().collect(), reverse=True):
+        array[row["segment"] * bits // 8:(row["segment"] + 1) * bits // 8] = row["bits"]
+    least, room = 1 << 62, head  # the commonest words, as many as fit
+    for c, n in reversed(words):
         room -= n
         if room < 0:
             break
-        least = at
-    rows = [] if least is None else words.where(step >= least).collect()
-    return {bytes(w): math.log10((c + 1) / (total + distinct + 1)) for w, c in rows}, len(rows) == distinct
-
+        least = c
+    rows = segments.select("word_keys", "word_counts").mapInArrow(_word_rows(least, 1 << 62), "h long, c long").toArrow()
+    h = rows.column("h").to_numpy().view(np.uint64)
+    order = np.argsort(h)
+    broadcast = spark.sparkContext.broadcast
+    return Model(segments, broadcast(Filter(bits, array, total, distinct, cutoff)), broadcast((h[order], rows.column("c").to_numpy()[order])), least, total, distinct)
 
-def _segment_bits(bits: int, cutoff: int):
-    one = _bits_of(bits, 1)
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        singles, pairs = one(pdf[pdf["single"]]) if pdf["single"].any() else None, None
-        if not pdf["single"].all():
-            pairs = _bits_of(bits, cutoff)(pdf[~pdf["single"]])
-        made = [x for x in (singles, pairs) if x is not None]
-        both = np.bitwise_or.reduce([np.frombuffer(x["bits"][0], np.uint8) for x in made])
-        return pd.DataFrame({"segment": made[0]["segment"], "bits": [both.tobytes()]})
-    return run
 
+def _histogram(segments: DataFrame, name: str) -> list[tuple[int, int]]:
+    """``(count, n-grams with it)`` in ascending order; high counts are distinct in few n-grams,
+    so there are about as many rows as the square root of the tokens."""
+    rows = segments.select(F.explode(F.arrays_zip(f"{name}_levels", f"{name}_sizes")).alias("x"))
+    return sorted((r[0], r[1]) for r in rows.groupBy(f"x.{name}_levels").agg(F.sum(f"x.{name}_sizes")).collect())
 
-def _score(model_filter, model_head, total, distinct):
-    least = math.log10(1 / (total + distinct + 1))
 
+def _score(model_filter, model_head, total, distinct, whole):
     def run(batches):
-        logs, whole = model_head.value
-        memory: dict = {}
+        common, counts = model_head.value
         for batch in batches:
             ids, at = batch.column("doc_id"), 0
-            for group in slabs(t or "" for t in batch.column("text").to_pylist()):
-                n_tokens, known, base, rest = [], [], [], []
-                for t in group:
-                    words = words_of(t)
-                    words.append(END)
-                    found = list(map(logs.get, words, repeat(0.0)))
-                    unknown = Counter(w for w, x in zip(words, found) if not x)
-                    n = sum(unknown.values())
-                    n_tokens.append(len(words))
-                    known.append(len(words) - n)
-                    base.append(math.fsum(found) + (n * least if whole else 0.0))
-                    rest.append([] if whole else list(unknown.items()))
-                part = slice(at, at + len(group))
+            for group in _text_slabs(batch.column("text")):
+                hashes, before, starts = _tokens(group)
+                words, back = np.unique(hashes, return_inverse=True)
+                place = np.minimum(np.searchsorted(common, words), max(len(common) - 1, 0))
+                c = np.where(common[place] == words, counts[place], 0) if len(common) else np.zeros(len(words), np.int64)
+                base = np.log10((c + 1) / (total + distinct + 1))
+                if not whole:
+                    base[c == 0] = 0.0
+                sizes = np.diff(starts, append=len(hashes))
+                rare = np.zeros(0, np.int64) if whole else np.flatnonzero((c == 0)[back])
+                owner = np.searchsorted(starts, rare, side="right") - 1
+                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(len(group) + 1)), pa.int32()), pa.array(hashes[rare].view(np.int64)))
                 yield pa.RecordBatch.from_arrays([
-                    ids[part], pa.array(n_tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()),
-                    pa.array(model_filter.value.score(group, memory), pa.float64()),
-                    pa.array([[{"word": w, "tf": c} for w, c in r] for r in rest], pa.list_(pa.struct([("word", pa.binary()), ("tf", pa.int64())])))],
+                    ids[at:at + len(group)], pa.array(sizes), pa.array(np.add.reduceat((c > 0).astype(np.int64)[back], starts)), pa.array(np.add.reduceat(base[back], starts)),
+                    pa.array(np.add.reduceat(model_filter.value.score(hashes, before, words, back), starts)), lists],
                     ["doc_id", "n_tokens", "head_known", "head_base", "score", "rest"])
                 at += len(group)
     return run
@@ -357,13 +313,13 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     the same smoothed probability. Repeated rows each give a row.
     """
     rows = docs.select(col(id_col).alias("doc_id"), col(text_col).cast("string").alias("text"))
-    schema = f"doc_id {dict(rows.dtypes)['doc_id']}, n_tokens long, head_known long, head_base double, score double, rest array<struct<word:binary,tf:long>>"
-    scored = rows.mapInArrow(_score(model.filter, model.head, model.total, model.distinct), schema)
+    schema = f"doc_id {dict(rows.dtypes)['doc_id']}, n_tokens long, head_known long, head_base double, score double, rest array<long>"
+    whole = model.least <= 1
+    scored = rows.mapInArrow(_score(model.filter, model.head, model.total, model.distinct, whole), schema)
     scored = stored(scored.select(F.monotonically_increasing_id().alias("rid"), "*"), "scores")
-    rare = scored.select("rid", F.explode("rest").alias("x")).select("rid", "x.word", "x.tf")
-    gain = F.log10((F.coalesce("c", F.lit(0)) + 1) / (model.total + model.distinct + 1)) * F.col("tf")
-    rare = (rare.join(model.words, "word", "left").groupBy("rid")
-            .agg(F.sum(gain).alias("rare_base"), F.sum(F.when(F.col("c") > 0, F.col("tf")).otherwise(0)).alias("rare_known")))
+    rare = scored.select("rid", F.explode("rest").alias("h")).join(model.rare_words(), "h", "left")
+    gain = F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(model.total + model.distinct + 1))
+    rare = rare.groupBy("rid").agg(F.sum(gain).alias("rare_base"), F.count("c").alias("rare_known"))
     return scored.drop("rest").join(rare, "rid", "left").select(
         "doc_id", "n_tokens", (F.col("head_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(model.total).cast("long").alias("train_tokens"), (F.col("head_base") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"), "score")
