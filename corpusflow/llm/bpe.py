@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from corpusflow.llm.common import id_text
 
 #: Pieces that a worker remembers in each of two generations.
-REMEMBERED = 250_000
+REMEMBERED = 500_000
 #: Longer pieces aren't remembered.
 LONG = 256
 
@@ -45,6 +45,17 @@ class RankQueue:
         self.top = 0
         self.buckets: dict[int, list[int]] = {}
 
+    def fill(self, due: list[int]) -> None:
+        """Queue the positions of an empty queue, in order: a sorted bucket is a heap."""
+        buckets = self.buckets
+        for at, rank in enumerate(due):
+            if rank in buckets:
+                buckets[rank].append(at)
+            elif rank >= 0:
+                buckets[rank] = [at]
+                self.words[rank >> 8] |= _BIT[rank & 255]
+                self.top |= _BIT[rank >> 8]
+
     def push(self, rank: int, at: int) -> None:
         buckets = self.buckets
         if rank in buckets:
@@ -106,17 +117,15 @@ class Codec:
         whole = ranks.get(token)
         if whole is not None:
             return [whole]
-        n, get, push = len(token), ranks.get, queue.push
+        n, get, push, pop = len(token), ranks.get, queue.push, queue.pop
         end = list(range(1, n + 1))  # of the part that starts here
         before = list(range(-1, n))
-        due = [-1] * n  # rank of the pair of the parts at and after a position, if it waits
-        for i in range(n - 1):
-            rank = get(token[i:i + 2])
-            if rank is not None:
-                due[i] = rank
-                push(rank, i)
+        # rank of the pair of the parts at and after a position, if it waits
+        due = [get(token[i:i + 2], -1) for i in range(n)]
+        due[-1] = -1
+        queue.fill(due)
         while queue.top:
-            rank, at = queue.pop()
+            rank, at = pop()
             if due[at] != rank:  # stale
                 continue
             middle = end[at]
