@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from corpusflow.session import scratch_path
@@ -59,6 +60,19 @@ def slabs(values: Iterable[bytes | str], limit: int = SLAB_BYTES) -> Iterator[li
         yield group
 
 
+def filter_rows(docs: DataFrame, text_col: str, keep) -> DataFrame:
+    """The rows of ``docs`` for which ``keep(texts)``, a list of booleans, is true; null is empty.
+    Columns pass through whatever they are called."""
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    name = plain.columns[docs.columns.index(text_col)]
+
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(keep([t or "" for t in batch.column(name).to_pylist()]), pa.bool_()))
+
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
+
+
 def drop_rows(docs: DataFrame, drop: DataFrame, repeats: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``docs`` without the rows named in ``drop``; of rows that repeat one of ``repeats``, one stays.
 

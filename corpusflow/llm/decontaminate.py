@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from corpusflow.llm.common import col, id_text
+from corpusflow.llm.common import filter_rows, id_text
 
 #: Words of a seed, and of the shortest tile.
 MIN_MATCH = 5
@@ -205,18 +205,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     return out
 
 
-def _clean(block, threshold, name):
-    def run(batches):
-        for batch in batches:
-            texts = batch.column(name)
-            yield batch.filter(pa.array([next(block.value.leaks(t.as_py() or "", threshold), None) is None for t in texts], pa.bool_()))
-    return run
+def _clean(block, threshold):
+    return lambda texts: [next(block.value.leaks(t, threshold), None) is None for t in texts]
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
                min_match: int = MIN_MATCH, threshold: float = THRESHOLD, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` without the rows that leak an item; rows and columns are otherwise as they were."""
-    docs = docs.withColumn(text_col, col(text_col).cast("string"))
     for block in _blocks(docs.sparkSession, benchmark, item_col, item_text_col, min_match, block_words):
-        docs = docs.mapInArrow(_clean(block, threshold, text_col), docs.schema)
+        docs = filter_rows(docs, text_col, _clean(block, threshold))
     return docs

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from corpusflow.llm.common import col, slabs
+from corpusflow.llm.common import col, filter_rows, slabs
 
 #: The training sample: documents of each language, and characters of each.
 PER_LANGUAGE = 300
@@ -239,16 +239,8 @@ def identify(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_
     return rows.mapInArrow(_predict(docs.sparkSession.sparkContext.broadcast(net), "text"), f"doc_id {dict(rows.dtypes)['doc_id']}, lang_pred string, score double")
 
 
-def _known(net, text_col, least):
-    def run(batches):
-        for batch in batches:
-            keep = [lang != UNKNOWN and score >= least for lang, score in predict(net.value, _texts(batch, text_col))]
-            yield batch.filter(pa.array(keep, pa.bool_()))
-    return run
-
-
 def drop_unidentified(docs: DataFrame, net: Network | None, text_col: str = "text", least: float = 0.0) -> DataFrame:
     """``docs`` without the rows in no language (``und``) or below the score ``least``; the other
     rows and all columns as they were."""
-    docs = docs.withColumn(text_col, col(text_col).cast("string"))
-    return docs.mapInArrow(_known(docs.sparkSession.sparkContext.broadcast(net), text_col, least), docs.schema)
+    shared = docs.sparkSession.sparkContext.broadcast(net)
+    return filter_rows(docs, text_col, lambda texts: [lang != UNKNOWN and score >= least for lang, score in predict(shared.value, texts)])
