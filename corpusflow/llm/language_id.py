@@ -142,10 +142,16 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", per_l
     """Fit a network on a bounded sample of the rows that have a label; None without any.
 
     The sample of a language is its rows with the smallest hashes of the text, so it doesn't
-    depend on the order of the rows; a top-k per language, pre-selected in each task.
+    depend on the order of the rows. Its count tells which hashes can be among them (eight times
+    ``per_language`` rows are expected); only those rows reach the top-k. Labels are a closed set.
     """
     rows = docs.where(col(lang_col).isNotNull() & (F.length(F.trim(col(text_col))) > 0)).select(
         col(lang_col).cast("string").alias("lang"), F.substring(col(text_col), 1, sample_chars).alias("text"), F.xxhash64(col(text_col)).alias("h"))
+    sizes = {lang: n for lang, n in rows.groupBy("lang").count().collect()}
+    if not sizes:
+        return None
+    limits = [x for lang, n in sorted(sizes.items()) for x in (F.lit(lang), F.lit(min(1.0, 8 * per_language / n)))]
+    rows = rows.where(F.col("h") / 2.0 ** 64 + 0.5 <= F.create_map(*limits)[F.col("lang")])
     first = Window.partitionBy("lang").orderBy("h", "text")
     picked = rows.withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_language).select("lang", "text").collect()
     counts: dict[tuple[str, bytes], int] = {}
