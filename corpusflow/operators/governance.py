@@ -76,29 +76,38 @@ class SnapshotTable:
         v = self.current_version()
         return None if v is None else self.spark.read.parquet(f"{self.base}/v={v}")
 
-    def write(self, df: DataFrame, version: int | None = None) -> int:
-        """Write ``df`` as a new version (default current + 1). Writing a
-        version that already completed is a no-op (idempotent retries)."""
+    def write(self, df: DataFrame) -> int:
+        """Write ``df`` as the version after the current one."""
         cur = self.current_version()
-        version = (cur + 1 if cur is not None else 0) if version is None else version
-        if version in self._versions():
-            return version
+        version = cur + 1 if cur is not None else 0
         df.write.mode("overwrite").parquet(f"{self.base}/v={version}")
         return version
 
+    def _commit(self, stream: str, batch_id: int):
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.base}/commits/{stream}/{batch_id}")
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-def upsert_snapshot(store: SnapshotTable, updates: DataFrame, key: str | list[str] = "chunk_id",
-                    order: list[str] | None = None, version: int | None = None) -> int:
-    """G1 persisted: current snapshot + updates -> next snapshot."""
-    return store.write(upsert(store.read(), updates, key, order), version)
+    def committed(self, stream: str, batch_id: int) -> bool:
+        """Whether the batch of that stream (named by its checkpoint) is in the table."""
+        path, fs = self._commit(stream, batch_id)
+        return fs.exists(path)
+
+    def commit(self, stream: str, batch_id: int) -> None:
+        """Note a batch as done, after its snapshot is complete. A batch that failed in between
+        is upserted again, by key, which changes nothing."""
+        path, fs = self._commit(stream, batch_id)
+        fs.create(path, True).close()
 
+    def side(self, name: str) -> str:
+        """Folder of a side table (quarantine, lineage, run counts), a subfolder per batch."""
+        return f"{self.base}/{name}"
 
-def upsert_batch_writer(store: SnapshotTable, key: str | list[str] = "chunk_id"):
-    """``foreachBatch`` function for streaming upserts: micro-batch ``b``
-    becomes snapshot ``b + 1``, so a replayed batch is skipped."""
-    def fn(batch: DataFrame, batch_id: int):
-        upsert_snapshot(store, batch.withColumn("batch_id", F.lit(batch_id)), key, version=batch_id + 1)
-    return fn
+
+def upsert_snapshot(store: SnapshotTable, updates: DataFrame, key: str | list[str] = "chunk_id",
+                    order: list[str] | None = None) -> int:
+    """G1 persisted: current snapshot + updates -> next snapshot."""
+    return store.write(upsert(store.read(), updates, key, order))
 
 
 # ----------------------------------------------------------------- G2-G4
@@ -169,13 +178,16 @@ def versioned_index(versions: DataFrame, key: str = "doc_id", ts_col: str = "ing
     split over many slices. Lags and numbering are computed inside each
     ``(key, slice)`` and stitched across slice boundaries through a small
     per-slice summary (at most one row per slice per document). The content is
-    joined back once on ``(key, ts)``.
+    joined back once on ``(key, ts, sha)``. The slice number of every skeleton row
+    is checkpointed, so all branches of the plan see the same slices. Several
+    ingests of a document at one time count as one, the one whose hash is greatest.
     """
     spark = versions.sparkSession
     n = slices or spark.sparkContext.defaultParallelism
     sha = F.sha2(F.col(content_col), 256)
-    sk = (versions.select(key, ts_col, sha.alias("content_sha"))
-          .repartitionByRange(n, key, ts_col).withColumn("__s", F.spark_partition_id()))
+    # one content per document and time: of several the greatest hash
+    sk = (versions.select(key, ts_col, sha.alias("content_sha")).groupBy(key, ts_col).agg(F.max("content_sha").alias("content_sha"))
+          .repartitionByRange(n, key, ts_col).withColumn("__s", F.spark_partition_id()).checkpoint())
     w_in = Window.partitionBy(key, "__s").orderBy(ts_col)
     sk = sk.withColumn("__prev", F.lag("content_sha").over(w_in)).withColumn("__rn", F.row_number().over(w_in))
     # last hash of every slice, and the previous slice's last hash per document
@@ -196,4 +208,5 @@ def versioned_index(versions: DataFrame, key: str = "doc_id", ts_col: str = "ing
     hist = kept.select(key, ts_col, "content_sha", (F.col("__offset") + F.col("__kr")).alias("version"),
                        F.col(ts_col).alias("valid_from"), valid_to.alias("valid_to"),
                        valid_to.isNull().alias("is_current"))
-    return versions.join(hist, [key, ts_col])
+    rows = versions.withColumn("content_sha", sha).dropDuplicates([key, ts_col, "content_sha"])
+    return rows.join(hist, [key, ts_col, "content_sha"])

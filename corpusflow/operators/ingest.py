@@ -1,10 +1,11 @@
 """Ingest lifecycles as Spark jobs.
 
-E1 (objects): read -> route -> decode -> quarantine -> chunk -> mask ->
+E1 (objects): read -> route -> decode -> quarantine -> mask -> chunk ->
 upsert -> lineage and run statistics; one lazy plan, actions only at writes.
-E2 (messages): the same tail per micro-batch of a stream, through
-``foreachBatch`` with the snapshot version tied to the batch id (replays are
-no-ops). E3 (search) is :func:`corpusflow.operators.retrieval.hybrid_search`.
+Whole documents are masked, so that no value is cut by a chunk edge and missed.
+E2 (messages): the same per micro-batch of a stream, through ``foreachBatch``;
+the store notes finished batches by (stream, batch), so replays are no-ops and
+a later run on the same store goes on where the last one ended. E3 (search) is :func:`corpusflow.operators.retrieval.hybrid_search`.
 """
 
 from __future__ import annotations
@@ -33,9 +34,7 @@ class IngestResult:
     version: int | None = None  # snapshot version written, if a store was given
 
 
-def _finish(chunks: DataFrame, mask: bool, run_id: str, batch_id: int) -> DataFrame:
-    if mask:
-        chunks = mask_documents(chunks, "content")
+def _finish(chunks: DataFrame, run_id: str, batch_id: int) -> DataFrame:
     return chunks.withColumns({
         "chunk_id": F.concat_ws("-", F.col("document_id").cast("string"), F.col("chunk_index").cast("string")),
         "run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("long"),
@@ -58,8 +57,10 @@ def ingest_objects(spark: SparkSession, root: str, prefix: str = "", extensions:
               .otherwise(F.col("decode_status"))
     good, bad = gv.split_quarantine(decoded, ok, reason)
     docs = good.select("document_id", "text", "metadata")
+    if mask:
+        docs = mask_documents(docs, "text")
     chunk = chunker or get_chunker("fixed", chunk_size=1000, chunk_overlap=200, id_col="document_id")
-    chunks = _finish(chunk(docs), mask, run_id, batch_id)
+    chunks = _finish(chunk(docs), run_id, batch_id)
     version = None
     if store is not None:
         version = gv.upsert_snapshot(store, chunks, "chunk_id")
@@ -83,24 +84,43 @@ SENSOR_FIELDS = ["sensor_id", "sensor_type", "value", "location"]
 
 def ingest_messages_batch(batch: DataFrame, batch_id: int, store: gv.SnapshotTable,
                           sensor_types: list[str] | None = None, mask: bool = True,
-                          run_id: str = "stream") -> None:
-    """E2 step for one micro-batch: sensor messages -> one ``key: value``
-    chunk each -> mask -> upsert as snapshot ``batch_id + 1``."""
-    ok, _bad = iot_readings(decode_messages(batch), sensor_types)
+                          run_id: str = "stream", stream: str = "stream") -> None:
+    """E2 step for one micro-batch: sensor messages -> mask -> one ``key: value``
+    chunk each -> upsert. What isn't a JSON object goes to the store's quarantine;
+    lineage and counts of the batch are written beside it."""
+    if store.committed(stream, batch_id):
+        return
+    batch = batch.persist()
+    ok, bad = iot_readings(decode_messages(batch), sensor_types)
     text = record_text(SENSOR_FIELDS, [F.col(c) for c in SENSOR_FIELDS])
     docs = ok.select(F.col("metadata.source_uri").alias("document_id"), "metadata",
                      text.alias("content"), F.lit(0).alias("chunk_index"), F.lit(1).alias("total_chunks"),
                      F.lit("single").alias("chunking_method"))
-    chunks = _finish(docs.withColumn("chunk_size", F.length("content")), mask, run_id, batch_id)
-    gv.upsert_snapshot(store, chunks, "chunk_id", version=batch_id + 1)
+    if mask:
+        docs = mask_documents(docs, "content")
+    chunks = _finish(docs.withColumn("chunk_size", F.length("content")), run_id, batch_id)
+    part = f"stream={stream}/batch={batch_id}"
+    bad = bad.select(F.col("metadata.source_uri").alias("document_id"), "raw_value", "error")
+    bad.write.mode("overwrite").parquet(f"{store.side('quarantine')}/{part}")
+    flat = chunks.select("document_id", F.col("metadata.source_type").alias("source_type"),
+                         F.col("metadata.source_uri").alias("source_uri"), "chunking_method",
+                         F.col("ingest_ts").alias("ingestion_ts"))
+    gv.lineage(flat, run_id).write.mode("overwrite").parquet(f"{store.side('lineage')}/{part}")
+    status = docs.select(F.lit("ok").alias("status"), F.lit(1).alias("chunk_count")) \
+        .unionByName(bad.select(F.lit("failed").alias("status"), F.lit(0).alias("chunk_count")))
+    gv.run_stats(status).write.mode("overwrite").parquet(f"{store.side('run_stats')}/{part}")
+    gv.upsert_snapshot(store, chunks, "chunk_id")
+    store.commit(stream, batch_id)
+    batch.unpersist()
 
 
 def ingest_message_stream(stream: DataFrame, store: gv.SnapshotTable, sensor_types: list[str] | None = None,
                           mask: bool = True, run_id: str = "stream", name: str = "ingest-stream"):
     """Run a message stream to completion (``availableNow``) with each
-    micro-batch ingested by :func:`ingest_messages_batch`; the checkpoint
-    lives in the shared folder. Returns the store's current snapshot."""
+    micro-batch ingested by :func:`ingest_messages_batch`. The checkpoint is
+    kept with the store, one for each ``name``, so that a second run takes only
+    what is new. Returns the store's current snapshot."""
     from corpusflow.streaming.runner import run_available
-    run_available(stream, name, foreach_batch=lambda b, i: ingest_messages_batch(
-        b, i, store, sensor_types, mask, run_id))
+    run_available(stream, name, checkpoint=store.side(f"checkpoints/{name}"), foreach_batch=lambda b, i: ingest_messages_batch(
+        b, i, store, sensor_types, mask, run_id, name))
     return store.read()

@@ -39,10 +39,10 @@ DEFAULT_TOP_K = 5
 BM25_K1, BM25_B = 1.2, 0.75
 
 # (query column, document column, kind). "in": the query's array lists the
-# allowed document values (null or empty = unrestricted); "ge"/"le": inclusive
-# bound on the document value (null = unrestricted).
+# allowed document values (null or empty = unrestricted); "clear": the same, but an
+# empty array allows nothing; "ge"/"le": inclusive bound (null = unrestricted).
 FILTER_FIELDS = [
-    ("allowed_clearance", "security_clearance", "in"),
+    ("allowed_clearance", "security_clearance", "clear"),
     ("source_types", "source_type", "in"),
     ("document_types", "document_type", "in"),
     ("regions", "region", "in"),
@@ -80,9 +80,13 @@ def with_clearance(queries: DataFrame, role_col: str = "user_role", unrestricted
 
 
 def _active_filters(queries: DataFrame, docs: DataFrame | None):
-    if docs is None:
-        return []
-    return [f for f in FILTER_FIELDS if f[0] in queries.columns and f[1] in docs.columns]
+    """The filters that the queries state; documents without the column to test are an error,
+    never an unfiltered answer."""
+    stated = [f for f in FILTER_FIELDS if f[0] in queries.columns]
+    missing = sorted({f[1] for f in stated if docs is None or f[1] not in docs.columns})
+    if missing:
+        raise ValueError(f"queries are filtered by columns that the documents don't have: {missing}")
+    return stated
 
 
 def filter_predicate(fields) -> Column:
@@ -92,6 +96,8 @@ def filter_predicate(fields) -> Column:
         q, d = F.col(qc), F.col(dc)
         if kind == "in":
             ok = q.isNull() | (F.size(q) == 0) | F.array_contains(q, d)
+        elif kind == "clear":
+            ok = q.isNull() | F.array_contains(q, d)
         elif kind == "ge":
             ok = q.isNull() | (d >= q)
         else:
@@ -108,10 +114,10 @@ def _np_filter_mask(qrow, dpdf: pd.DataFrame, fields) -> np.ndarray:
         v = qrow[qc]
         if v is None or (kind == "in" and len(v) == 0):
             continue
-        if isinstance(v, float) and math.isnan(v):
+        if kind in ("ge", "le") and pd.isna(v):
             continue
         col = dpdf[dc]
-        if kind == "in":
+        if kind in ("in", "clear"):
             mask &= col.isin(list(v)).to_numpy()
         elif kind == "ge":
             mask &= (col >= v).fillna(False).to_numpy(dtype=bool)

@@ -176,14 +176,16 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("ts").cast("timestamp").alias("timestamp"))
 
 
-def land_messages(spark: SparkSession, sf_dir: str, batch_size: int = 500) -> str:
+def land_messages(spark: SparkSession, sf_dir: str, batch_size: int = 500, path: str | None = None,
+                  part: tuple[int, int] = (0, 1)) -> str:
     """Land messages as JSON lines, one file per (partition, offset div
-    batch_size) so every file is one consumer batch."""
+    batch_size) so every file is one consumer batch. ``part`` (k, n) lands the
+    k-th of n shares, added to what ``path`` holds."""
     from corpusflow.session import scratch_path
-    path = scratch_path(spark, "messages")
+    path = path or scratch_path(spark, "messages")
     from corpusflow.sources.messages import TS_FORMAT
     m = messages(spark, sf_dir).withColumns({"p": F.col("partition"),
                                              "b": F.floor(F.col("offset") / batch_size).cast("long")})
-    (m.repartition("p", "b").sortWithinPartitions("p", "offset")
-      .write.partitionBy("p", "b").option("timestampFormat", TS_FORMAT).json(path))
+    (m.where(F.col("offset") % part[1] == part[0]).repartition("p", "b").sortWithinPartitions("p", "offset")
+      .write.mode("append").partitionBy("p", "b").option("timestampFormat", TS_FORMAT).json(path))
     return path

@@ -214,29 +214,30 @@ INGEST_EXTS = [".txt", ".md", ".pdf"]
 
 def _sql_ingest_objects() -> str:
     from corpusflow.plans.q_masking import sql_mask_chain
-    chain, last = sql_mask_chain("ch")
-    return f"""WITH obj AS (
+    chain, last = sql_mask_chain("obj")
+    return f"""WITH src AS (
   SELECT doc_id, lang || '/doc_' || doc_id::VARCHAR || ['.txt', '.pdf', '.docx', '.md'][(doc_id % 4) + 1] AS key, text
-  FROM documents WHERE doc_id % 4 IN (0, 3)),
-w AS (SELECT key, doc_id * 1000000 + s AS cid, s // 800 AS chunk_index, substr(text, s + 1, 1000) AS content
-      FROM (SELECT *, unnest(range(0, length(text), 800)) AS s FROM obj)),
-ch AS (SELECT cid AS doc_id, content AS text FROM w),
+  FROM documents WHERE doc_id % 4 IN (0, 1, 3)),
+obj AS (SELECT doc_id, text FROM src WHERE doc_id % 4 <> 1),
 {chain}
-SELECT w.key, w.chunk_index::BIGINT AS chunk_index, m.t AS content, len(m.found)::BIGINT AS pii_entities_count
-FROM w JOIN {last} m ON m.doc_id = w.cid"""
+SELECT key, (s // 800)::BIGINT AS chunk_index, substr(t, s + 1, 1000) AS content, n AS pii_entities_count, NULL AS error
+FROM (SELECT src.key, m.t, len(m.found)::BIGINT AS n, unnest(range(0, length(m.t), 800)) AS s
+      FROM src JOIN {last} m ON m.doc_id = src.doc_id)
+UNION ALL SELECT key, NULL, NULL, NULL, 'no parser for route pdf' FROM src WHERE doc_id % 4 = 1"""
 
 
 @register("ingest_objects", _sql_ingest_objects())
 def q_ingest_objects(spark, sf_dir):
-    """Landed document objects (.txt .md .pdf) routed, decoded, chunked
-    (1000/200), masked and upserted into a snapshot store; PDFs are
-    quarantined (no decoder)."""
+    """Landed document objects (.txt .md .pdf) routed, decoded, masked,
+    chunked (1000/200) and upserted into a snapshot store; PDFs are
+    quarantined (no decoder) and returned with their reason."""
     from corpusflow.operators.ingest import ingest_objects
     root = fx.land_document_objects(spark, sf_dir)
     store = gv.SnapshotTable(spark, scratch_path(spark, "ingest-store"))
     r = ingest_objects(spark, root, extensions=INGEST_EXTS, store=store, run_id="e1")
-    return r.chunks.select(F.col("metadata.key").alias("key"), F.col("chunk_index").cast("long").alias("chunk_index"),
-                           "content", F.col("pii_entities_count").cast("long").alias("pii_entities_count"))
+    chunks = r.chunks.select(F.col("metadata.key").alias("key"), F.col("chunk_index").cast("long").alias("chunk_index"),
+                             "content", F.col("pii_entities_count").cast("long").alias("pii_entities_count"))
+    return chunks.unionByName(r.quarantine.select("key", "error"), allowMissingColumns=True)
 
 
 def _sql_ingest_stream() -> str:
@@ -254,11 +255,32 @@ FROM {last}"""
 
 @register("ingest_stream", _sql_ingest_stream())
 def q_ingest_stream(spark, sf_dir):
-    """Landed sensor messages ingested as a stream: each micro-batch is
-    turned into one masked chunk per reading and upserted (snapshot version =
-    batch id + 1, so replays are no-ops)."""
+    """Sensor messages landed in two halves, each ingested by a run of the
+    stream on the same store; the second run goes on where the first ended."""
+    return _ingested(spark, sf_dir).read().select(
+        "chunk_id", "content", F.col("pii_entities_count").cast("long").alias("pii_entities_count"))
+
+
+def _ingested(spark, sf_dir):
     from corpusflow.operators.ingest import ingest_message_stream
-    path = fx.land_messages(spark, sf_dir)
+    path = scratch_path(spark, "messages")
     store = gv.SnapshotTable(spark, scratch_path(spark, "stream-store"))
-    snap = ingest_message_stream(msg.read_messages(spark, path, files_per_trigger=100), store)
-    return snap.select("chunk_id", "content", F.col("pii_entities_count").cast("long").alias("pii_entities_count"))
+    for half in (0, 1):
+        fx.land_messages(spark, sf_dir, path=path, part=(half, 2))
+        ingest_message_stream(msg.read_messages(spark, path, files_per_trigger=100), store)
+    return store
+
+
+@register("stream_quarantine", """SELECT 'kafka://iot-sensors/' || (event_id % 4)::VARCHAR || '/' || (event_id // 4)::VARCHAR AS document_id
+FROM events WHERE event_id % 97 = 0 OR event_id % 89 = 0""")
+def q_stream_quarantine(spark, sf_dir):
+    """G4 of a stream: the messages that aren't JSON objects, from both runs."""
+    return spark.read.parquet(_ingested(spark, sf_dir).side("quarantine")).select("document_id")
+
+
+@register("stream_run_stats", """SELECT count(*)::BIGINT AS total, count(*) FILTER (WHERE event_id % 97 <> 0 AND event_id % 89 <> 0)::BIGINT AS successful,
+       count(*) FILTER (WHERE event_id % 97 = 0 OR event_id % 89 = 0)::BIGINT AS failed FROM events""")
+def q_stream_run_stats(spark, sf_dir):
+    """G3 of a stream: counters summed over all batches of both runs."""
+    stats = spark.read.parquet(_ingested(spark, sf_dir).side("run_stats"))
+    return stats.agg(*[F.sum(c).cast("long").alias(c) for c in ("total", "successful", "failed")])

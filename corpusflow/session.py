@@ -32,9 +32,9 @@ def get_session(master: str | None = None, cpus: int | None = None,
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    n = cpus or os.cpu_count() or 8
     conf = dict(DEFAULT_CONF)
-    conf.setdefault("spark.sql.shuffle.partitions", str(n))
+    if master:  # a local session; on a cluster the launcher's setting holds
+        conf["spark.sql.shuffle.partitions"] = str(cpus or os.cpu_count() or 8)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -89,6 +89,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="corpusflow-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

@@ -72,12 +72,12 @@ def _binary(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
 
 
 def list_objects(spark: SparkSession, root: str, prefix: str = "", suffix: str | None = None,
-                 max_keys: int | None = 1000) -> DataFrame:
+                 max_keys: int | None = None) -> DataFrame:
     """``key, size, last_modified, etag, bucket`` under ``prefix``.
     (Zero-length objects produce no file splits and are not listed.)
 
     ``max_keys`` caps the listing in key order *before* the suffix test (as
-    an object-store page does); ``None`` lists everything. ``etag`` needs the
+    an object-store page does); by default everything is listed. ``etag`` needs the
     body and is left null here (see :func:`read_objects`)."""
     bucket = posixpath.basename(root.rstrip("/"))
     d = _binary(spark, root, prefix).select(

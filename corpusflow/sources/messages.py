@@ -39,10 +39,9 @@ def read_messages(spark: SparkSession, path: str | None = None, kafka_options: d
 
 
 def consume_messages(spark: SparkSession, path: str | None = None, kafka_options: dict | None = None,
-                     max_messages: int | None = 100) -> DataFrame:
-    """S9 bounded read: decoded envelopes of at most ``max_messages``
-    messages, taken in (partition, offset) order (the cap is the feature);
-    ``None`` reads everything available."""
+                     max_messages: int | None = None) -> DataFrame:
+    """S9 bounded read: decoded envelopes of everything available, or of the
+    first ``max_messages`` in (partition, offset) order if the caller names a cap."""
     m = read_messages(spark, path, kafka_options, streaming=False)
     if max_messages is not None:
         m = m.orderBy("partition", "offset").limit(max_messages)

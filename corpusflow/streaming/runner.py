@@ -11,14 +11,15 @@ from corpusflow.session import scratch_path
 
 def run_available(stream: DataFrame, name: str, out_path: str | None = None,
                   fmt: str = "parquet", foreach_batch: Callable | None = None,
-                  output_mode: str = "append") -> str:
+                  output_mode: str = "append", checkpoint: str | None = None) -> str:
     """Process everything currently available (``availableNow``) and stop.
 
-    The checkpoint lives in the shared checkpoint folder, so a restarted job
-    resumes from the last committed batch instead of reprocessing. Returns the
-    output path (or the checkpoint path when ``foreach_batch`` is used)."""
+    With ``checkpoint``, a path that the caller keeps, a later run resumes
+    after the last committed batch; without one, every run starts afresh in a
+    new folder of the shared scratch area. Returns the output path (or the
+    checkpoint path when ``foreach_batch`` is used)."""
     spark = stream.sparkSession
-    ckpt = scratch_path(spark, f"{name}-ckpt")
+    ckpt = checkpoint or scratch_path(spark, f"{name}-ckpt")
     w = stream.writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True) \
               .outputMode(output_mode)
     if foreach_batch is not None:

@@ -66,7 +66,10 @@ def test_upsert_idempotent(spark):
     first = sorted((r.chunk_id, r.content) for r in store.read().collect())
     assert first == [("1-0", "a"), ("1-1", "B")]
     # re-running the same version is a no-op; re-applying b2 changes nothing
-    assert store.write(store.read(), version=v) == v
+    assert not store.committed("s", 0)
+    store.commit("s", 0)
+    assert store.committed("s", 0) and not store.committed("s", 1) and not store.committed("t", 0)
+    assert store.current_version() == v
     gv.upsert_snapshot(store, b2)
     assert sorted((r.chunk_id, r.content) for r in store.read().collect()) == first
 
