@@ -130,10 +130,12 @@ def test_hybrid_default_k(spark):
     vecs = spark.createDataFrame([(i + 1, m[i].tolist()) for i in range(5)], "doc_id long, embedding array<double>")
     corpus = rt.HybridCorpus(build_text_index(docs), vecs, docs)
     q = spark.createDataFrame([(1, "singapore port", m[0].tolist())], "query_id long, query_text string, qvec array<double>")
-    res = rt.hybrid_search(corpus, q, top_k_=0).collect()
+    with pytest.raises(ValueError):  # no role and no clearance column: nothing may be read
+        rt.hybrid_search(corpus, q, top_k_=0)
+    res = rt.hybrid_search(corpus, q, top_k_=0, unrestricted=True).collect()
     assert len(res) == 5
     assert sorted(r["rank"] for r in res) == [1, 2, 3, 4, 5]
-    resp = rt.query_response(rt.hybrid_search(corpus, q, 3), q).collect()[0]
+    resp = rt.query_response(rt.hybrid_search(corpus, q, 3, unrestricted=True), q).collect()[0]
     assert resp.sources_count == 3 and [s["rank"] for s in resp.sources] == [1, 2, 3]
 
 
