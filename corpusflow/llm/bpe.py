@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corpusflow.llm.common import id_text
 
-#: Pieces that a worker remembers in each of two generations.
-REMEMBERED = 500_000
+#: Pieces that a worker remembers in each of two generations (and a third as many pre-tokens).
+REMEMBERED = 300_000
 #: Longer pieces aren't remembered.
 LONG = 256
 
@@ -85,8 +85,8 @@ class Memory(dict):
     """Value of a bounded number of keys, computed when missing. A full generation becomes the
     old one, whose entries come back when asked for."""
 
-    def __init__(self, make):
-        self.make, self.old = make, {}
+    def __init__(self, make, limit: int):
+        self.make, self.limit, self.old = make, limit, {}
 
     def __missing__(self, key):
         value = self.old.get(key)
@@ -94,7 +94,7 @@ class Memory(dict):
             value = self.make(key)
             if len(key) > LONG:
                 return value
-        if len(self) >= REMEMBERED:
+        if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
         self[key] = value
@@ -108,8 +108,8 @@ class Codec:
         self.numbers = {rank: str(rank) for rank in self.tokens}
         self.find = regex.compile(pattern).findall
         self.queue = RankQueue(max(self.tokens, default=0) + 1)
-        self.words = Memory(lambda token: tuple(self.merge(token.encode())))
-        self.pieces = Memory(lambda piece: tuple(self.piece_ids(" " + piece)))
+        self.words = Memory(lambda token: tuple(self.merge(token.encode())), REMEMBERED // 3)
+        self.pieces = Memory(lambda piece: tuple(self.piece_ids(" " + piece)), REMEMBERED)
 
     def merge(self, token: bytes) -> list[int]:
         """Ids of one pre-token."""
