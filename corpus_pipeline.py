@@ -18,6 +18,10 @@ from corpusflow.llm.simhash import drop_near_copies
 from corpusflow.session import prepare
 
 
+#: What a worker remembers while encoding; less than by default, as it also holds other stages' memory.
+REMEMBERED = 200_000
+
+
 def language_id(spark, docs, sf_dir):
     """Drop documents in no language (null, empty and letterless texts)."""
     prepare(spark)
@@ -45,7 +49,7 @@ def decontaminate(spark, docs, sf_dir):
 def byte_bpe(spark, docs, sf_dir):
     """Encode and decode what is left: doc_id, n_tokens and digests of the ids and bytes."""
     prepare(spark)
-    return encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, remembered=REMEMBERED)
 
 
 STAGES = [

@@ -26,8 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from corpusflow.llm.common import id_text
 
-#: Pieces that a worker remembers in each of two generations (and a third as many pre-tokens).
-REMEMBERED = 300_000
+#: Pieces, and pre-tokens, that a worker remembers in each of two generations.
+REMEMBERED = 500_000
 #: Longer pieces aren't remembered.
 LONG = 256
 
@@ -102,14 +102,14 @@ class Memory(dict):
 
 
 class Codec:
-    def __init__(self, rank_file: bytes, pattern: str):
+    def __init__(self, rank_file: bytes, pattern: str, remembered: int | None = None):
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, rank_file.splitlines())}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.numbers = {rank: str(rank) for rank in self.tokens}
         self.find = regex.compile(pattern).findall
         self.queue = RankQueue(max(self.tokens, default=0) + 1)
-        self.words = Memory(lambda token: tuple(self.merge(token.encode())), REMEMBERED // 3)
-        self.pieces = Memory(lambda piece: tuple(self.piece_ids(" " + piece)), REMEMBERED)
+        self.words = Memory(lambda token: tuple(self.merge(token.encode())), remembered or REMEMBERED)
+        self.pieces = Memory(lambda piece: tuple(self.piece_ids(" " + piece)), remembered or REMEMBERED)
 
     def merge(self, token: bytes) -> list[int]:
         """Ids of one pre-token."""
@@ -175,10 +175,10 @@ class Codec:
         return sum(map(len, self.encode_pieces(text)))
 
 
-@lru_cache(maxsize=4)
-def codec(rank_file: bytes, pattern: str) -> Codec:
-    """One codec per worker process and vocabulary."""
-    return Codec(rank_file, pattern)
+@lru_cache(maxsize=1)
+def codec(rank_file: bytes, pattern: str, remembered: int | None = None) -> Codec:
+    """The codec of a worker process, with what it remembers."""
+    return Codec(rank_file, pattern, remembered)
 
 
 def shared_vocabulary(spark: SparkSession, path: str):
@@ -187,9 +187,9 @@ def shared_vocabulary(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
-def _rows(ranks, pattern, with_ids):
+def _rows(ranks, pattern, with_ids, remembered):
     def run(batches):
-        own = codec(ranks.value, pattern)
+        own = codec(ranks.value, pattern, remembered)
         for batch in batches:
             counts, coded, decoded, lists = [], [], [], []
             for text in batch.column("text"):
@@ -206,16 +206,16 @@ def _rows(ranks, pattern, with_ids):
     return run
 
 
-def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, remembered: int = REMEMBERED) -> DataFrame:
     """One row per input row: ``doc_id, n_tokens, ids_sha256, decoded_sha256`` and, if asked for, ``ids``.
 
     ``ids`` are those of ``tiktoken`` with the same ranks and pattern and no special tokens.
     ``ids_sha256`` is over the decimal ids joined by one space, ``decoded_sha256`` over the bytes
-    decoded from the ids. Null text is empty; an empty text has no ids. No rows give no rows.
+    decoded from the ids. ``remembered`` trades a worker's memory for time. Null text is empty; an empty text has no ids. No rows give no rows.
     """
     rows = id_text(docs, id_col, text_col)
     schema = f"doc_id {dict(rows.dtypes)['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return rows.mapInArrow(_rows(shared_vocabulary(docs.sparkSession, vocabulary), pattern, with_ids), schema)
+    return rows.mapInArrow(_rows(shared_vocabulary(docs.sparkSession, vocabulary), pattern, with_ids, remembered), schema)
 
 
 def _decode(ranks, pattern):
