@@ -25,7 +25,7 @@ SAMPLE_CHARS = 4000
 SPAN = 48
 HIDDEN, STEPS, BATCH, RATE = 12, 450, 512, 0.012
 #: Words that run through the network at once.
-CHUNK = 8192
+CHUNK = 2048
 UNKNOWN = "und"
 
 
