@@ -19,7 +19,7 @@ from corpusflow.session import prepare
 
 
 #: What a worker remembers while encoding; less than by default, as it also holds other stages' memory.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 
 def language_id(spark, docs, sf_dir):
