@@ -85,14 +85,16 @@ SENSOR_FIELDS = ["sensor_id", "sensor_type", "value", "location"]
 def ingest_messages_batch(batch: DataFrame, batch_id: int, store: gv.SnapshotTable,
                           sensor_types: list[str] | None = None, mask: bool = True,
                           run_id: str = "stream", stream: str = "stream") -> None:
-    """E2 step for one micro-batch: sensor messages -> mask -> one ``key: value``
-    chunk each -> upsert. What isn't a JSON object goes to the store's quarantine;
+    """E2 step for one micro-batch: sensor messages -> one ``key: value`` chunk each
+    (the sensor fields, then all others by name) -> mask -> upsert. What isn't a JSON object goes to the store's quarantine;
     lineage and counts of the batch are written beside it."""
     if store.committed(stream, batch_id):
         return
     batch = batch.persist()
     ok, bad = iot_readings(decode_messages(batch), sensor_types)
-    text = record_text(SENSOR_FIELDS, [F.col(c) for c in SENSOR_FIELDS])
+    more = F.array_sort(F.map_entries(F.map_filter("payload", lambda k, v: ~k.isin(*SENSOR_FIELDS))))
+    text = F.concat_ws("\n", record_text(SENSOR_FIELDS, [F.col(c) for c in SENSOR_FIELDS]), F.transform(
+        more, lambda e: F.concat(e["key"], F.lit(": "), F.coalesce(e["value"], F.lit("None")))))
     docs = ok.select(F.col("metadata.source_uri").alias("document_id"), "metadata",
                      text.alias("content"), F.lit(0).alias("chunk_index"), F.lit(1).alias("total_chunks"),
                      F.lit("single").alias("chunking_method"))

@@ -66,7 +66,7 @@ def clearance_for_role(role: Column, unrestricted: bool = True) -> Column:
             .otherwise(F.coalesce(F.element_at(m, role), default))
 
 
-def with_clearance(queries: DataFrame, role_col: str = "user_role", unrestricted: bool = True) -> DataFrame:
+def with_clearance(queries: DataFrame, role_col: str = "user_role", unrestricted: bool = False) -> DataFrame:
     """Add ``allowed_clearance`` from the role (kept if already present).
     Without a role column, nothing is added when ``unrestricted``; otherwise
     every query reads public documents only."""
@@ -175,8 +175,8 @@ def bm25_scores(index: TextIndex, queries: DataFrame, k1: float = BM25_K1,
     idf = F.log(1.0 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = F.col("tf") + k1 * (1.0 - b + b * F.col("dl") / avgdl)
     w = idf * F.col("tf") * (k1 + 1.0) / norm
-    # dfreq has one row per distinct query term, already bounded by the check above
-    scored = match.join(F.broadcast(dfreq), "term").join(qt_side, "term")
+    # dfreq has one row per distinct query term: broadcast only if the check above bounds them
+    scored = match.join(F.broadcast(dfreq) if small else dfreq, "term").join(qt_side, "term")
     if fields:
         scored = scored.where(filter_predicate(fields))
     return scored.select("query_id", "doc_id", w.alias("w")) \
@@ -184,14 +184,16 @@ def bm25_scores(index: TextIndex, queries: DataFrame, k1: float = BM25_K1,
 
 
 def bm25_search(index: TextIndex, queries: DataFrame, k: int = 10, docs: DataFrame | None = None,
-                k1: float = BM25_K1, b: float = BM25_B, text_col: str = "query_text") -> DataFrame:
+                k1: float = BM25_K1, b: float = BM25_B, text_col: str = "query_text",
+                unrestricted: bool = False) -> DataFrame:
     """R1 (+R3, R8): filtered keyword top-k with min-max normalised score.
 
     Filters on document columns carried by the index run inside the
     query-term join; any others join ``docs`` on the aggregated candidates.
+    A query without a role reads public documents only, unless ``unrestricted``.
     Returns ``query_id, doc_id, bm25_raw, bm25_score, bm25_rank``.
     """
-    queries = with_clearance(queries)
+    queries = with_clearance(queries, unrestricted=unrestricted)
     fields = _active_filters(queries, docs)
     on_postings = [f for f in fields if f[1] in index.postings.columns]
     rest = [f for f in fields if f not in on_postings]
@@ -206,8 +208,8 @@ def bm25_search(index: TextIndex, queries: DataFrame, k: int = 10, docs: DataFra
 
 # ------------------------------------------------------------- R2 vectors
 
-# Upper bound on broadcast query payload (rows x dims x 8 bytes).
-QUERY_BROADCAST_BYTES = 256 * 1024 * 1024
+# Upper bound on broadcast query vectors (numbers x 8 bytes).
+QUERY_BROADCAST_BYTES = 64 * 1024 * 1024
 BLOCK_ROWS = 4096
 
 
@@ -232,7 +234,7 @@ def _block_topk(qids, qmat, qmeta, dids, dmat, dmeta, k, exclude_self, fields):
             kth = np.partition(s[cand], len(cand) - k)[len(cand) - k]
             # keep everything that could tie with the k-th after rounding
             cand = cand[s[cand] >= kth - 2 * 10.0 ** (-COSINE_DIGITS)]
-        out_q.append(np.full(len(cand), qid))
+        out_q.append(np.repeat(qids[i:i + 1], len(cand)))
         out_d.append(dids[cand])
         out_s.append(s[cand])
     if not out_q:
@@ -253,21 +255,24 @@ def _qmeta_rows(pdf: pd.DataFrame, fields):
         if cols else [None] * len(pdf)
 
 
-KNN_SCHEMA = "query_id long, doc_id long, cosine double"
+def _knn_schema(q: DataFrame, d: DataFrame) -> str:
+    """Candidates keep the types of both ids (numbers, strings, ...)."""
+    return f"query_id {dict(q.dtypes)['query_id']}, doc_id {dict(d.dtypes)['doc_id']}, cosine double"
 
 
 def knn_candidates(queries: DataFrame, vectors: DataFrame, k: int,
                    exclude_self: bool = False, docs: DataFrame | None = None,
-                   qvec_col: str = "qvec") -> DataFrame:
+                   qvec_col: str = "qvec", unrestricted: bool = False) -> DataFrame:
     """Exact cosine k-NN candidates ``(query_id, doc_id, cosine)``.
 
-    ``vectors`` is ``(doc_id, embedding)``. Each task multiplies a block of
+    ``vectors`` is ``(doc_id, embedding)``; ids may be of any type. Each task multiplies a block of
     queries by a block of documents with numpy and emits only its local top-k
     per query; no query x document pair becomes a row. Small query tables are
     broadcast (bounded by ``QUERY_BROADCAST_BYTES``); larger ones are split into
-    blocks and paired with document blocks through a keyed cogroup.
+    blocks and paired with document blocks through a keyed cogroup. A query
+    without a role reads public documents only, unless ``unrestricted``.
     """
-    queries = with_clearance(queries)
+    queries = with_clearance(queries, unrestricted=unrestricted)
     fields = _active_filters(queries, docs if docs is not None else vectors)
     meta_cols = sorted({f[1] for f in fields})
     d = vectors
@@ -279,20 +284,17 @@ def knn_candidates(queries: DataFrame, vectors: DataFrame, k: int,
     q = queries.select("query_id", F.col(qvec_col).alias("qvec"), *[f[0] for f in fields]) \
                .where(F.col("qvec").isNotNull())
 
-    # queries are collected for broadcasting only below a byte bound (rows x
-    # dims x 8); one bounded collect both checks and fetches them
-    dim_guess = 3072
-    max_rows = max(1, QUERY_BROADCAST_BYTES // (8 * dim_guess))
-    qpdf = q.limit(max_rows + 1).toPandas()
-    if len(qpdf) <= max_rows:
-        return _knn_broadcast(qpdf, d, k, exclude_self, fields)
+    # queries are collected for broadcasting only below a bound on their measured size
+    numbers = q.agg(F.sum(F.size("qvec").cast("long"))).first()[0] or 0
+    if 8 * numbers <= QUERY_BROADCAST_BYTES:
+        return _knn_broadcast(q, d, k, exclude_self, fields)
     return _knn_blocked(q, d, k, exclude_self, fields)
 
 
-def _knn_broadcast(qpdf, d, k, exclude_self, fields):
-    spark = d.sparkSession
+def _knn_broadcast(q, d, k, exclude_self, fields):
+    spark, qpdf = d.sparkSession, q.toPandas()
     payload = {
-        "ids": qpdf["query_id"].to_numpy(dtype=np.int64),
+        "ids": qpdf["query_id"].to_numpy(),
         "mat": _unit_rows(qpdf["qvec"]) if len(qpdf) else np.zeros((0, 1)),
         "meta": _qmeta_rows(qpdf, fields),
     }
@@ -305,12 +307,12 @@ def _knn_broadcast(qpdf, d, k, exclude_self, fields):
                 continue
             dmat = _unit_rows(pdf["embedding"])
             qs, ds, ss = _block_topk(p["ids"], p["mat"], p["meta"],
-                                     pdf["doc_id"].to_numpy(dtype=np.int64), dmat, pdf,
+                                     pdf["doc_id"].to_numpy(), dmat, pdf,
                                      k, exclude_self, fields)
             if len(qs):
                 yield pd.DataFrame({"query_id": qs, "doc_id": ds, "cosine": ss})
 
-    return d.mapInPandas(run, KNN_SCHEMA)
+    return d.mapInPandas(run, _knn_schema(q, d))
 
 
 def _knn_blocked(q, d, k, exclude_self, fields):
@@ -325,25 +327,26 @@ def _knn_blocked(q, d, k, exclude_self, fields):
     def run(qpdf, dpdf):
         if qpdf.empty or dpdf.empty:
             return pd.DataFrame({"query_id": [], "doc_id": [], "cosine": []})
-        qs, ds, ss = _block_topk(qpdf["query_id"].to_numpy(dtype=np.int64),
+        qs, ds, ss = _block_topk(qpdf["query_id"].to_numpy(),
                                  _unit_rows(qpdf["qvec"]), _qmeta_rows(qpdf, fields),
-                                 dpdf["doc_id"].to_numpy(dtype=np.int64),
+                                 dpdf["doc_id"].to_numpy(),
                                  _unit_rows(dpdf["embedding"]), dpdf,
                                  k, exclude_self, fields)
         return pd.DataFrame({"query_id": qs, "doc_id": ds, "cosine": ss})
 
     return (qx.groupBy("qb", "db").cogroup(dx.groupBy("qb", "db"))
-            .applyInPandas(run, KNN_SCHEMA))
+            .applyInPandas(run, _knn_schema(q, d)))
 
 
 def vector_search(queries: DataFrame, vectors: DataFrame, k: int = 10,
                   docs: DataFrame | None = None, exclude_self: bool = False,
-                  qvec_col: str = "qvec") -> DataFrame:
+                  qvec_col: str = "qvec", unrestricted: bool = False) -> DataFrame:
     """R2 (+R3, R8): filtered cosine top-k with min-max normalised score.
+    A query without a role reads public documents only, unless ``unrestricted``.
 
     Returns ``query_id, doc_id, cosine, sem_score, sem_rank``.
     """
-    cand = knn_candidates(queries, vectors, k, exclude_self, docs, qvec_col)
+    cand = knn_candidates(queries, vectors, k, exclude_self, docs, qvec_col, unrestricted)
     top = top_k(cand, k, "cosine", digits=COSINE_DIGITS, rank_col="sem_rank")
     top = minmax_normalize(top, "cosine", "sem_score")
     return top.select("query_id", "doc_id", "cosine", "sem_score", "sem_rank")
@@ -439,8 +442,8 @@ def hybrid_search(corpus: HybridCorpus, queries: DataFrame, top_k_: int | None =
     """
     k = top_k_ or DEFAULT_TOP_K
     queries = with_clearance(queries, unrestricted=unrestricted)
-    sem = vector_search(queries, corpus.vectors, 2 * k, docs=corpus.docs)
-    bm = bm25_search(corpus.index, queries, 2 * k, docs=corpus.docs)
+    sem = vector_search(queries, corpus.vectors, 2 * k, docs=corpus.docs, unrestricted=unrestricted)
+    bm = bm25_search(corpus.index, queries, 2 * k, docs=corpus.docs, unrestricted=unrestricted)
     fused = fuse(sem, bm, semantic_weight, bm25_weight)
     if enable_rerank:
         # at most 2k semantic + 2k keyword candidates per query; counting the
@@ -454,18 +457,18 @@ def hybrid_search(corpus: HybridCorpus, queries: DataFrame, top_k_: int | None =
 
 
 def similar_documents(vectors: DataFrame, k: int = DEFAULT_TOP_K,
-                      queries: DataFrame | None = None) -> DataFrame:
+                      queries: DataFrame | None = None, docs: DataFrame | None = None,
+                      unrestricted: bool = False) -> DataFrame:
     """Nearest stored documents to stored documents, excluding the
-    document itself. ``queries`` (``query_id``) selects which stored
-    documents to ask about; default is every stored document (a k-NN table).
-    Unknown ids give no rows. Returns ``query_id, doc_id, cosine, rank``."""
-    if queries is None:
-        q = vectors.select(F.col("doc_id").alias("query_id"), F.col("embedding").alias("qvec"))
-    else:
-        q = queries.select("query_id").join(
-            vectors.select(F.col("doc_id").alias("query_id"), F.col("embedding").alias("qvec")),
-            "query_id")
-    cand = knn_candidates(q, vectors, k, exclude_self=True)
+    document itself. ``queries`` (``query_id``, and if wanted ``user_role`` and
+    filter columns) selects which stored documents to ask about; default is
+    every stored document (a k-NN table). Unknown ids give no rows. Without a
+    role only public documents are found, unless ``unrestricted``; ``docs``
+    holds the columns to filter by, if ``vectors`` doesn't.
+    Returns ``query_id, doc_id, cosine, rank``."""
+    own = vectors.select(F.col("doc_id").alias("query_id"), F.col("embedding").alias("qvec"))
+    q = own if queries is None else queries.join(own, "query_id")
+    cand = knn_candidates(q, vectors, k, exclude_self=True, docs=docs, unrestricted=unrestricted)
     return top_k(cand, k, "cosine", digits=COSINE_DIGITS)
 
 

@@ -33,7 +33,7 @@ FROM top"""
 def q_bm25_topk(spark, sf_dir):
     """R12 index over all documents, R1 top-10 for every benchmark item, R3."""
     index = build_text_index(read_table(spark, sf_dir, "documents"))
-    res = bm25_search(index, fx.text_queries(spark, sf_dir), k=BM25_K)
+    res = bm25_search(index, fx.text_queries(spark, sf_dir), k=BM25_K, unrestricted=True)
     return res.select("query_id", "doc_id", F.col("bm25_rank").cast("long").alias("rank"),
                       F.round("bm25_raw", 6).alias("bm25_raw"), r6("bm25_score"))
 
@@ -57,7 +57,7 @@ def q_vector_topk(spark, sf_dir):
     """R2 + R3: exact cosine top-10 over all embeddings for every benchmark
     item's vector (vec_id = item_id)."""
     q = fx.hybrid_queries(spark, sf_dir, with_roles=False)
-    res = vector_search(q, fx.all_vectors(spark, sf_dir), k=VEC_K)
+    res = vector_search(q, fx.all_vectors(spark, sf_dir), k=VEC_K, unrestricted=True)
     return res.select("query_id", "doc_id", F.col("sem_rank").cast("long").alias("rank"),
                       r6("cosine"), r6("sem_score"))
 
@@ -76,7 +76,7 @@ SELECT query_id, doc_id, rank::BIGINT AS rank, round(cosine, 6) AS cosine FROM t
 @register("similar_documents", SQL_SIMILAR)
 def q_similar_documents(spark, sf_dir):
     """R10 batch form: the 5 nearest other vectors of every stored vector."""
-    res = similar_documents(fx.all_vectors(spark, sf_dir), k=SIM_K)
+    res = similar_documents(fx.all_vectors(spark, sf_dir), k=SIM_K, unrestricted=True)
     return res.select("query_id", "doc_id", F.col("rank").cast("long").alias("rank"), r6("cosine"))
 
 

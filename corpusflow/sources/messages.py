@@ -77,7 +77,8 @@ def decode_messages(msgs: DataFrame) -> DataFrame:
 
 def iot_readings(decoded: DataFrame, sensor_types: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Keep object messages of the listed sensor types and project
-    ``sensor_id, sensor_type, location, value``; tag
+    ``sensor_id, sensor_type, location, value`` and all fields as ``payload``
+    (names to texts, nested values as JSON); tag
     ``document_type='iot_sensor_data'``. Non-object messages go to the second
     (quarantine) DataFrame instead of failing the stream."""
     ok = decoded.where(F.col("content_kind") == "object")
@@ -91,7 +92,8 @@ def iot_readings(decoded: DataFrame, sensor_types: list[str] | None = None) -> t
         F.try_variant_get("content", "$.sensor_id", "string").alias("sensor_id"), st.alias("sensor_type"),
         F.try_variant_get("content", "$.location", "string").alias("location"),
         F.try_variant_get("content", "$.value", "double").alias("value"),
-        F.lit("iot_sensor_data").alias("document_type"))
+        F.lit("iot_sensor_data").alias("document_type"),
+        F.try_variant_get("content", "$", "map<string,string>").alias("payload"))
     return ok, bad
 
 

@@ -4,7 +4,9 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpusflow.operators import governance as gv
-from corpusflow.operators.retrieval import _active_filters, filter_predicate
+from corpusflow.operators.ingest import ingest_messages_batch
+from corpusflow.operators.retrieval import _active_filters, filter_predicate, similar_documents, vector_search
+from corpusflow.session import scratch_path
 
 
 def test_versions_without_exchange_reuse(spark):
@@ -41,3 +43,23 @@ def test_empty_clearance_allows_nothing(spark):
                                  "q int, allowed_clearance array<string>, security_clearance string")
     kept = rows.where(filter_predicate([("allowed_clearance", "security_clearance", "clear")]))
     assert sorted(r.q for r in kept.collect()) == [2, 4]
+
+
+def test_vector_search_by_string_ids_without_a_role_reads_public_only(spark):
+    v = spark.createDataFrame([("a", [1.0, 0.0], "public"), ("b", [1.0, 0.1], "restricted"), ("c", [0.0, 1.0], "public")],
+                              "doc_id string, embedding array<double>, security_clearance string")
+    q = spark.createDataFrame([("q1", [1.0, 0.0])], "query_id string, qvec array<double>")
+    assert [r.doc_id for r in vector_search(q, v, k=3).orderBy("sem_rank").collect()] == ["a", "c"]
+    assert [r.doc_id for r in vector_search(q, v, k=3, unrestricted=True).orderBy("sem_rank").collect()] == ["a", "b", "c"]
+    got = similar_documents(v, k=1, queries=spark.createDataFrame([("c", "viewer"), ("a", "admin")], "query_id string, user_role string"))
+    assert {(r.query_id, r.doc_id) for r in got.collect()} == {("c", "a"), ("a", "b")}
+
+
+def test_sensor_messages_keep_all_fields(spark):
+    value = '{"sensor_id": "s1", "sensor_type": "t", "value": 1.5, "location": "x", "battery": 7, "tags": {"k": null}, "none": null}'
+    m = spark.createDataFrame([("k", value, "iot", 0, 3)], "key string, value string, topic string, partition int, offset long")
+    store = gv.SnapshotTable(spark, scratch_path(spark, "fields"))
+    ingest_messages_batch(m.withColumn("timestamp", F.current_timestamp()), 0, store, mask=False)
+    lines = store.read().first().content.split("\n")
+    assert lines[:4] == ["sensor_id: s1", "sensor_type: t", "value: 1.5", "location: x"]
+    assert lines[4:] == ["battery: 7", "none: None", 'tags: {"k":null}']

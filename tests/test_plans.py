@@ -38,12 +38,12 @@ def test_bm25_plan_broadcasts_terms_and_limits_before_shuffle(spark):
         F.col("item_id").alias("query_id"), F.col("text").alias("query_text"))
     # lazy index: query-term postings are checkpointed, the top-k is limited per
     # task before the exchange
-    plan = _plan(bm25_search(build_text_index(_docs(spark)), q, 10))
+    plan = _plan(bm25_search(build_text_index(_docs(spark)), q, 10, unrestricted=True))
     assert "BroadcastHashJoin" in plan
     assert "WindowGroupLimit" in plan and "Partial" in plan
     # materialised index: the term semi-join is a broadcast join on the postings scan
     idx = build_text_index(_docs(spark), path=scratch_path(spark, "test-plan-index"))
-    plan = _plan(bm25_search(idx, q, 10))
+    plan = _plan(bm25_search(idx, q, 10, unrestricted=True))
     assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
 
 

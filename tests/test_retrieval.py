@@ -100,7 +100,7 @@ def test_knn_matches_numpy(spark, monkeypatch, blocked):
         monkeypatch.setattr(rt, "QUERY_BROADCAST_BYTES", 1)
         monkeypatch.setattr(rt, "BLOCK_ROWS", 7)
     vecs = spark.createDataFrame([(i, m[i].tolist()) for i in range(len(m))], "doc_id long, embedding array<double>")
-    got = rt.similar_documents(vecs, k=3).collect()
+    got = rt.similar_documents(vecs, k=3, unrestricted=True).collect()
     u = m / np.linalg.norm(m, axis=1, keepdims=True)
     s = u @ u.T
     np.fill_diagonal(s, -np.inf)
@@ -161,7 +161,7 @@ def test_similar_documents_unknown_id(spark):
     m = _vectors(6, 4)
     vecs = spark.createDataFrame([(i, m[i].tolist()) for i in range(6)], "doc_id long, embedding array<double>")
     q = spark.createDataFrame([(99,), (2,)], "query_id long")
-    res = rt.similar_documents(vecs, k=2, queries=q).collect()
+    res = rt.similar_documents(vecs, k=2, queries=q, unrestricted=True).collect()
     assert {r.query_id for r in res} == {2} and all(r.doc_id != 2 for r in res)
 
 
