@@ -187,7 +187,7 @@ def shared_vocabulary(spark: SparkSession, path: str):
         return spark.sparkContext.broadcast(f.read())
 
 
-def _rows(ranks, pattern, with_ids, remembered):
+def _rows(ranks, pattern, with_ids, remembered, forget):
     def run(batches):
         own = codec(ranks.value, pattern, remembered)
         for batch in batches:
@@ -203,19 +203,23 @@ def _rows(ranks, pattern, with_ids, remembered):
             if with_ids:
                 columns["ids"] = pa.array([x.to_pylist() for x in lists], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_pydict(columns)
+        if forget:
+            codec.cache_clear()
+            pa.default_memory_pool().release_unused()
     return run
 
 
-def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, remembered: int = REMEMBERED) -> DataFrame:
+def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, remembered: int = REMEMBERED, forget: bool = False) -> DataFrame:
     """One row per input row: ``doc_id, n_tokens, ids_sha256, decoded_sha256`` and, if asked for, ``ids``.
 
     ``ids`` are those of ``tiktoken`` with the same ranks and pattern and no special tokens.
     ``ids_sha256`` is over the decimal ids joined by one space, ``decoded_sha256`` over the bytes
-    decoded from the ids. ``remembered`` trades a worker's memory for time. Null text is empty; an empty text has no ids. No rows give no rows.
+    decoded from the ids. ``remembered`` trades a worker's memory for time; with
+    ``forget`` workers give it back after each task, for jobs whose other steps need it. Null text is empty; an empty text has no ids. No rows give no rows.
     """
     rows = id_text(docs, id_col, text_col)
     schema = f"doc_id {dict(rows.dtypes)['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return rows.mapInArrow(_rows(shared_vocabulary(docs.sparkSession, vocabulary), pattern, with_ids, remembered), schema)
+    return rows.mapInArrow(_rows(shared_vocabulary(docs.sparkSession, vocabulary), pattern, with_ids, remembered, forget), schema)
 
 
 def _decode(ranks, pattern):
