@@ -49,7 +49,7 @@ def decontaminate(spark, docs, sf_dir):
 def byte_bpe(spark, docs, sf_dir):
     """Encode and decode what is left: doc_id, n_tokens and digests of the ids and bytes."""
     prepare(spark)
-    return encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, remembered=REMEMBERED)
+    return encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, remembered=REMEMBERED, forget=True)
 
 
 STAGES = [
