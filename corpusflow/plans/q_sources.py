@@ -250,8 +250,9 @@ FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey""")
 def q_port_congestion(spark, sf_dir):
     """Landed port responses exploded into one document per port."""
     r = api.port_congestion(api.read_responses(spark, _land_ports(spark, sf_dir), api.PORTS_SCHEMA))
-    return r.select("metadata.port_code", "metadata.country", "metadata.data_timestamp", "content.congestion",
-                    "content.vessels_waiting", "metadata.source_uri")
+    return r.select("metadata.port_code", "metadata.country", "metadata.data_timestamp",
+                    F.try_variant_get("content", "$.congestion", "double").alias("congestion"),
+                    F.try_variant_get("content", "$.vessels_waiting", "bigint").alias("vessels_waiting"), "metadata.source_uri")
 
 
 def _weather(spark, sf_dir):
@@ -277,7 +278,8 @@ def q_weather_docs(spark, sf_dir):
     """A forecast document for every requested customer location that
     has a landed response; the others are skipped."""
     w = _weather(spark, sf_dir)
-    return w.select("name", "lat", "lon", "content.days", F.round("content.temp_max", 6).alias("temp_max"),
+    return w.select("name", "lat", "lon", F.try_variant_get("content", "$.days", "int").alias("days"),
+                    F.round(F.try_variant_get("content", "$.temp_max", "double"), 6).alias("temp_max"),
                     "metadata.source_uri")
 
 
@@ -321,7 +323,8 @@ def q_shipping_rates(spark, sf_dir):
             .select(F.col("o.n_name").alias("origin"), F.col("d.n_name").alias("destination")))
     r = api.shipping_rates(api.read_responses(spark, _land_routes(spark, sf_dir), api.ROUTES_SCHEMA),
                            req.unionByName(dup))
-    return r.select("origin", "destination", "content.carrier", "content.rate", "metadata.source_uri")
+    return r.select("origin", "destination", "metadata.carrier",
+                    F.try_variant_get("content", "$.rate", "double").alias("rate"), "metadata.source_uri")
 
 
 def _land_custom(spark, sf_dir):

@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from corpusflow.operators.sizing import sized_broadcast
 
-PORTS_SCHEMA = ("ports array<struct<port_code:string,country:string,timestamp:string,"
-                "congestion:double,vessels_waiting:bigint>>")
-ROUTES_SCHEMA = ("routes array<struct<origin:string,destination:string,carrier:string,"
-                 "rate:double,timestamp:string>>")
-WEATHER_SCHEMA = "lat double, lon double, forecast struct<days:int,temp_max:double,temp_min:double>"
+# Elements are variants: a document keeps every field that the response has.
+PORTS_SCHEMA = "ports array<variant>"
+ROUTES_SCHEMA = "routes array<variant>"
+WEATHER_SCHEMA = "lat double, lon double, forecast variant"
+
+
+def _field(node: str, name: str, kind: str = "string"):
+    return F.try_variant_get(node, f"$.{name}", kind)
 
 
 def land_json(df: DataFrame, path: str, json_col: str = "json") -> None:
@@ -46,15 +49,15 @@ def _api_meta(api_name: str, document_type: str, uri, **extra):
 
 
 def port_congestion(responses: DataFrame, port_codes: list[str] | None = None) -> DataFrame:
-    """One document per port in ``ports[]``; optional port filter."""
+    """One document per port in ``ports[]``, its whole object as content; optional port filter."""
     p = responses.select(F.explode("ports").alias("port"))
     if port_codes:
-        p = p.where(F.col("port.port_code").isin(*port_codes))
-    uri = F.concat(F.lit("api://port_congestion/"), F.col("port.port_code"))
+        p = p.where(_field("port", "port_code").isin(*port_codes))
+    uri = F.concat(F.lit("api://port_congestion/"), _field("port", "port_code"))
     return p.select(F.col("port").alias("content"),
                     _api_meta("port_congestion", "port_congestion", uri,
-                              port_code=F.col("port.port_code"), country=F.col("port.country"),
-                              data_timestamp=F.col("port.timestamp")).alias("metadata"))
+                              port_code=_field("port", "port_code"), country=_field("port", "country"),
+                              data_timestamp=_field("port", "timestamp")).alias("metadata"))
 
 
 def weather_forecast(responses: DataFrame, locations: DataFrame) -> DataFrame:
@@ -70,20 +73,23 @@ def weather_forecast(responses: DataFrame, locations: DataFrame) -> DataFrame:
 def shipping_rates(responses: DataFrame, routes: DataFrame | None = None) -> DataFrame:
     """All route rates, or those of the requested ``(origin,
     destination)`` pairs; a pair requested twice yields its rows twice."""
-    r = responses.select(F.explode("routes").alias("rate")).select("rate.*")
+    r = responses.select(F.explode("routes").alias("route")).select(
+        "route", *[_field("route", k).alias(k) for k in ("origin", "destination")])
     if routes is not None:
         r = r.join(sized_broadcast(routes.select("origin", "destination")), ["origin", "destination"])
     uri = F.concat(F.lit("api://shipping_rates/"), F.col("origin"), F.lit("/"), F.col("destination"))
-    return r.select(F.struct(*[F.col(c) for c in r.columns]).alias("content"), "origin", "destination",
-                    _api_meta("shipping_rates", "shipping_rates", uri, carrier=F.col("carrier"),
-                              data_timestamp=F.col("timestamp")).alias("metadata"))
+    return r.select(F.col("route").alias("content"), "origin", "destination",
+                    _api_meta("shipping_rates", "shipping_rates", uri, carrier=_field("route", "carrier"),
+                              data_timestamp=_field("route", "timestamp")).alias("metadata"))
 
 
 def custom_api(responses: DataFrame, api_name: str, document_type: str, data_path: str | None = None,
                id_field: str | None = None, text_col: str = "value") -> DataFrame:
     """Any JSON response. ``data_path`` is dotted; at that path a list
     gives one document per element, anything else one document; a missing
-    path gives one empty object. ``document_id`` comes from ``id_field``
+    path gives one empty object. Responses that aren't JSON give no document
+    (:func:`malformed_responses` has them); without a ``response_id`` column the
+    hash of the response is its id. ``document_id`` comes from ``id_field``
     (``api://<name>/<id or unknown>``)."""
     v = F.try_parse_json(text_col)
     path = "$" + "".join(f".{k}" for k in data_path.split(".")) if data_path else "$"
@@ -91,7 +97,8 @@ def custom_api(responses: DataFrame, api_name: str, document_type: str, data_pat
     node = F.coalesce(node, F.parse_json(F.lit("{}")))
     as_list = F.try_variant_get(node, "$", "array<variant>")
     items = F.when(as_list.isNotNull(), as_list).otherwise(F.array(node))
-    r = responses.withColumn("__resp", F.monotonically_increasing_id()) if "response_id" not in responses.columns \
+    responses = responses.where(v.isNotNull())
+    r = responses.withColumn("__resp", F.xxhash64(text_col)) if "response_id" not in responses.columns \
         else responses.withColumnRenamed("response_id", "__resp")
     x = r.select(F.col("__resp").alias("response_id"), F.posexplode(items).alias("item_index", "item"))
     doc_id = F.try_variant_get("item", f"$.{id_field}", "string") if id_field else F.lit(None).cast("string")
@@ -101,6 +108,12 @@ def custom_api(responses: DataFrame, api_name: str, document_type: str, data_pat
                     _api_meta(api_name, document_type, uri, document_id=doc_id).alias("metadata"))
 
 
+def malformed_responses(responses: DataFrame, text_col: str = "value") -> DataFrame:
+    """The responses that :func:`custom_api` can't read, with an ``error``."""
+    bad = F.try_parse_json(text_col).isNull()
+    return responses.where(bad).withColumn("error", F.lit("malformed response"))
+
+
 POLL_OUT = "endpoint string, poll_number long, poll_time string, payload string"
 POLL_STATE = "polls long"
 

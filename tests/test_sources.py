@@ -55,6 +55,24 @@ def test_custom_api_shapes(spark):
                    (3, 0, "api://x/unknown"), (4, 0, "api://x/unknown")]
 
 
+def test_custom_api_malformed_responses_are_set_aside(spark):
+    resp = spark.createDataFrame([('{"id": "a"}',), ("<html>502</html>",), (None,), ('{"id": "a"}',)], "value string")
+    got = api.custom_api(resp, "x", "t", id_field="id").collect()
+    assert [r.document_id for r in got] == ["a", "a"] and len({r.response_id for r in got}) == 1
+    assert [r.value for r in api.malformed_responses(resp).collect()] == ["<html>502</html>", None]
+
+
+def test_api_documents_keep_all_fields(spark):
+    path = scratch_path(spark, "test-fields")
+    api.land_json(spark.createDataFrame([('{"ports": [{"port_code": "P1", "berths": 7}]}',)], "json string"), path)
+    r = api.port_congestion(api.read_responses(spark, path, api.PORTS_SCHEMA))
+    assert r.select(F.try_variant_get("content", "$.berths", "int").alias("n")).first().n == 7
+    path = scratch_path(spark, "test-routes")
+    api.land_json(spark.createDataFrame([('{"routes": [{"origin": "A", "destination": "B", "days": 3}]}',)], "json string"), path)
+    r = api.shipping_rates(api.read_responses(spark, path, api.ROUTES_SCHEMA))
+    assert r.select("origin", F.try_variant_get("content", "$.days", "int").alias("n")).collect() == [("A", 3)]
+
+
 def test_upsert_idempotent(spark):
     store = gv.SnapshotTable(spark, scratch_path(spark, "test-upsert"))
     b1 = spark.createDataFrame([("1-0", "a", 1), ("1-1", "b", 1)], "chunk_id string, content string, batch_id int") \
