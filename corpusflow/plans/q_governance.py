@@ -231,15 +231,42 @@ def q_ingest_objects(spark, sf_dir):
     """Landed document objects (.txt .md .pdf) routed, decoded, masked,
     chunked (1000/200) and upserted into a snapshot store; PDFs are
     quarantined (no decoder) and returned with their reason."""
+    return _ingest_landed(spark, sf_dir, INGEST_EXTS, "e1")
+
+
+def _ingest_landed(spark, sf_dir, extensions, run_id):
     from corpusflow.operators.ingest import ingest_objects
     root = fx.land_document_objects(spark, sf_dir)
     store = gv.SnapshotTable(spark, scratch_path(spark, "ingest-store"))
-    r = ingest_objects(spark, root, extensions=INGEST_EXTS, store=store, run_id="e1")
+    r = ingest_objects(spark, root, extensions=extensions, store=store, run_id=run_id)
     chunks = r.chunks.select(F.col("metadata.key").alias("key"), F.col("chunk_index").cast("long").alias("chunk_index"),
                              "content", F.col("pii_entities_count").cast("long").alias("pii_entities_count"))
     return chunks.unionByName(r.quarantine.select("key", "error"), allowMissingColumns=True)
 
 
+def _sql_ingest_all_objects() -> str:
+    from corpusflow.plans.q_masking import sql_mask_chain
+    chain, last = sql_mask_chain("obj")
+    return f"""WITH src AS (
+  SELECT doc_id, lang || '/doc_' || doc_id::VARCHAR || ['.txt', '.pdf', '.docx', '.md'][(doc_id % 4) + 1] AS key, text
+  FROM documents),
+obj AS (SELECT doc_id, text FROM src WHERE doc_id % 4 <> 1),
+{chain}
+SELECT key, (s // 800)::BIGINT AS chunk_index, substr(t, s + 1, 1000) AS content, n AS pii_entities_count, NULL AS error
+FROM (SELECT src.key, m.t, len(m.found)::BIGINT AS n, unnest(range(0, length(m.t), 800)) AS s
+      FROM src JOIN {last} m ON m.doc_id = src.doc_id)
+UNION ALL SELECT key, NULL, NULL, NULL, 'no parser for route pdf' FROM src WHERE doc_id % 4 = 1"""
+
+
+@register("ingest_all_objects", _sql_ingest_all_objects())
+def q_ingest_all_objects(spark, sf_dir):
+    """E1 over every landed object, whatever its extension (``ingest_objects``
+    is the run with an extension list): each appears as its chunks or with its
+    quarantine reason. Extensions without a route of their own (.docx) are text
+    if they are valid UTF-8, as the landed ones are, else quarantined."""
+    return _ingest_landed(spark, sf_dir, None, "e1-all")
+
+
 def _sql_ingest_stream() -> str:
     from corpusflow.plans.q_masking import sql_mask_chain
     chain, last = sql_mask_chain("ev")
