@@ -3,14 +3,18 @@
 Counting. A word is known by the XXH64 hash of its bytes, a pair of words by 48 bits mixed from
 two hashes. Every training task sends, for each of ``SEGMENTS`` hash ranges, blocks of sorted
 distinct hashes (Golomb coded) with their counts, and a segment merges its blocks: a frequent
-word or pair is one entry of each block, and a segment holds a fixed share of all hashes.
+word or pair is one entry of each block, and a segment holds a fixed share of all hashes. There
+are ``SEGMENTS`` ranges or more, so many that each has about ``segment_text`` bytes of text.
 
 The filter. A count c is quantised to q = 1 + floor(log(c) / log(``LOG_BASE``)) and the entries
 (n-gram, 1) ... (n-gram, q) are put into the n-gram's segment of one bit array. A reader probes
 (n-gram, 1), (n-gram, 2) ... until one is missing, and takes the middle of the last level;
 there are no false negatives, and few overestimates. The array is broadcast; its size follows
-the corpus, up to ``max_filter_bytes``. If the entries need more, pairs below the least total
-count that makes the rest fit are left out (as usual n-gram cutoffs do); words never are.
+the corpus, up to ``max_filter_bytes``. If the entries need more, the array has half of it, for
+all words and the pairs from a cutoff of their count on (words alone may need more). The pairs
+below the cutoff are in slabs of segments of at most the other half (one segment at least); each
+slab is broadcast for a pass of its own over the texts, which adds what its pairs add to a score.
+So every pair counts, whatever the corpus size; more pairs, more passes.
 
 The score of a text is the sum over its words and its end of log10 of
 ``LAMBDA * c(h, w) / c(h) + (1 - LAMBDA) * (c(w) + 1) / (N + 1 * (V + 1))``, with all counts
@@ -35,9 +39,11 @@ from corpusflow.llm.common import col, slabs, stored
 
 LOG_BASE = 1.5
 LAMBDA = 0.7
-#: Ranges of the hashes, as a power of two; each is counted and filtered on its own.
+#: Ranges of the hashes at least, as a power of two; each is counted and filtered on its own.
 SEGMENT_BITS = 6
 SEGMENTS = 1 << SEGMENT_BITS
+#: Bytes of text for each range, and ranges at most, as a power of two.
+SEGMENT_TEXT, MOST_SEGMENT_BITS = 16 << 20, 16
 KEY_BITS = 48
 #: Bits of the filter for each entry, and probes of each entry.
 BITS, PROBES = 10, 4
@@ -109,28 +115,31 @@ def _unpack(block: bytes) -> np.ndarray:
     return np.diff(golomb.decode(block).astype(np.int64), prepend=0)
 
 
-def _blocks(batches):
+def _blocks(segment_bits: int):
     """(segment, word, keys, counts): Golomb-coded sorted hashes of words or pairs, and counts."""
     def cut(arrays):
         rows = []
         for word, bits in ((True, 64), (False, KEY_BITS)):
             keys, counts = np.unique(np.concatenate([a[0 if word else 1] for a in arrays]), return_counts=True)
-            edges = np.searchsorted(keys, np.arange(1, SEGMENTS, dtype=np.uint64) << np.uint64(bits - SEGMENT_BITS))
+            edges = np.searchsorted(keys, np.arange(1, 1 << segment_bits, dtype=np.uint64) << np.uint64(bits - segment_bits))
             rows += [(s, word, golomb.encode(k), _pack(c)) for s, (k, c) in enumerate(zip(np.split(keys, edges), np.split(counts, edges))) if len(k)]
         kinds = [pa.int32(), pa.bool_(), pa.binary(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], ["segment", "word", "keys", "counts"])
 
-    held, n = [], 0
-    for batch in batches:
-        for group in _text_slabs(batch.column("text")):
-            hashes, before, _ = _tokens(group)
-            held.append((hashes, pair_keys(before, hashes)))
-            n += len(hashes)
-            if n >= HELD:
-                yield cut(held)
-                held, n = [], 0
-    if held:
-        yield cut(held)
+    def run(batches):
+        held, n = [], 0
+        for batch in batches:
+            for group in _text_slabs(batch.column("text")):
+                hashes, before, _ = _tokens(group)
+                held.append((hashes, pair_keys(before, hashes)))
+                n += len(hashes)
+                if n >= HELD:
+                    yield cut(held)
+                    held, n = [], 0
+        if held:
+            yield cut(held)
+
+    return run
 
 
 def _segment(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -167,16 +176,18 @@ def _probes(keys: np.ndarray, level: int, bits: int):
 
 
 class Filter:
-    """The bit array: ``SEGMENTS`` equal segments of ``bits`` bits (a multiple of 8, below 2**32)."""
+    """The bit array: equal segments of ``bits`` bits (a multiple of 8, below 2**32), from ``first`` on."""
 
-    def __init__(self, bits: int, array: bytearray, total: int, distinct: int, cutoff: int):
+    def __init__(self, bits: int, array: bytearray, total: int, distinct: int, cutoff: int, segment_bits: int = SEGMENT_BITS, first: int = 0):
         self.bits, self.array, self.total, self.distinct, self.cutoff = bits, array, total, distinct, cutoff
+        self.segment_bits, self.first = segment_bits, first
 
     def counts(self, keys: np.ndarray) -> np.ndarray:
         """Estimated counts, by probing level after level."""
         array = np.frombuffer(self.array, np.uint8)
         q = np.zeros(len(keys), np.int64)
-        base = (keys >> np.uint64(KEY_BITS - SEGMENT_BITS)) * np.uint64(self.bits)
+        base = (keys >> np.uint64(KEY_BITS - self.segment_bits)) - np.uint64(self.first)
+        base *= np.uint64(self.bits)
         alive, level = np.arange(len(keys)), 0
         while len(alive) and level < 126:
             level += 1
@@ -201,14 +212,34 @@ class Filter:
         p += LAMBDA * np.divide(c_pair, c_before, out=np.zeros_like(p), where=c_before > 0)
         return np.log10(np.minimum(p, 1.0))
 
+    def gain(self, slab: Filter, hashes: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """What the pairs in ``slab``, a filter of some segments' pairs below the cutoff, add to the ``score`` of each token."""
+        out = np.zeros(len(hashes))
+        keys = pair_keys(before, hashes)
+        segment = keys >> np.uint64(KEY_BITS - self.segment_bits)
+        own = np.flatnonzero((segment >= np.uint64(slab.first)) & (segment < np.uint64(slab.first + len(slab.array) * 8 // slab.bits)))
+        pairs, back = np.unique(keys[own], return_inverse=True)
+        c_pair = np.where(self.counts(pairs) > 0, 0.0, slab.counts(pairs))[back]
+        own, c_pair = own[c_pair > 0], c_pair[c_pair > 0]
+        words, back = np.unique(np.concatenate([hashes[own], before[own]]), return_inverse=True)
+        c_word, c_before = np.split(self.counts(word_keys(words))[back], 2)
+        p = (1 - LAMBDA) * (c_word + 1) / (self.total + self.distinct + 1)
+        more = np.divide(np.minimum(c_pair, np.minimum(c_word, c_before)), c_before, out=np.zeros_like(p), where=c_before > 0)
+        out[own] = np.log10(np.minimum(p + LAMBDA * more, 1.0)) - np.log10(np.minimum(p, 1.0))
+        return out
 
-def _filter_bits(bits: int, cutoff: int):
+
+def _filter_bits(bits: int, cutoff: int, rare: bool = False):
+    """The bits of each segment: its words and the pairs counted ``cutoff`` times or more, or, if ``rare``, the other pairs."""
     def run(batches):
         for pdf in batches:
             for row in pdf.itertuples():
                 array = np.zeros(bits, bool)
-                for keys, counts, least in ((word_keys(golomb.decode(row.word_keys)), _unpack(row.word_counts), 1), (golomb.decode(row.pair_keys), _unpack(row.pair_counts), cutoff)):
-                    keys, levels = keys[counts >= least], quantise(counts[counts >= least])
+                words = [] if rare else [(word_keys(golomb.decode(row.word_keys)), _unpack(row.word_counts), 1, 1 << 62)]
+                pairs = (golomb.decode(row.pair_keys), _unpack(row.pair_counts), *((1, cutoff) if rare else (cutoff, 1 << 62)))
+                for keys, counts, least, end in (*words, pairs):
+                    own = (counts >= least) & (counts < end)
+                    keys, levels = keys[own], quantise(counts[own])
                     for level in range(1, int(levels.max(initial=0)) + 1):
                         keys, levels = keys[levels >= level], levels[levels >= level]
                         for spot in _probes(keys, level, bits):
@@ -230,35 +261,65 @@ def _word_rows(least: int, most: int):
 
 class Model:
     """``segments``: the stored counts; ``filter``: the broadcast filter; ``head``: the broadcast
-    sorted hashes and counts of all words counted ``least`` times or more; N and V."""
+    sorted hashes and counts of all words counted ``least`` times or more; N and V; ``rare``: the
+    stored filter segments of the pairs that ``filter`` has no room for, their bits and how many
+    are in a slab, or None."""
 
-    def __init__(self, segments, filter_, head, least, total, distinct):
+    def __init__(self, segments, filter_, head, least, total, distinct, rare=None):
         self.segments, self.filter, self.head, self.least, self.total, self.distinct = segments, filter_, head, least, total, distinct
+        self.rare = rare
+
+    def slabs(self):
+        """Filters of the pairs below the cutoff, one for each slab of segments."""
+        if self.rare is None:
+            return
+        made, bits, step = self.rare
+        whole = self.filter.value
+        for first in range(0, 1 << whole.segment_bits, step):
+            last = min(first + step, 1 << whole.segment_bits)
+            array = _array(made.where(F.col("segment").between(first, last - 1)), bits, first, last)
+            yield Filter(bits, array, whole.total, whole.distinct, whole.cutoff, whole.segment_bits, first)
 
     def rare_words(self) -> DataFrame:
         return self.segments.select("word_keys", "word_counts").mapInArrow(_word_rows(1, self.least - 1), "h long, c long")
 
 
-def train(docs: DataFrame, text_col: str = "text", head: int = HEAD, max_filter_bytes: int = MAX_FILTER_BYTES) -> Model:
+def _array(made: DataFrame, bits: int, first: int, last: int) -> bytearray:
+    """The bit array of the segments from ``first`` to before ``last``."""
+    array, size = bytearray((last - first) * bits // 8), bits // 8
+    for row in made.toLocalIterator():
+        at = (row["segment"] - first) * size
+        array[at:at + size] = row["bits"]
+    return array
+
+
+def train(docs: DataFrame, text_col: str = "text", head: int = HEAD, max_filter_bytes: int = MAX_FILTER_BYTES, segment_text: int = SEGMENT_TEXT) -> Model:
     """Count all texts of ``docs`` and build the filter. Null and empty texts are an end alone."""
     spark, texts = docs.sparkSession, docs.select(col(text_col).cast("string").alias("text"))
-    blocks = texts.mapInArrow(_blocks, "segment int, word boolean, keys binary, counts binary")
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    segment_bits = min(max(SEGMENT_BITS, math.ceil(math.log2(max(size / segment_text, 1)))), MOST_SEGMENT_BITS)
+    n_segments = 1 << segment_bits
+    blocks = texts.mapInArrow(_blocks(segment_bits), "segment int, word boolean, keys binary, counts binary")
     both = ", ".join(f"{k}_keys binary, {k}_counts binary, {k}_levels array<long>, {k}_sizes array<long>" for k in ("word", "pair"))
     segments = stored(blocks.groupBy("segment").applyInPandas(_segment, f"segment int, {both}"), "ngram-counts")
     words, pairs = (_histogram(segments, k) for k in ("word", "pair"))
     total, distinct = sum(c * n for c, n in words), sum(n for _, n in words)
-    entries = sum(int(quantise(np.array([c]))[0]) * n for c, n in words) + SEGMENTS
+    entries = sum(int(quantise(np.array([c]))[0]) * n for c, n in words) + n_segments
     cutoff, rest = 1, sum(int(quantise(np.array([c]))[0]) * n for c, n in pairs)
+    left_out, room = 0, max_filter_bytes if (entries + rest) * BITS <= 8 * max_filter_bytes else max_filter_bytes // 2
     for c, n in pairs:
-        if (entries + rest) * BITS <= 8 * max_filter_bytes:
+        if (entries + rest) * BITS <= 8 * room:
             break
-        cutoff, rest = c + 1, rest - int(quantise(np.array([c]))[0]) * n
-    bits = max(64, -(-(entries + rest) * BITS // SEGMENTS) * 21 // 20 // 8 * 8)
-    columns = ["segment", "word_keys", "word_counts", "pair_keys", "pair_counts"]
-    made = stored(segments.select(*columns).mapInPandas(_filter_bits(bits, cutoff), "segment int, bits binary"), "filter-segments")
-    array = bytearray(SEGMENTS * bits // 8)
-    for row in made.toLocalIterator():
-        array[row["segment"] * bits // 8:(row["segment"] + 1) * bits // 8] = row["bits"]
+        cutoff, own = c + 1, int(quantise(np.array([c]))[0]) * n
+        rest, left_out = rest - own, left_out + own
+    size_of = lambda n: max(64, -(-n * BITS // n_segments) * 21 // 20 // 8 * 8)
+    bits, rare = size_of(entries + rest), None
+    columns = segments.select("segment", "word_keys", "word_counts", "pair_keys", "pair_counts")
+    made = stored(columns.mapInPandas(_filter_bits(bits, cutoff), "segment int, bits binary"), "filter-segments")
+    array = _array(made, bits, 0, n_segments)
+    if left_out:
+        rare_bits = size_of(left_out + n_segments)
+        rare = stored(columns.mapInPandas(_filter_bits(rare_bits, cutoff, True), "segment int, bits binary"), "rare-segments"), rare_bits, max(1, 8 * room // rare_bits)
     least, room = 1 << 62, head  # the commonest words, as many as fit
     for c, n in reversed(words):
         room -= n
@@ -269,7 +330,7 @@ def train(docs: DataFrame, text_col: str = "text", head: int = HEAD, max_filter_
     h = rows.column("h").to_numpy().view(np.uint64)
     order = np.argsort(h)
     broadcast = spark.sparkContext.broadcast
-    return Model(segments, broadcast(Filter(bits, array, total, distinct, cutoff)), broadcast((h[order], rows.column("c").to_numpy()[order])), least, total, distinct)
+    return Model(segments, broadcast(Filter(bits, array, total, distinct, cutoff, segment_bits)), broadcast((h[order], rows.column("c").to_numpy()[order])), least, total, distinct, rare)
 
 
 def _histogram(segments: DataFrame, name: str) -> list[tuple[int, int]]:
@@ -304,6 +365,18 @@ def _score(model_filter, model_head, total, distinct, whole):
     return run
 
 
+def _gains(model_filter, slab):
+    def run(batches):
+        for batch in batches:
+            ids, at = batch.column("rid"), 0
+            for group in _text_slabs(batch.column("text")):
+                hashes, before, starts = _tokens(group)
+                gain = model_filter.value.gain(slab.value, hashes, before)
+                yield pa.RecordBatch.from_arrays([ids[at:at + len(group)], pa.array(np.add.reduceat(gain, starts))], ["rid", "gain"])
+                at += len(group)
+    return run
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, n_tokens, n_known, train_tokens, base_score, score``.
 
@@ -313,13 +386,34 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     the same smoothed probability. Repeated rows each give a row.
     """
     rows = docs.select(col(id_col).alias("doc_id"), col(text_col).cast("string").alias("text"))
+    rid = F.monotonically_increasing_id()
+    if model.rare is not None:  # the passes read the texts again and must know their rows
+        rows = stored(rows.select(F.struct(rid.alias("rid"), "doc_id").alias("doc_id"), "text"), "scored-texts")
+        rid = F.col("doc_id.rid")
     schema = f"doc_id {dict(rows.dtypes)['doc_id']}, n_tokens long, head_known long, head_base double, score double, rest array<long>"
     whole = model.least <= 1
     scored = rows.mapInArrow(_score(model.filter, model.head, model.total, model.distinct, whole), schema)
-    scored = stored(scored.select(F.monotonically_increasing_id().alias("rid"), "*"), "scores")
+    scored = stored(scored.select(rid.alias("rid"), "*"), "scores")
+    if model.rare is not None:
+        gains = _gained(rows.select(rid.alias("rid"), "text"), model)
+        scored = scored.join(gains, "rid", "left").withColumns({"doc_id": F.col("doc_id.doc_id"), "score": F.col("score") + F.coalesce("gain", F.lit(0.0))}).drop("gain")
     rare = scored.select("rid", F.explode("rest").alias("h")).join(model.rare_words(), "h", "left")
     gain = F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(model.total + model.distinct + 1))
     rare = rare.groupBy("rid").agg(F.sum(gain).alias("rare_base"), F.count("c").alias("rare_known"))
     return scored.drop("rest").join(rare, "rid", "left").select(
         "doc_id", "n_tokens", (F.col("head_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(model.total).cast("long").alias("train_tokens"), (F.col("head_base") + F.coalesce("rare_base", F.lit(0.0))).alias("base_score"), "score")
+
+
+def _gained(texts: DataFrame, model: Model) -> DataFrame:
+    """``(rid, gain)``: what the pairs below the cutoff add to the scores, one pass for each slab."""
+    parts = []
+    for slab in model.slabs():
+        shared = texts.sparkSession.sparkContext.broadcast(slab)
+        part = texts.mapInArrow(_gains(model.filter, shared), "rid long, gain double").where("gain <> 0")
+        parts.append(stored(part, f"gains-{len(parts)}"))
+        shared.destroy()
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.unionByName(part)
+    return every.groupBy("rid").agg(F.sum("gain").alias("gain"))
