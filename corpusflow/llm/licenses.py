@@ -1,13 +1,14 @@
 """License scans by ordered signature rules.
 
 A text is scanned in lower case with its white space collapsed to single spaces. An
-Aho-Corasick pass over the rules' literal keywords tells which rules can match at all; only
-their regular expressions run. Detections are then taken in order of priority, length and
+Aho-Corasick pass over the rules' literal keywords tells which rules can match at all - every
+text that a rule accepts has one of its keywords - and only their regular expressions run. Detections are then taken in order of priority, length and
 place; one that overlaps a detection already taken - mostly one contained in it - is
 suppressed, so "gnu lesser general public license" isn't also the plain license.
 
 Rules come from three tables: licenses with their names, the phrases in which names stand,
-and sentences that only a license's own text has.
+and sentences that only a license's own text has. SPDX ids are looked up where they stand for a
+license: after an identifier tag, there in whole expressions, and after "licensed under".
 """
 
 from __future__ import annotations
@@ -25,27 +26,29 @@ from corpusflow.llm.common import id_text
 # The base phrases and their labels.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-#: label, keyword that any text naming it has, name as a regular expression.
+#: An optional word before the number of a version.
+_V = r",? (?:\(?(?:version|v\.?) ?)?"
+#: label, keywords of which any text naming it has one (split by "|"), name as a regular expression.
 LICENSES = (
-    ("apache-1.1", "apache", r"apache (?:software )?licen[sc]e,? (?:version|v\.?) ?1\.1|apache-1\.1"),
-    ("apache-2.0", "apache", r"apache (?:software )?licen[sc]e,? (?:version|v\.?) ?2(?:\.0)?|apache-2\.0|apache 2(?:\.0)?(?: licen[sc]e)?"),
+    ("apache-1.1", "apache", rf"apache (?:software )?licen[sc]e{_V}1\.1|apache-1\.1"),
+    ("apache-2.0", "apache", rf"apache (?:software )?licen[sc]e{_V}2(?:\.0)?|apache-2\.0|apache 2(?:\.0)?(?: licen[sc]e)?"),
     ("apache", "apache", r"apache (?:software )?licen[sc]e"),
-    ("mit", "mit", r"mit licen[sc]e|mit/x11 licen[sc]e|expat licen[sc]e"),
+    ("mit", "mit|expat", r"mit licen[sc]e|mit/x11 licen[sc]e|expat licen[sc]e"),
     ("mit-0", "mit", r"mit no attribution(?: licen[sc]e)?|mit-0"),
     ("x11", "x11", r"x11 licen[sc]e"),
-    ("gpl-1.0", "general public", r"(?:gnu )?general public licen[sc]e,? (?:version|v\.?) ?1(?:\.0)?|gpl-1\.0(?:-only|-or-later|\+)?"),
-    ("gpl-2.0", "general public", r"(?:gnu )?general public licen[sc]e,? (?:version|v\.?) ?2(?:\.0)?"),
-    ("gpl-3.0", "general public", r"(?:gnu )?general public licen[sc]e,? (?:version|v\.?) ?3(?:\.0)?"),
-    ("gpl-2.0", "gpl", r"gpl[- ]?v?2(?:\.0)?(?:-only|-or-later|\+)?"),
-    ("gpl-3.0", "gpl", r"gpl[- ]?v?3(?:\.0)?(?:-only|-or-later|\+)?"),
-    ("gpl", "general public", r"(?:gnu )?general public licen[sc]e|gnu gpl"),
+    ("gpl-1.0", "general public|gpl", rf"(?:gnu )?general public licen[sc]e{_V}1(?:\.0)?|gpl-1\.0(?:-only|-or-later|\+)?"),
+    ("gpl-2.0", "general public", rf"(?:gnu )?general public licen[sc]e{_V}2(?:\.0)?"),
+    ("gpl-3.0", "general public", rf"(?:gnu )?general public licen[sc]e{_V}3(?:\.0)?"),
+    ("gpl-2.0", "gpl", rf"(?:gnu )?gpl(?:[- ]?v?|{_V})2(?:\.0)?(?:-only|-or-later|\+)?"),
+    ("gpl-3.0", "gpl", rf"(?:gnu )?gpl(?:[- ]?v?|{_V})3(?:\.0)?(?:-only|-or-later|\+)?"),
+    ("gpl", "general public|gpl", r"(?:gnu )?general public licen[sc]e|gnu gpl"),
     ("lgpl-2.1", "lgpl", r"lgpl[- ]?v?2\.1(?:-only|-or-later|\+)?"),
-    ("lgpl-2.1", "lesser", r"(?:gnu )?lesser general public licen[sc]e,? (?:version|v\.?) ?2\.1"),
+    ("lgpl-2.1", "lesser", rf"(?:gnu )?lesser general public licen[sc]e{_V}2\.1"),
     ("lgpl-3.0", "lgpl", r"lgpl[- ]?v?3(?:\.0)?(?:-only|-or-later|\+)?"),
-    ("lgpl-3.0", "lesser", r"(?:gnu )?lesser general public licen[sc]e,? (?:version|v\.?) ?3(?:\.0)?"),
+    ("lgpl-3.0", "lesser", rf"(?:gnu )?lesser general public licen[sc]e{_V}3(?:\.0)?"),
     ("lgpl", "lesser", r"(?:gnu )?lesser general public licen[sc]e"),
     ("lgpl-2.0", "library general", r"(?:gnu )?library general public licen[sc]e"),
-    ("agpl-3.0", "affero", r"(?:gnu )?affero general public licen[sc]e(?:,? (?:version|v\.?) ?3(?:\.0)?)?"),
+    ("agpl-3.0", "affero", rf"(?:gnu )?affero general public licen[sc]e(?:{_V}3(?:\.0)?)?"),
     ("agpl-3.0", "agpl", r"agpl[- ]?v?3(?:\.0)?(?:-only|-or-later|\+)?"),
     ("gfdl", "free documentation", r"(?:gnu )?free documentation licen[sc]e"),
     ("bsd-2-clause", "bsd", r"(?:simplified|2-clause|two-clause|freebsd) bsd licen[sc]e|bsd[- ]2[- ]clause(?: licen[sc]e)?"),
@@ -54,12 +57,12 @@ LICENSES = (
     ("0bsd", "bsd", r"zero-clause bsd(?: licen[sc]e)?|0bsd"),
     ("bsd", "bsd", r"bsd(?:-style)? licen[sc]e"),
     ("isc", "isc", r"isc licen[sc]e"),
-    ("mpl-1.1", "mozilla", r"mozilla public licen[sc]e,? (?:version|v\.?) ?1\.1"),
-    ("mpl-2.0", "mozilla", r"mozilla public licen[sc]e,? (?:version|v\.?) ?2(?:\.0)?"),
+    ("mpl-1.1", "mozilla", rf"mozilla public licen[sc]e{_V}1\.1"),
+    ("mpl-2.0", "mozilla", rf"mozilla public licen[sc]e{_V}2(?:\.0)?"),
     ("mpl-2.0", "mpl", r"mpl[- ]?v?2(?:\.0)?"),
     ("mpl", "mozilla", r"mozilla public licen[sc]e"),
-    ("epl-1.0", "eclipse", r"eclipse public licen[sc]e,? (?:-|version|v\.?) ?(?:v ?)?1(?:\.0)?|epl-1\.0"),
-    ("epl-2.0", "eclipse", r"eclipse public licen[sc]e,? (?:-|version|v\.?) ?(?:v ?)?2(?:\.0)?|epl-2\.0"),
+    ("epl-1.0", "eclipse|epl", r"eclipse public licen[sc]e,? (?:(?:-|version|v\.?) ?)?(?:v ?)?1(?:\.0)?|epl-1\.0"),
+    ("epl-2.0", "eclipse|epl", r"eclipse public licen[sc]e,? (?:(?:-|version|v\.?) ?)?(?:v ?)?2(?:\.0)?|epl-2\.0"),
     ("epl", "eclipse", r"eclipse public licen[sc]e"),
     ("cddl-1.0", "common development and distribution", r"common development and distribution licen[sc]e"),
     ("cpl-1.0", "common public", r"common public licen[sc]e"),
@@ -68,7 +71,7 @@ LICENSES = (
     ("artistic-2.0", "artistic", r"artistic licen[sc]e,? (?:version )?2(?:\.0)?|artistic-2\.0"),
     ("artistic", "artistic", r"artistic licen[sc]e"),
     ("zlib", "zlib", r"zlib(?:/libpng)? licen[sc]e"),
-    ("libpng", "libpng", r"(?:lib)?png reference library licen[sc]e|libpng licen[sc]e"),
+    ("libpng", "libpng|png reference", r"(?:lib)?png reference library licen[sc]e|libpng licen[sc]e"),
     ("boost-1.0", "boost", r"boost software licen[sc]e(?:,? (?:-|version) ?(?:version )?1\.0)?"),
     ("unlicense", "unlicen", r"the unlicen[sc]e|unlicen[sc]e"),
     ("wtfpl", "wtfpl", r"wtfpl"),
@@ -112,6 +115,22 @@ PHRASES = (
     (60, r"(?:see|read|copy of|terms of) the (?:{})"),
     (40, r"(?:{})"),
 )
+#: SPDX ids (without -only, -or-later and +) and short names that "licensed under" may stand before, with their labels.
+IDS = {i: i for i in (
+    "0bsd", "afl-3.0", "agpl-3.0", "apache-1.1", "apache-2.0", "artistic-2.0", "blueoak-1.0.0", "bsd", "bsd-2-clause", "bsd-3-clause", "bsd-4-clause", "busl-1.1",
+    "cc-by-3.0", "cc-by-4.0", "cc-by-nc-4.0", "cc-by-nc-nd-4.0", "cc-by-nc-sa-4.0", "cc-by-nd-4.0", "cc-by-sa-3.0", "cc-by-sa-4.0", "cc0-1.0", "cddl-1.0", "cecill",
+    "cpl-1.0", "elastic-2.0", "epl", "epl-1.0", "epl-2.0", "eupl-1.2", "gfdl", "gpl", "gpl-1.0", "gpl-2.0", "gpl-3.0", "isc", "lgpl", "lgpl-2.0", "lgpl-2.1", "lgpl-3.0",
+    "libpng", "mit", "mit-0", "mpl", "mpl-1.1", "mpl-2.0", "ms-pl", "ms-rl", "ncsa", "odbl-1.0", "ofl-1.1", "openssl", "osl-3.0", "php-3.01", "postgresql", "psf-2.0",
+    "ruby", "sspl-1.0", "unlicense", "upl-1.0", "wtfpl", "x11", "zlib")}
+IDS |= {"agpl": "agpl-3.0", "artistic-1.0": "artistic", "artistic-1.0-perl": "artistic", "bsl-1.0": "boost-1.0", "cecill-2.0": "cecill", "cecill-2.1": "cecill",
+        "cecill-b": "cecill", "cecill-c": "cecill", "gfdl-1.1": "gfdl", "gfdl-1.2": "gfdl", "gfdl-1.3": "gfdl", "libpng-2.0": "libpng", "mpl-1.0": "mpl"}
+#: Ids that are programs as well: only "licensed under" names them as licenses.
+PROGRAMS = {"libpng", "openssl", "postgresql", "ruby", "x11", "zlib"}
+#: priority, keyword, expression with the ids as its group ``ids``.
+ID_PHRASES = (
+    (90, "spdx-licen", r"(?<!\w)spdx-licen[sc]e-identifier ?: ?(?P<ids>\(*[\w.+-]+\)*(?: (?:or|and|with) \(*[\w.+-]+\)*)*)"),
+    (80, " under ", r"(?<!\w)(?P<verb>licen[sc]ed|released|distributed|published|provided|available|redistributed)(?: to you)? under (?:the )?(?:terms (?:and conditions )?of (?:the )?)?(?P<ids>[\w.+-]+)"),
+)
 #: label, sentence of the license's own text (priority 75); its first words are the keyword.
 SENTENCES = (
     ("mit", "permission is hereby granted, free of charge, to any person obtaining a copy"),
@@ -151,19 +170,33 @@ _WORD = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in
 
 
 @lru_cache(maxsize=1)
-def rules() -> tuple[list[tuple[int, str, str, re.Pattern]], ahocorasick.Automaton]:
-    """The rules ``(priority, label, keyword, pattern)`` in order, and the automaton of their keywords."""
-    out = [(priority, label, key, rf"(?<!\w){phrase.format(name)}(?!\w)") for priority, phrase in PHRASES for label, key, name in LICENSES]
-    out += [(75, label, " ".join(s.split()[:4]), re.escape(s)) for label, s in SENTENCES]
-    out += [(85, label, a, re.escape(a)) for label, a in ADDRESSES]
-    out = [(p, label, key, re.compile(text)) for p, label, key, text in sorted(out, key=lambda r: -r[0])]
+def rules() -> tuple[list[tuple[int, str, tuple[str, ...], re.Pattern]], ahocorasick.Automaton]:
+    """The rules ``(priority, label, keywords, pattern)`` in order, and the automaton of their keywords.
+    The last ones, with an empty label, find ids."""
+    out = [(priority, label, tuple(key.split("|")), rf"(?<!\w){phrase.format(name)}(?!\w)") for priority, phrase in PHRASES for label, key, name in LICENSES]
+    out += [(75, label, (" ".join(s.split()[:4]),), re.escape(s)) for label, s in SENTENCES]
+    out += [(85, label, (a,), re.escape(a)) for label, a in ADDRESSES]
+    out.sort(key=lambda r: -r[0])
+    out = [(p, label, keys, re.compile(text)) for p, label, keys, text in [*out, *((p, "", (key,), text) for p, key, text in ID_PHRASES)]]
     words = ahocorasick.Automaton()
-    for key in {r[2] for r in out}:
+    for key in {key for r in out for key in r[2]}:
         words.add_word(key, key)
     words.make_automaton()
     return out, words
 
 
+def _ids(m: re.Match) -> list[tuple[int, int, str]]:
+    """``(start, end, label)`` of the known ids in a match: the first with the phrase before it, if it is the first word."""
+    out = []
+    for word in re.finditer(r"[\w.+-]+", m["ids"]):
+        name = word[0].rstrip(".-")
+        key = re.sub(r"(?:-only|-or-later|\+)\Z", "", name)
+        if key in IDS and (key not in PROGRAMS or m.groupdict().get("verb", "licensed") in ("licensed", "licenced")):
+            at = m.start("ids") + word.start()
+            out.append((at if out or word.start() > 1 else m.start(), at + len(name), IDS[key]))
+    return out
+
+
 def detections(text: str) -> list[tuple[int, int, str, int]]:
     """``(start, end, label, priority)`` over the normalised text, in order of place; none overlap."""
     known, words = rules()
@@ -171,7 +204,8 @@ def detections(text: str) -> list[tuple[int, int, str, int]]:
     keys = {key for _, key in words.iter(text)}
     if not keys:
         return []
-    found = [(-p, m.start() - m.end(), m.start(), k, label) for k, (p, label, key, pattern) in enumerate(known) if key in keys for m in pattern.finditer(text)]
+    found = [(-p, start - end, start, k, name) for k, (p, label, own, pattern) in enumerate(known) if not keys.isdisjoint(own)
+             for m in pattern.finditer(text) for start, end, name in ([(*m.span(), label)] if label else _ids(m))]
     taken: list[tuple[int, int, str, int]] = []  # disjoint, so sorted by start and by end alike
     for priority, size, start, _, label in sorted(found):
         i = bisect(taken, (start,))

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import random
+from itertools import product
 
 import numpy as np
 import pytest
 
-from corpusflow.llm import lm_score
+from corpusflow.llm import licenses, lm_score
 
 
 def test_lm_pairs_beyond_the_bound_still_count(spark):
@@ -28,3 +29,45 @@ def test_lm_pairs_beyond_the_bound_still_count(spark):
     small.rare = None
     cut = {r.doc_id: r for r in lm_score.score(docs, small).collect()}
     assert off(got) < 0.1 * off(cut)  # both filters' few overestimates differ
+
+
+def _strings(pattern):
+    """Strings that an expression of the license tables accepts: all branches, options with and without."""
+    from re import _constants as c, _parser
+    def one(op, arg):
+        if op is c.LITERAL:
+            return [chr(arg)]
+        if op is c.IN:
+            return [chr(x if o is c.LITERAL else x[0]) for o, x in arg]
+        if op is c.SUBPATTERN:
+            return many(arg[3])
+        if op is c.BRANCH:
+            return [x for part in arg[1] for x in many(part)]
+        low, high, part = arg
+        return [x * n for n in sorted({low, min(high, low + 1)}) for x in many(part)]
+    many = lambda parts: ["".join(x) for x in product(*[one(*p) for p in parts])]
+    return many(_parser.parse(pattern))
+
+
+def test_every_alternative_of_every_license_rule_is_found_alone():
+    for label, keys, name in licenses.LICENSES:
+        for text in sorted(set(_strings(name))):
+            assert any(k in text for k in keys.split("|")), (label, text)
+            labels = [x[2] for x in licenses.detections(text)]
+            assert label in labels, (label, text, labels)
+
+
+@pytest.mark.parametrize("text, want", [
+    ("SPDX-License-Identifier: MIT", "mit"), ("SPDX-License-Identifier: ISC", "isc"), ("SPDX-License-Identifier: Zlib", "zlib"), ("SPDX-License-Identifier: BSL-1.0", "boost-1.0"),
+    ("SPDX-License-Identifier: OFL-1.1", "ofl-1.1"), ("SPDX-License-Identifier: MPL-1.1", "mpl-1.1"), ("SPDX-License-Identifier: CDDL-1.0", "cddl-1.0"),
+    ("SPDX-License-Identifier: EPL-2.0", "epl-2.0"), ("SPDX-License-Identifier: (MIT OR Apache-2.0) AND ISC", "mit,apache-2.0,isc"), ("licensed under MIT.", "mit"),
+    ("distributed under the GNU GPL", "gpl"), ("Expat License", "mit"), ("PNG Reference Library License", "libpng"), ("Apache License 2.0", "apache-2.0"), ("gpl-1.0-only", "gpl-1.0"),
+    ("GNU GPL version 2", "gpl-2.0"), ("available under X11 on Linux", ""), ("licensed under MIT-Modern-Variant", ""), ("SPDX-License-Identifier: nothing", "")])
+def test_license_notices(text, want):
+    assert ",".join(x[2] for x in licenses.detections(text)) == want
+
+
+def test_every_spdx_id_is_found():
+    for name, label in licenses.IDS.items():
+        assert [x[2] for x in licenses.detections(f"# SPDX-License-Identifier: {name.upper()}\n")] == [label]
+        assert label in [x[2] for x in licenses.detections(f"licensed under {name}.")]
