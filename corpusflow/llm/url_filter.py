@@ -1,8 +1,12 @@
 """URL filters: stated rules first, then a path-template tree for the urls they leave open.
 
 Per host, paths become templates segment by segment. A segment with digits has its runs of
-digits generalised at once; then, level by level from the root, a node with more than
-``branches`` different segments has all of them replaced by a wildcard. Siblings whose
+digits generalised at once; then, level by level from the root, the rare segments of a node with
+more than ``branches`` different ones are replaced by wildcards. Frequent segments, of ``common``
+urls or more and one in 4 * ``branches`` of the node's at least, stay as they are. Rare ones that
+a rule decides in part or whole, or with ``common`` labels or more, say nothing about others:
+they become ``*{allow}``, ``*{mixed}`` or ``*{block}`` by their share of bad labels. The others,
+with few labels or none, are ``*``. Siblings whose
 labelled shares don't differ significantly are merged (neighbours in order of their shares,
 by a two-proportion z-test) and judged by their common counts. A template is rejected if its
 purity, the smoothed share of its labelled urls that are bad, reaches ``least``: the prior of a
@@ -10,7 +14,7 @@ template is its host's share, that of a host is ``base``. A template without any
 allowed: nothing speaks against it.
 
 Every step is a partially aggregated count or a window over a node's children, of which there
-are at most ``branches``; segments past ``depth`` are one wildcard.
+are at most 4 * ``branches`` and four wildcards; segments past ``depth`` are one wildcard.
 """
 
 from __future__ import annotations
@@ -21,6 +25,8 @@ from corpusflow.llm.common import col, stored
 
 #: Different segments under a node before they become a wildcard, and levels of the tree.
 BRANCHES, DEPTH = 32, 6
+#: Urls that make a segment frequent, or labels that speak for it alone.
+COMMON = 8
 #: Weight of a prior in labelled urls, a host's prior share of bad ones, share that rejects, z that separates.
 PRIOR, BASE, LEAST, Z = 4.0, 0.25, 0.5, 1.96
 
@@ -47,7 +53,7 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, labels: DataFrame | None = None, branches: int = BRANCHES,
-          depth: int = DEPTH, prior: float = PRIOR, base: float = BASE, least: float = LEAST, z: float = Z) -> DataFrame:
+          depth: int = DEPTH, prior: float = PRIOR, base: float = BASE, least: float = LEAST, z: float = Z, common: int = COMMON) -> DataFrame:
     """One row per input row: ``page_id, host, path, rule, verdict, template, purity``.
 
     ``verdict`` (allow or block) is that of the longest fitting rule, else the template's.
@@ -61,13 +67,14 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
     rows = rows.withColumn("hit", rule_of(F.col("host"), F.col("path"), rules))
     urls = rows.groupBy("host", "path", "hit").agg(F.count("*").alias("n"))
     seen = urls.select("host", "path", "n", F.when(F.col("hit.verdict") == "block", F.col("n")).otherwise(0).alias("bad"), F.when(F.col("hit").isNotNull(), F.col("n")).otherwise(0).alias("labelled"))
+    seen = seen.withColumn("ruled", F.col("labelled"))
     if labels is not None:
         h, p = host_path(F.col("url"))
-        more = labels.where(F.col("bad").isNotNull()).select(h.alias("host"), p.alias("path"), F.lit(0).cast("long").alias("n"), F.col("bad").cast("long").alias("bad"), F.lit(1).cast("long").alias("labelled"))
+        more = labels.where(F.col("bad").isNotNull()).select(h.alias("host"), p.alias("path"), F.lit(0).cast("long").alias("n"), F.col("bad").cast("long").alias("bad"), F.lit(1).cast("long").alias("labelled"), F.lit(0).cast("long").alias("ruled"))
         seen = seen.unionByName(more)
     shape = F.transform(F.split(F.substring("path", 2, 1 << 30), "/"), lambda s: F.regexp_replace(s, "[0-9]+", "{n}"))
-    seen = seen.withColumn("segments", shape).groupBy("host", "segments").agg(*[F.sum(c).alias(c) for c in ("n", "bad", "labelled")])
-    tree = stored(_generalise(seen, branches, depth), "url-templates")  # one row per host and shape of path
+    seen = seen.withColumn("segments", shape).groupBy("host", "segments").agg(*[F.sum(c).alias(c) for c in ("n", "bad", "labelled", "ruled")])
+    tree = stored(_generalise(seen, branches, depth, common), "url-templates")  # one row per host and shape of path
     nodes = tree.groupBy("host", "template").agg(*[F.sum(c).alias(c) for c in ("n", "bad", "labelled")])
     hosts = tree.groupBy("host").agg(F.sum("bad").alias("host_bad"), F.sum("labelled").alias("host_labelled"))
     purity = lambda bad, n, p: (bad + prior * p) / (n + prior)
@@ -91,15 +98,20 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules
         F.concat(F.lit("/"), F.array_join("template", "/")).alias("template"), "purity")
 
 
-def _generalise(seen: DataFrame, branches: int, depth: int) -> DataFrame:
+def _generalise(seen: DataFrame, branches: int, depth: int, common: int) -> DataFrame:
     """Add ``template`` to rows ``(host, segments, ...)``, level by level."""
     tree = seen.withColumn("template", F.array().cast("array<string>"))
     for level in range(1, depth + 1):
         here = F.when(F.size("segments") >= level, F.get("segments", F.lit(level - 1)))
         tree = tree.withColumn("here", here)
-        children = tree.where("here IS NOT NULL").select("host", "template", "here").distinct()
-        wide = children.groupBy("host", "template").agg(F.count("*").alias("c")).where(F.col("c") > branches).select("host", "template", F.lit("*").alias("star"))
-        tree = tree.join(wide, ["host", "template"], "left")
+        children = tree.where("here IS NOT NULL").groupBy("host", "template", "here").agg(*[F.sum(c).alias(c) for c in ("n", "bad", "labelled", "ruled")])
+        wide = children.groupBy("host", "template").agg(F.count("*").alias("c"), F.sum("n").alias("whole")).where(F.col("c") > branches).drop("c")
+        frequent = (F.col("n") >= common) & (F.col("n") * 4 * branches >= F.col("whole"))
+        share = F.col("bad") / F.col("labelled")
+        pool = F.when(share < 0.25, "*{allow}").when(share < 0.75, "*{mixed}").otherwise("*{block}")
+        star = F.when(frequent, F.col("here")).when((F.col("ruled") > 0) | (F.col("labelled") >= common), pool).otherwise("*")
+        stars = children.join(wide, ["host", "template"]).select("host", "template", "here", star.alias("star"))
+        tree = tree.join(stars, ["host", "template", "here"], "left")
         step = F.array_append("template", F.coalesce("star", "here"))
         tree = stored(tree.withColumn("template", F.when(F.col("here").isNull(), F.col("template")).otherwise(step)).drop("here", "star"), f"url-level-{level}")
     rest = F.when(F.size("segments") > depth, F.array_append("template", F.lit("**"))).otherwise(F.col("template"))

@@ -8,7 +8,7 @@ from itertools import product
 import numpy as np
 import pytest
 
-from corpusflow.llm import licenses, lm_score
+from corpusflow.llm import licenses, lm_score, url_filter
 
 
 def test_lm_pairs_beyond_the_bound_still_count(spark):
@@ -71,3 +71,22 @@ def test_every_spdx_id_is_found():
     for name, label in licenses.IDS.items():
         assert [x[2] for x in licenses.detections(f"# SPDX-License-Identifier: {name.upper()}\n")] == [label]
         assert label in [x[2] for x in licenses.detections(f"licensed under {name}.")]
+
+
+@pytest.mark.parametrize("sections, per_section", [(5, 1), (60, 1), (60, 12), (400, 12)])
+def test_url_rules_of_a_section_say_nothing_about_others(spark, sections, per_section):
+    names = ["es", "fr", "en", "de", *(chr(97 + i % 26) + chr(97 + i // 26) + "q" for i in range(sections))]
+    urls = [f"http://site.net/{s}/{i}" for s in names for i in range(per_section)] + [f"http://site.net/en/{i}" for i in range(100)]
+    got = url_filter.judge(spark.createDataFrame([*enumerate(urls)], "page_id long, url string").repartition(3)).collect()
+    assert len(got) == len(urls)
+    for r in got:
+        assert r.verdict == ("block" if r.path.startswith(("/es/", "/fr/")) else "allow"), r
+    assert len({r.template for r in got}) <= 4 * url_filter.BRANCHES + 4
+
+
+def test_url_sections_with_many_labels_are_judged_alone(spark):
+    urls = [f"http://big.org/{chr(97 + i % 26)}{chr(97 + i // 26)}/{k}" for i in range(400) for k in range(10)]
+    labels = spark.createDataFrame([(f"http://big.org/aa/{k}", True) for k in range(20)] + [(f"http://big.org/ba/{k}", False) for k in range(20)], "url string, bad boolean")
+    got = url_filter.judge(spark.createDataFrame([*enumerate(urls)], "page_id long, url string"), labels=labels).collect()
+    assert {r.path.split("/")[1] for r in got if r.verdict == "block"} == {"aa"}
+    assert {r.template for r in got} == {"/*/{n}", "/*{block}/{n}", "/*{allow}/{n}"}
