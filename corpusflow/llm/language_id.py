@@ -6,8 +6,8 @@ one), so equal words have equal labels and a slab of text runs through the netwo
 distinct word. A document's log probabilities are the mean over all of its positions.
 
 Trained in numpy by backpropagation through time with Adam, on a bounded sample: at most
-``per_language`` labelled documents a language, chosen by a hash of the text, of each at most
-``sample_chars`` characters. Prediction reads whole texts, and nothing but the text.
+``per_language`` different labelled texts a language, chosen by a hash, of each at most
+``sample_chars`` characters spread over the whole text. Prediction reads whole texts, and nothing but the text.
 """
 
 from __future__ import annotations
@@ -18,9 +18,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from corpusflow.llm.common import col, filter_rows, slabs
 
-#: The training sample: documents of each language, and characters of each.
+#: The training sample: documents of each language, characters of each, and pieces of a longer one.
 PER_LANGUAGE = 300
 SAMPLE_CHARS = 4000
+PIECES = 8
 #: Bytes that the network reads before it starts anew.
 SPAN = 48
 HIDDEN, STEPS, BATCH, RATE = 12, 450, 512, 0.012
@@ -138,21 +139,31 @@ def _spans(text: bytes) -> list[bytes]:
     return [w[i:i + SPAN] for w in text.split() for i in range(0, len(w), SPAN)]
 
 
+def _sample(text, chars: int):
+    """``text``, or of a longer one ``PIECES`` pieces evenly spread, the words cut at their edges left out."""
+    size, room = F.length(text), max(1, chars // PIECES)
+    piece = lambda i: text.substr((F.lit(i) * (size - room) / (PIECES - 1)).cast("int") + 1, F.lit(room))
+    cut = lambda i: F.regexp_replace(piece(i), (r"\A\S{1,47}\s" if i else "") + ("|" if 0 < i < PIECES - 1 else "") + (r"\s\S{1,47}\z" if i < PIECES - 1 else ""), "")
+    return F.when(size <= chars, text).otherwise(F.concat_ws(" ", *[cut(i) for i in range(PIECES)]))
+
+
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", per_language: int = PER_LANGUAGE, sample_chars: int = SAMPLE_CHARS, **options) -> Network | None:
     """Fit a network on a bounded sample of the rows that have a label; None without any.
 
-    The sample of a language is its rows with the smallest hashes of the text, so it doesn't
-    depend on the order of the rows. Its count tells which hashes can be among them (eight times
-    ``per_language`` rows are expected); only those rows reach the top-k. Labels are a closed set.
+    The sample of a language is its different texts with the smallest hashes, so it depends
+    neither on the order of the rows nor on how often a text is repeated. The number of different
+    texts tells which hashes can be among them (eight times ``per_language`` are expected, and all
+    of fewer texts); only those texts reach the top-k. Labels are a closed set.
     """
     rows = docs.where(col(lang_col).isNotNull() & (F.length(F.trim(col(text_col))) > 0)).select(
-        col(lang_col).cast("string").alias("lang"), F.substring(col(text_col), 1, sample_chars).alias("text"), F.xxhash64(col(text_col)).alias("h"))
-    sizes = {lang: n for lang, n in rows.groupBy("lang").count().collect()}
+        col(lang_col).cast("string").alias("lang"), col(text_col).cast("string").alias("text"), F.xxhash64(col(text_col)).alias("h"))
+    sizes = {lang: n for lang, n in rows.select("lang", "h").distinct().groupBy("lang").count().collect()}
     if not sizes:
         return None
     limits = [x for lang, n in sorted(sizes.items()) for x in (F.lit(lang), F.lit(min(1.0, 8 * per_language / n)))]
     rows = rows.where(F.col("h") / 2.0 ** 64 + 0.5 <= F.create_map(*limits)[F.col("lang")])
-    first = Window.partitionBy("lang").orderBy("h", "text")
+    rows = rows.groupBy("lang", "h").agg(F.min(_sample(F.col("text"), sample_chars)).alias("text"))
+    first = Window.partitionBy("lang").orderBy("h")
     picked = rows.withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_language).select("lang", "text").collect()
     counts: dict[tuple[str, bytes], int] = {}
     for lang, text in sorted(map(tuple, picked)):

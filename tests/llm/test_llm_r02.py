@@ -8,7 +8,7 @@ from itertools import product
 import numpy as np
 import pytest
 
-from corpusflow.llm import licenses, lm_score, url_filter
+from corpusflow.llm import language_id, licenses, lm_score, url_filter
 
 
 def test_lm_pairs_beyond_the_bound_still_count(spark):
@@ -90,3 +90,26 @@ def test_url_sections_with_many_labels_are_judged_alone(spark):
     got = url_filter.judge(spark.createDataFrame([*enumerate(urls)], "page_id long, url string"), labels=labels).collect()
     assert {r.path.split("/")[1] for r in got if r.verdict == "block"} == {"aa"}
     assert {r.template for r in got} == {"/*/{n}", "/*{block}/{n}", "/*{allow}/{n}"}
+
+
+def test_language_of_copies_keeps_its_label(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language_id.Network, "train", lambda net, words, y, weights, **options: seen.append((net.labels, words, y.tolist())))
+    many = spark.range(30000).selectExpr("concat('kopie', id % 3) AS text", "'de' AS lang")
+    more = spark.range(3000).selectExpr("concat('copy', id) AS text", "'en' AS lang")
+    language_id.train(many.union(more), per_language=2)
+    (labels, words, y), = seen
+    assert labels == ["de", "en"] and y.count(0) == y.count(1) == 2 and len(set(words)) == 4
+    seen.clear()
+    language_id.train(many.union(many.limit(5).selectExpr("'einzig' AS text", "lang")), per_language=10)
+    assert sorted(seen[0][1]) == [b"einzig", b"kopie0", b"kopie1", b"kopie2"]
+
+
+def test_language_sample_reads_the_whole_text(spark):
+    words = [f"w{i:05}" for i in range(4000)]
+    df = spark.createDataFrame([(" ".join(words),), ("short text",), ("x" * 9000,)], "text string")
+    long, short, one = [r[0] for r in df.select(language_id._sample(df.text, 4000)).collect()]
+    got = long.split()
+    assert set(got) <= set(words) and got == sorted(got) and 3000 < len(long) <= 4000 + language_id.PIECES
+    assert got[0] == words[0] and got[-1] == words[-1] and any("w01900" < w < "w02400" for w in got)
+    assert short == "short text" and 4000 <= len(one) <= 4000 + language_id.PIECES
