@@ -258,6 +258,9 @@ def identify(docs: DataFrame, net: Network | None, id_col: str = "doc_id", text_
 
 def drop_unidentified(docs: DataFrame, net: Network | None, text_col: str = "text", least: float = 0.0) -> DataFrame:
     """``docs`` without the rows in no language (``und``) or below the score ``least``; the other
-    rows and all columns as they were."""
+    rows and all columns as they were. If ``net`` is None (nothing was labelled), texts with a
+    letter stay."""
+    if net is None:
+        return filter_rows(docs, text_col, lambda texts: [any(map(str.isalpha, t)) for t in texts])
     shared = docs.sparkSession.sparkContext.broadcast(net)
     return filter_rows(docs, text_col, lambda texts: [lang != UNKNOWN and score >= least for lang, score in predict(shared.value, texts)])

@@ -113,3 +113,10 @@ def test_language_sample_reads_the_whole_text(spark):
     assert set(got) <= set(words) and got == sorted(got) and 3000 < len(long) <= 4000 + language_id.PIECES
     assert got[0] == words[0] and got[-1] == words[-1] and any("w01900" < w < "w02400" for w in got)
     assert short == "short text" and 4000 <= len(one) <= 4000 + language_id.PIECES
+
+
+def test_without_labels_texts_with_a_letter_stay(spark):
+    docs = spark.createDataFrame([(1, "some text", None), (2, "12 ?", None), (3, None, None), (4, "", None), (5, "日本", None)], "doc_id long, text string, lang string")
+    net = language_id.train(docs)
+    kept = language_id.drop_unidentified(docs, net)
+    assert net is None and kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 5]
