@@ -9,7 +9,7 @@ import functools
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from corpusflow.session import prepare
 
@@ -106,3 +106,28 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     from corpusflow.llm.url_filter import judge
     return judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@query("op11_suffix_dedup", """
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+blocks AS (SELECT r, b, substr(x, 2 * b + 1, 1422) AS y
+           FROM (SELECT r, x, unnest(range(0, length(x) // 2 - 199, 512)) AS b FROM texts WHERE length(x) >= 400)),
+windows AS (SELECT r, b + i AS s, md5(substr(y, 2 * i + 1, 400)) AS w
+            FROM (SELECT r, b, y, unnest(range(0, length(y) // 2 - 199)) AS i FROM blocks)),
+hits AS (SELECT r, s FROM windows SEMI JOIN (SELECT w FROM windows GROUP BY w HAVING count(*) > 1) USING (w)),
+runs AS (SELECT r, s, sum(fresh) OVER (PARTITION BY r ORDER BY s) AS run
+         FROM (SELECT r, s, CASE WHEN s - lag(s) OVER (PARTITION BY r ORDER BY s) <= 200 THEN 0 ELSE 1 END AS fresh FROM hits)),
+spans AS (SELECT r, run, min(s) AS a, max(s) + 200 AS b FROM runs GROUP BY r, run),
+gaps AS (SELECT r, run, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM spans),
+cut AS (SELECT r, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, max(b) AS last,
+               string_agg(substr(x, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+        FROM gaps JOIN texts USING (r) GROUP BY r)
+SELECT doc_id, length(x) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(CASE WHEN n_spans IS NULL THEN x ELSE head || substr(x, 2 * last + 1) END)) AS kept_sha256
+FROM texts LEFT JOIN cut USING (r)""")
+def op11(spark, sf_dir):
+    from corpusflow.llm.suffix_dedup import remove_repeats
+    cut = remove_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet"), length=200)
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.end - s.start)
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
