@@ -131,3 +131,42 @@ def op11(spark, sf_dir):
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.end - s.start)
     return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op13_spelling_variants", r"""
+WITH RECURSIVE crc AS (
+  SELECT list(c ORDER BY i) AS t
+  FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+        FROM (SELECT unnest(range(256)) AS i))),
+runs AS (
+  SELECT doc_id, run, count(*) AS c
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[a-z\x{00C0}-\x{00FF}]+')) AS run FROM documents)
+  GROUP BY doc_id, run),
+hashed AS (
+  SELECT run, c, xor(list_reduce(list_prepend(4294967295, list_transform(range(length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)),
+                                 lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS h
+  FROM (SELECT run, c, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM runs), crc),
+words AS (
+  SELECT word, sum(c)::BIGINT AS n
+  FROM (SELECT c, CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3),
+shorter AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word AS a, b.word AS b FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT s.word, w.word FROM shorter s JOIN words w ON w.word = s.rest
+  UNION SELECT w.word, s.word FROM shorter s JOIN words w ON w.word = s.rest),
+ranked AS (
+  SELECT a, b, m, count(*) OVER (PARTITION BY a) AS n_near, row_number() OVER (PARTITION BY a ORDER BY m DESC, b) AS k
+  FROM (SELECT a, b, w.n AS m FROM near JOIN words w ON w.word = b)),
+forms AS (
+  SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN m >= 2 * n THEN b END AS form, CASE WHEN m >= 2 * n THEN m END AS form_n
+  FROM words LEFT JOIN ranked ON a = word AND k = 1),
+chain AS (
+  SELECT word, word AS at FROM forms
+  UNION ALL SELECT chain.word, f.form FROM chain JOIN forms f ON f.word = chain.at WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, chain.at AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN chain ON chain.word = f.word JOIN forms l ON l.word = chain.at WHERE l.form IS NULL""")
+def op13(spark, sf_dir):
+    from corpusflow.llm.spelling import spelling_variants
+    return spelling_variants(spark.read.parquet(f"{sf_dir}/documents.parquet"))
