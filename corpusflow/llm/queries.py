@@ -170,3 +170,32 @@ FROM forms f JOIN chain ON chain.word = f.word JOIN forms l ON l.word = chain.at
 def op13(spark, sf_dir):
     from corpusflow.llm.spelling import spelling_variants
     return spelling_variants(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+@query("op12_collocations", r"""
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS p, piece
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                                           '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+words AS (SELECT lang, p, generate_subscripts(w, 1) AS i, unnest(w) AS word FROM (SELECT lang, p, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces)),
+grams AS (
+  SELECT lang, word AS w1, lead(word) OVER o AS w2, lead(word, 2) OVER o AS w3 FROM words WINDOW o AS (PARTITION BY p ORDER BY i)),
+f1 AS (SELECT lang, w1 AS phrase, count(*) AS f FROM grams GROUP BY lang, w1),
+f2 AS (SELECT lang, w1, w2, w1 || ' ' || w2 AS phrase, count(*) AS f FROM grams WHERE w2 IS NOT NULL GROUP BY lang, w1, w2 HAVING count(*) >= 10),
+f3 AS (SELECT lang, w1, w2, w3, w1 || ' ' || w2 || ' ' || w3 AS phrase, count(*) AS f FROM grams WHERE w3 IS NOT NULL GROUP BY lang, w1, w2, w3 HAVING count(*) >= 10),
+cuts AS (
+  SELECT f2.lang, f2.phrase, f2.f AS a, 1 AS k, x.f AS l, y.f AS r FROM f2 JOIN f1 x ON x.lang = f2.lang AND x.phrase = w1 JOIN f1 y ON y.lang = f2.lang AND y.phrase = w2
+  UNION ALL
+  SELECT f3.lang, f3.phrase, f3.f, 1, x.f, y.f FROM f3 JOIN f1 x ON x.lang = f3.lang AND x.phrase = f3.w1 JOIN f2 y ON y.lang = f3.lang AND y.w1 = f3.w2 AND y.w2 = f3.w3
+  UNION ALL
+  SELECT f3.lang, f3.phrase, f3.f, 2, x.f, y.f FROM f3 JOIN f2 x ON x.lang = f3.lang AND x.w1 = f3.w1 AND x.w2 = f3.w2 JOIN f1 y ON y.lang = f3.lang AND y.phrase = f3.w3),
+scored AS (SELECT *, ((1000000::HUGEINT * a * a) // (l::HUGEINT * r))::BIGINT AS score FROM cuts),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+held AS (SELECT lang, phrase, max(f) AS f FROM (SELECT lang, w1 || ' ' || w2 AS phrase, f FROM f3 UNION ALL SELECT lang, w2 || ' ' || w3, f FROM f3) GROUP BY lang, phrase),
+kept AS (SELECT b.* FROM best b LEFT JOIN held h ON h.lang = b.lang AND h.phrase = b.phrase WHERE h.f IS NULL OR 100 * h.f < 50 * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept),
+totals AS (SELECT lang, count(*) AS n FROM words GROUP BY lang)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, r.score FROM ranked r JOIN totals t ON t.lang = r.lang WHERE r.rank <= 2000""")
+def op12(spark, sf_dir):
+    from corpusflow.llm.collocations import collocations
+    return collocations(spark.read.parquet(f"{sf_dir}/documents.parquet"), max_words=3, least_count=10, contained_percent=50, top=2000)

@@ -31,13 +31,15 @@ _LOWER = {c: c + 32 for c in range(65, 91)}
 HELD = 200_000
 
 
-def runs_of_letters(key: str, text: str, typo_every: int = 97) -> Counter:
-    """Words of one document: maximal runs of letters, A-Z lower-cased. A run whose crc32 of
-    ``key:run`` is divisible by ``typo_every`` loses the character at the crc32 modulo its length."""
+def runs_of_letters(key: str, text: str, typo_every: int = 97, least_length: int = 1) -> Counter:
+    """Words of one document: maximal runs of letters, A-Z lower-cased, of ``least_length`` or more. A run whose
+    crc32 of ``key:run`` is divisible by ``typo_every`` loses the character at the crc32 modulo its length."""
     out: Counter = Counter()
     head = zlib.crc32(f"{key}:".encode())
     text = text.lower() if text.isascii() else text.translate(_LOWER)
     for run, n in Counter(re.findall(RUN, text)).items():
+        if len(run) < least_length:
+            continue
         h = zlib.crc32(run.encode(), head)
         if h % typo_every == 0:
             at = h % len(run)
@@ -60,7 +62,7 @@ def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
         for batch in batches:
             for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
-                for word, n in runs_of_letters(key, text or "", typo_every).items():
+                for word, n in runs_of_letters(key, text or "", typo_every, least_length).items():
                     if len(word) >= least_length:
                         held[word] += n
                 if len(held) >= HELD:
@@ -89,19 +91,22 @@ def pivotal(word: str, rank: dict[str, int], weight: dict[str, int]) -> tuple[li
     return best[1], prefix, last
 
 
+_ENTRY = {"key": pa.string(), "word": pa.string(), "last": pa.int32(), "n": pa.int32(), "head": pa.int32(), "tail": pa.int32()}
+
+
 def _entries(ranks: dict[str, int], weights: dict[str, int], pivots: bool):
-    """Words -> ``(key, word, last)`` for each pivot (or prefix bigram) and side."""
+    """Words -> for each pivot (or prefix bigram) and side ``(key, word, last, n, head, tail)``, the last three being
+    length, first and last character of what the key leaves over."""
     def run(batches):
         for batch in batches:
             out = []
             for word in batch.column("word").to_pylist():
                 pivot, prefix, last = pivotal(word, ranks, weights)
                 for i in pivot if pivots else prefix:
-                    out.append(("<" + word[:i + 2], word, last))
-                    out.append((">" + word[i:], word, last))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.string(), pa.string(), pa.int32()))]
-                                             if out else [pa.array([], pa.string()), pa.array([], pa.string()), pa.array([], pa.int32())],
-                                             ["key", "word", "last"])
+                    for key, rest in (("<" + word[:i + 2], word[i + 2:]), (">" + word[i:], word[:i])):
+                        out.append((key, word, last, len(rest), ord(rest[0]) if rest else 0, ord(rest[-1]) if rest else 0))
+            columns = zip(*out) if out else [()] * len(_ENTRY)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _ENTRY.values())], list(_ENTRY))
     return run
 
 
@@ -113,16 +118,15 @@ def near_words(words: DataFrame) -> DataFrame:
              .groupBy("gram").agg(F.count("*").alias("n")).orderBy("n", "gram").collect())
     ranks = {g.gram: k for k, g in enumerate(grams)}
     weights = {g.gram: g.n for g in grams}
-    schema = "key string, word string, last int"
-    pivots = words.select("word").mapInArrow(_entries(ranks, weights, True), schema).toDF("key", "s", "s_last")
-    prefixes = words.select("word").mapInArrow(_entries(ranks, weights, False), schema).toDF("key", "r", "r_last")
-    known = F.length("key") - 1
-    # what follows (or precedes) the equal part must differ by one edit
-    side = lambda w: F.when(F.col("key").startswith("<"), F.substring(w, known + 1, F.length(w))).otherwise(
-        F.substring(w, F.lit(1), F.length(w) - known))
-    later = (F.col("r_last") > F.col("s_last")) | ((F.col("r_last") == F.col("s_last")) & (F.col("s") < F.col("r")))
-    pairs = (pivots.join(prefixes, "key").where(later & (F.abs(F.length("s") - F.length("r")) <= 1))
-             .where(F.levenshtein(side("s"), side("r"), 1) == 1))
+    schema = "key string, word string, last int, n int, head int, tail int"
+    pivots = words.select("word").mapInArrow(_entries(ranks, weights, True), schema).toDF("key", "s", "s_last", "s_n", "s_head", "s_tail")
+    prefixes = words.select("word").mapInArrow(_entries(ranks, weights, False), schema).toDF("key", "r", "r_last", "r_n", "r_head", "r_tail")
+    later = F.expr("r_last > s_last OR (r_last = s_last AND s < r)")
+    # one edit leaves the first or the last of several characters as it is
+    close = F.expr("abs(s_n - r_n) <= 1 AND (s_head = r_head OR s_tail = r_tail OR least(s_n, r_n) <= 1)")
+    rest = lambda w, n: F.when(F.col("key").startswith("<"), F.substring(w, -F.col(n), F.col(n))).otherwise(F.substring(w, F.lit(1), F.col(n)))
+    pairs = (pivots.join(prefixes, "key").where(close & later)
+             .where(F.levenshtein(rest("s", "s_n"), rest("r", "r_n"), 1) == 1))
     return pairs.select(F.col("s").alias("a"), F.col("r").alias("b")).distinct()
 
 

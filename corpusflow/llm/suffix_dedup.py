@@ -25,14 +25,13 @@ stands. Places that can match are brought together first, then suffix-sorted:
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from corpusflow.llm.common import id_text, slabs, stored
+from corpusflow.llm.rolling import span_hashes
 from corpusflow.llm.suffix_sort import suffix_array
 
 LENGTH = 200
@@ -44,29 +43,10 @@ GROUP_BYTES = 1 << 18
 #: Context digests that a task remembers, so as to send their bytes once.
 REMEMBERED = 1 << 18
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-
-
-@functools.lru_cache(1)
-def _tables(n: int):
-    powers = np.full(n + 1, _BASE, np.uint64)
-    inverse = np.full(n + 1, _INVERSE, np.uint64)
-    powers[0] = inverse[0] = 1
-    values = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    return np.cumprod(powers, dtype=np.uint64), np.cumprod(inverse, dtype=np.uint64), values
-
-
 def _anchors(data: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
     """For each window start: its anchor's position; and the hash at each position."""
-    size = 1 << max(SLAB, len(data)).bit_length()
-    powers, inverse, values = _tables(size)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(values[data] * powers[: len(data)], out=total[1:])
-    h = (total[anchor:] - total[:-anchor]) * inverse[: len(data) - anchor + 1]
-    h ^= h >> np.uint64(32)
-    h *= np.uint64(0xD6E8FEB86659FD93)
-    h ^= h >> np.uint64(29)
+    starts = np.arange(len(data) - anchor + 1)
+    h = span_hashes(data, starts, starts + anchor, 11)
     wide = length - anchor + 1
     least, where, span = h, np.arange(len(h), dtype=np.int32), 1
 
