@@ -198,29 +198,36 @@ def _write_out(sizes: int, bits: int):
     """A slice's chunks and the hashes found -> ``(lang, size, phrase, n)`` added up within the slice."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         found = np.unique(np.concatenate([golomb.decode(b) for b in right.column("found").to_pylist()])) if right.num_rows else np.zeros(0, np.uint64)
-        total: dict[tuple[str, bytes], int] = {}
+        langs, phrases, sums = [], [], []
         if len(found) and left.num_rows:
             columns = _columns(left.combine_chunks())
-            langs = columns[0]
+            raws, parts = [], []
             for raw, a, b, h, other, n, chunk in _phrases(*columns, sizes):
                 at = np.searchsorted(found, h >> np.uint64(64 - bits))
                 at[at == len(found)] = 0
                 hit = np.flatnonzero(found[at] == h >> np.uint64(64 - bits))
-                if not len(hit):
-                    continue
-                hit = hit[np.lexsort((other[hit], h[hit]))]  # 128 bits tell the phrases of a slab apart
-                new = np.concatenate(([True], (h[hit][1:] != h[hit][:-1]) | (other[hit][1:] != other[hit][:-1])))
-                sums = np.add.reduceat(n[hit], np.flatnonzero(new)).tolist()
-                for x, y, t, s in zip(a[hit[new]].tolist(), b[hit[new]].tolist(), chunk[hit[new]].tolist(), sums):
-                    key = (langs[t], _joined(raw[x:y]))
-                    total[key] = total.get(key, 0) + s
-        return pa.table({"lang": pa.array([k[0] for k in total], pa.string()), "phrase": pa.array([k[1] for k in total], pa.binary()).cast(pa.string()),
-                         "n": pa.array(list(total.values()), pa.int64())})
+                parts.append(_added(h[hit], other[hit], n[hit], np.full(len(hit), len(raws)), a[hit], b[hit], chunk[hit]))
+                raws.append(raw)
+            _, _, n, slab, a, b, chunk = _added(*(np.concatenate(c) for c in zip(*parts))) if parts else [np.zeros(0, np.int64)] * 7
+            langs, sums = [columns[0][t] for t in chunk.tolist()], n
+            phrases = [_joined(raws[k][x:y]) for k, x, y in zip(slab.tolist(), a.tolist(), b.tolist())]
+        return pa.table({"lang": pa.array(langs, pa.string()), "phrase": pa.array(phrases, pa.binary()).cast(pa.string()),
+                         "n": pa.array(sums, pa.int64())})
     return run
 
 
+def _added(h, other, n, *rest):
+    """Entries with the same 128 bits of hash as one, ``n`` added up, the rest as in the first."""
+    order = np.lexsort((other, h))
+    h, other = h[order], other[order]
+    new = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (other[1:] != other[:-1])))) if len(h) else order
+    return h[new], other[new], np.add.reduceat(n[order], new) if len(h) else n, *(c[order[new]] for c in rest)
+
+
 def _joined(phrase: bytes) -> bytes:
-    return b" ".join(w for w in phrase.replace(b"\t", b" ").split(b" ") if w)
+    if b"\t" in phrase or b"  " in phrase:
+        return b" ".join(w for w in phrase.replace(b"\t", b" ").split(b" ") if w)
+    return phrase
 
 
 def frequent_phrases(chunks: DataFrame, max_words: int = MAX_WORDS, least_count: int = LEAST_COUNT) -> DataFrame:
