@@ -71,7 +71,7 @@ def build_text_index(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # Token count per document for N/avgdl: counting maximal letter/digit runs
     # equals the number of non-empty split pieces, without building arrays.
     docs = df.select(F.col(id_col).alias("doc_id"),
-                     F.regexp_count(F.lower(F.col(text_col)), F.lit(TOKEN_RUN)).alias("dl"))
+                     F.coalesce(F.regexp_count(F.lower(F.col(text_col)), F.lit(TOKEN_RUN)), F.lit(0)).alias("dl"))
     index = TextIndex(postings=postings, docs=docs)
     if path is None:
         return index

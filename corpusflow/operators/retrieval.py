@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.text import tokens
 from corpusflow.operators.index import TextIndex
+from corpusflow.operators.term_index import TermIndex, term_index_scores
 from corpusflow.operators.sizing import (BROADCAST_MAX_ROWS, bounded_count, fits, minmax_normalize,
                                          sized_broadcast, top_k)
 
@@ -39,8 +40,9 @@ DEFAULT_TOP_K = 5
 BM25_K1, BM25_B = 1.2, 0.75
 
 # (query column, document column, kind). "in": the query's array lists the
-# allowed document values (null or empty = unrestricted); "clear": the same, but an
-# empty array allows nothing; "ge"/"le": inclusive bound (null = unrestricted).
+# allowed document values (null or empty = unrestricted); "clear": the same, but a
+# null is unrestricted only where with_clearance made it so, and an empty array allows
+# nothing; "ge"/"le": inclusive bound (null = unrestricted).
 FILTER_FIELDS = [
     ("allowed_clearance", "security_clearance", "clear"),
     ("source_types", "source_type", "in"),
@@ -67,11 +69,12 @@ def clearance_for_role(role: Column, unrestricted: bool = True) -> Column:
 
 
 def with_clearance(queries: DataFrame, role_col: str = "user_role", unrestricted: bool = False) -> DataFrame:
-    """Add ``allowed_clearance`` from the role (kept if already present).
-    Without a role column, nothing is added when ``unrestricted``; otherwise
-    every query reads public documents only."""
+    """Add ``allowed_clearance`` from the role; a given one is kept, but where it is null the
+    query reads what its role allows. Without a role column, nothing is added when
+    ``unrestricted``; otherwise every query reads public documents only."""
     if "allowed_clearance" in queries.columns:
-        return queries
+        role = F.col(role_col) if role_col in queries.columns else F.lit(None).cast("string")
+        return queries.withColumn("allowed_clearance", F.coalesce("allowed_clearance", clearance_for_role(role, unrestricted)))
     if role_col not in queries.columns:
         if unrestricted:
             return queries
@@ -183,7 +186,7 @@ def bm25_scores(index: TextIndex, queries: DataFrame, k1: float = BM25_K1,
                  .groupBy("query_id", "doc_id").agg(F.sum("w").alias("score"))
 
 
-def bm25_search(index: TextIndex, queries: DataFrame, k: int = 10, docs: DataFrame | None = None,
+def bm25_search(index: TextIndex | TermIndex, queries: DataFrame, k: int = 10, docs: DataFrame | None = None,
                 k1: float = BM25_K1, b: float = BM25_B, text_col: str = "query_text",
                 unrestricted: bool = False) -> DataFrame:
     """R1 (+R3, R8): filtered keyword top-k with min-max normalised score.
@@ -195,9 +198,18 @@ def bm25_search(index: TextIndex, queries: DataFrame, k: int = 10, docs: DataFra
     """
     queries = with_clearance(queries, unrestricted=unrestricted)
     fields = _active_filters(queries, docs)
-    on_postings = [f for f in fields if f[1] in index.postings.columns]
+    by_term = isinstance(index, TermIndex)
+    on_postings = [f for f in fields if f[1] in (index.columns if by_term else index.postings.columns)]
     rest = [f for f in fields if f not in on_postings]
-    scored = bm25_scores(index, queries, k1, b, text_col, on_postings)
+    if by_term:
+        # filters that the postings can't answer come after scoring: then nothing may be skipped
+        qt = query_terms(queries, text_col)
+        if on_postings:
+            qt = qt.join(queries.select("query_id", *[f[0] for f in on_postings]), "query_id")
+        scored = term_index_scores(index, qt, None if rest else k, on_postings, filter_predicate(on_postings) if on_postings else None,
+                                   k1, b, small=fits(qt))
+    else:
+        scored = bm25_scores(index, queries, k1, b, text_col, on_postings)
     if rest:
         scored = apply_filters(scored, queries.select("query_id", *[f[0] for f in rest]), docs)
     top = top_k(scored, k, "score", digits=BM25_DIGITS, rank_col="bm25_rank")
@@ -422,7 +434,7 @@ def rerank(fused: DataFrame, queries: DataFrame, docs_text: DataFrame,
 @dataclass
 class HybridCorpus:
     """Everything R9 needs: keyword index, vectors, metadata and text."""
-    index: TextIndex
+    index: TextIndex | TermIndex
     vectors: DataFrame      # doc_id, embedding
     docs: DataFrame         # doc_id, text, metadata columns
 

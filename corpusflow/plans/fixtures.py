@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusflow.operators.sizing import sized_broadcast
-from corpusflow.sources.tables import read_table
+from corpusflow.session import scratch_path
+from corpusflow.sources.tables import file_stamp, read_table
 
 # Metadata vocabularies used to derive the corpus metadata.
 CLEARANCES = ["public", "internal", "confidential", "restricted"]
@@ -42,6 +43,22 @@ def corpus_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.join(sized_broadcast(region), "_rk", "left").drop("_rk")
 
 
+# (application id, path, size, mtime) -> path of the built index
+_INDEXES: dict[tuple, str] = {}
+
+
+def term_index(spark: SparkSession, sf_dir: str):
+    """The keyword index of ``corpus_docs``, built once per session and table, then loaded."""
+    from corpusflow.operators.term_index import build_term_index, load_term_index
+    path = f"{sf_dir.rstrip('/')}/documents.parquet"
+    key = (spark.sparkContext.applicationId, path, *file_stamp(spark, path))
+    if key not in _INDEXES:
+        out = scratch_path(spark, "term-index")
+        build_term_index(corpus_docs(spark, sf_dir), out)
+        _INDEXES[key] = out
+    return load_term_index(spark, _INDEXES[key])
+
+
 def doc_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, embedding)`` for documents that have an embedding
     (documents.doc_id = embeddings.vec_id)."""

@@ -32,7 +32,7 @@ FROM top"""
 @register("bm25_topk", SQL_BM25)
 def q_bm25_topk(spark, sf_dir):
     """R12 index over all documents, R1 top-10 for every benchmark item, R3."""
-    index = build_text_index(read_table(spark, sf_dir, "documents"))
+    index = fx.term_index(spark, sf_dir)
     res = bm25_search(index, fx.text_queries(spark, sf_dir), k=BM25_K, unrestricted=True)
     return res.select("query_id", "doc_id", F.col("bm25_rank").cast("long").alias("rank"),
                       F.round("bm25_raw", 6).alias("bm25_raw"), r6("bm25_score"))
@@ -143,7 +143,7 @@ FROM ranked"""
 
 def _hybrid(spark, sf_dir, with_roles, with_filters, rerank):
     docs = fx.corpus_docs(spark, sf_dir)
-    corpus = HybridCorpus(index=build_text_index(docs), vectors=fx.doc_vectors(spark, sf_dir), docs=docs)
+    corpus = HybridCorpus(index=fx.term_index(spark, sf_dir), vectors=fx.doc_vectors(spark, sf_dir), docs=docs)
     q = fx.filtered_queries(spark, sf_dir) if with_filters else fx.hybrid_queries(spark, sf_dir, with_roles)
     # queries without roles are searched unrestricted on purpose (R9 opt-in)
     res = hybrid_search(corpus, q, HYB_K, enable_rerank=rerank, unrestricted=not with_roles)
@@ -193,7 +193,7 @@ GROUP BY q.query_id, q.user_role""")
 def q_search_response(spark, sf_dir):
     """Response rows for rbac_search (sources in rank order)."""
     docs = fx.corpus_docs(spark, sf_dir)
-    corpus = HybridCorpus(index=build_text_index(docs), vectors=fx.doc_vectors(spark, sf_dir), docs=docs)
+    corpus = HybridCorpus(index=fx.term_index(spark, sf_dir), vectors=fx.doc_vectors(spark, sf_dir), docs=docs)
     q = fx.hybrid_queries(spark, sf_dir, True)
     res = hybrid_search(corpus, q, HYB_K, enable_rerank=True)
     resp = query_response(res, q)

@@ -30,7 +30,7 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df
 
 
-def _file_stamp(spark: SparkSession, path: str) -> tuple[int, int]:
+def file_stamp(spark: SparkSession, path: str) -> tuple[int, int]:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -54,7 +54,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     target = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    size, mtime = _file_stamp(spark, path)
+    size, mtime = file_stamp(spark, path)
     if size < SPREAD_MIN_BYTES:
         return df
     key = (spark.sparkContext.applicationId, path, size, mtime)
