@@ -9,7 +9,7 @@ On disk (shared folder, Parquet):
 * ``terms/bucket=<b>/`` - document frequency and highest impact of each term.
 * ``docs/``, ``stats/`` - lengths of all documents; their number and mean length, k1 and b.
 
-A search reads the buckets of its terms alone. The first blocks give each query a score that its
+A search reads the buckets of its terms alone. For short queries the first blocks give a score that the query's
 k-th document reaches at least; a block is skipped if its bound, with the highest impacts of the
 query's other terms, stays below that, for then none of its documents can be among the k best.
 Documents that can are in no skipped block, so their scores are whole and the result is exact.
@@ -32,6 +32,8 @@ BUCKETS = 64
 BLOCK = 256
 #: Scores this far below the k-th can't reach it by rounding.
 SLACK = 1e-6
+#: Queries with more terms read all blocks of their terms.
+SKIP_TERMS = 8
 
 
 def term_counts(toks: Column) -> Column:
@@ -163,35 +165,50 @@ def term_index_scores(index: TermIndex, query_terms: DataFrame, k: int | None, f
                       k1: float = 1.2, b: float = 0.75, small: bool = False, skipped: bool = False) -> DataFrame:
     """``(query_id, doc_id, score)``: BM25 of ``query_terms`` (``query_id, term`` and the filters' columns, each
     pair once). With ``k`` (and the index's own k1 and b) at least the k best of each query, scores whole;
-    without it all documents. ``small``: the terms may be broadcast. ``skipped`` adds nothing to the
-    scores but returns the blocks instead, ``(query_id, term, block, skip)``."""
+    without it all documents. ``small``: the terms may be broadcast. ``skipped`` returns instead what
+    the searches make of the blocks, ``(query_id, term, block, skip)``.
+
+    Blocks are skipped for queries of ``SKIP_TERMS`` terms at most: with more, what a query has to spare hardly ever
+    falls below a block's distance to its term's best, and finding it out costs more than it saves.
+    """
     blocks, terms, _ = matching_blocks(index, query_terms)
     idf = F.log(1.0 + (F.lit(index.n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     side = F.broadcast if small else (lambda d: d)
     known = terms.join(side(query_terms.select("term").distinct()), "term", "left_semi").select("term", idf.alias("idf"), "best")
-    weighted = query_terms.join(side(known), "term")
-    pruned = k is not None and k1 == index.k1 and b == index.b
-    weight = impact(k1, b, index.avg_dl)
-
-    def scored(rows):
-        rows = rows.select("query_id", "idf", *[f[0] for f in fields], F.inline("postings"))
-        if predicate is not None:
-            rows = rows.where(predicate)
-        return rows.groupBy("query_id", "doc_id").agg(F.sum(F.col("idf") * weight).alias("score"))
-
-    if pruned:
-        first = scored(blocks.where("block = 0").join(side(weighted), "term"))
-        place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score")))
-        least = first.withColumn("place", place).where(F.col("place") <= k).groupBy("query_id").agg(
-            F.min("score").alias("least"), F.count(F.lit(1)).alias("found")).where(F.col("found") == k).select("query_id", "least")
-        most = weighted.groupBy("query_id").agg(F.sum(F.col("idf") * F.col("best")).alias("most"))
-        limits = most.join(least, "query_id", "left").select("query_id", (F.col("most") - F.coalesce("least", F.lit(float("-inf")))).alias("spare"))
-        weighted = weighted.join(side(limits), "query_id")
-    matched = blocks.join(side(weighted), "term")
-    if pruned:
-        # what this block lacks to its term's best must not exceed what the query has to spare
-        skip = F.col("idf") * (F.col("best") - F.col("bound")) > F.col("spare") + SLACK
-        if skipped:
-            return matched.select("query_id", "term", "block", skip.alias("skip"))
-        matched = matched.where(~skip)
-    return scored(matched)
+    weighted = query_terms.join(side(known), "term").withColumn("spare", F.lit(float("inf")))
+    if k is not None and k1 == index.k1 and b == index.b:
+        weighted = weighted.drop("spare").join(side(_spare(index, blocks, weighted, k, fields, predicate, side)), "query_id", "left") \
+            .withColumn("spare", F.coalesce("spare", F.lit(float("inf"))))
+    lack = F.col("idf") * (F.col("best") - F.col("bound"))  # what the block lacks to its term's best
+    if skipped:
+        return blocks.join(side(weighted), "term").select("query_id", "term", "block", (lack > F.col("spare") + SLACK).alias("skip"))
+    return _scored(index, blocks, weighted, fields, predicate, side, lack <= F.col("spare") + SLACK, k1, b)
+
+
+def _scored(index: TermIndex, blocks: DataFrame, weighted: DataFrame, fields, predicate: Column | None, side, needed: Column, k1: float, b: float) -> DataFrame:
+    """Blocks that some query needs are dealt out anew, so that the many of a frequent term, which lie in
+    a file or two, don't fall to one task; opened once, their postings meet the queries that need them."""
+    context = blocks.sparkSession.sparkContext
+    tasks = max(2 * context.defaultParallelism, int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    widest = weighted.groupBy("term").agg(F.first("idf").alias("idf"), F.first("best").alias("best"), F.max("spare").alias("spare"))
+    names = ["doc_id", "tf", "dl", *dict.fromkeys(f[1] for f in fields)]
+    postings = (blocks.join(side(widest), "term").where(needed).repartition(tasks, "term", "block")
+                .select("term", "idf", "best", "bound", F.inline(F.arrays_zip(*[F.col(f"postings.{c}").alias(c) for c in names]))))
+    weight = F.col("idf") * impact(k1, b, index.avg_dl)
+    postings = postings.select("term", "idf", "best", "bound", "doc_id", weight.alias("weight"), *names[3:])
+    matched = postings.join(side(weighted.drop("idf", "best")), "term").where(needed)
+    if predicate is not None:
+        matched = matched.where(predicate)
+    return matched.groupBy("query_id", "doc_id").agg(F.sum("weight").alias("score"))
+
+
+def _spare(index: TermIndex, blocks: DataFrame, weighted: DataFrame, k: int, fields, predicate, side) -> DataFrame:
+    """``(query_id, spare)`` of short queries: their highest possible score less what the first blocks alone
+    give their k-th document."""
+    size = weighted.groupBy("query_id").agg(F.count(F.lit(1)).alias("size"), F.sum(F.col("idf") * F.col("best")).alias("most")).where(F.col("size") <= SKIP_TERMS)
+    short = weighted.join(side(size.select("query_id")), "query_id", "left_semi")
+    first = _scored(index, blocks.where("block = 0"), short, fields, predicate, side, F.lit(True), index.k1, index.b)
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score")))
+    least = first.withColumn("place", place).where(F.col("place") <= k).groupBy("query_id").agg(
+        F.min("score").alias("least"), F.count(F.lit(1)).alias("found")).where(F.col("found") == k)
+    return size.join(least, "query_id").select("query_id", (F.col("most") - F.col("least")).alias("spare"))
