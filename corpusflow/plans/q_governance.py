@@ -46,6 +46,38 @@ def q_index_upsert(spark, sf_dir):
                     F.sha2("content", 256).alias("content_sha"))
 
 
+SQL_REVISIONS = f"""WITH cut AS (SELECT doc_id, substr(text, 1, length(text) // 3) AS text FROM documents WHERE lang = 'fr'),
+more AS (SELECT doc_id, text || ' ' || text AS text FROM documents WHERE lang = 'de'),
+u AS ({_windows_sql("(SELECT doc_id, text FROM documents WHERE lang = 'en')", ', 0 AS revision')}
+      UNION ALL {_windows_sql('cut', ', 1 AS revision')} UNION ALL {_windows_sql('more', ', 2 AS revision')})
+SELECT doc_id, chunk_index::BIGINT AS chunk_index, revision::BIGINT AS revision, sha256(content) AS content_sha FROM u"""
+
+
+@register("index_revisions", SQL_REVISIONS)
+def q_index_revisions(spark, sf_dir):
+    """G1: the chunk index as a log: all documents; French ones cut to a third (their old tail
+    chunks go); German ones doubled; Spanish ones deleted; then compacted."""
+    from corpusflow.operators.document_log import DocumentLog
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    log = DocumentLog(spark, scratch_path(spark, "chunk-log"), key="doc_id")
+
+    def chunks(rows, revision):
+        return chunk_fixed(rows.drop("lang"), 1000, 200).withColumn("revision", F.lit(revision).cast("long"))
+
+    def of(lang):
+        return d.where(F.col("lang") == lang)
+
+    log.replace(chunks(d, 0), d)
+    fr = of("fr").withColumn("text", F.substring("text", F.lit(1), F.floor(F.length("text") / 3).cast("int")))
+    log.replace(chunks(fr, 1), fr)
+    de = of("de").withColumn("text", F.concat("text", F.lit(" "), "text"))
+    log.replace(chunks(de, 2), de)
+    log.delete(of("es"))
+    log.compact()
+    return log.read().select("doc_id", F.col("chunk_index").cast("long").alias("chunk_index"), "revision",
+                             F.sha2("content", 256).alias("content_sha"))
+
+
 def _corpus_chunks(spark, sf_dir):
     docs = fx.corpus_docs(spark, sf_dir)
     return docs, chunk_fixed(docs.select("doc_id", "text", "source_type", "doc_date"), 1000, 200)
