@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from corpusflow.functions.text import record_text
 from corpusflow.operators import governance as gv
 from corpusflow.operators.chunking import get_chunker
+from corpusflow.operators.document_log import DocumentLog
 from corpusflow.operators.masking import mask_documents
 from corpusflow.operators.parsing import decode_utf8, route_documents
 from corpusflow.sources.files import read_objects
@@ -43,12 +44,14 @@ def _finish(chunks: DataFrame, run_id: str, batch_id: int) -> DataFrame:
 
 def ingest_objects(spark: SparkSession, root: str, prefix: str = "", extensions: list[str] | None = None,
                    chunker: Callable[[DataFrame], DataFrame] | None = None, mask: bool = True,
-                   store: gv.SnapshotTable | None = None, run_id: str = "run",
+                   store: gv.SnapshotTable | DocumentLog | None = None, run_id: str = "run",
                    batch_id: int = 0) -> IngestResult:
     """E1 over an object folder. Text objects are decoded (strict UTF-8) and
     chunked; objects of routes without a decoder here (pdf, workbook, image)
     and undecodable ones go to quarantine with their reason. ``chunker``
-    defaults to fixed 1000/200 windows keyed by ``document_id``."""
+    defaults to fixed 1000/200 windows keyed by ``document_id``; any of ``get_chunker`` with that
+    ``id_col`` will do. A ``DocumentLog`` as store replaces the ingested documents whole, so that a shorter revision
+    leaves no old chunks; a snapshot table is upserted by chunk."""
     objs = read_objects(spark, root, prefix, extensions=extensions)
     routed = route_documents(objs.withColumn("filename", F.col("metadata.key")))
     decoded = decode_utf8(routed, "content", "text")
@@ -63,7 +66,7 @@ def ingest_objects(spark: SparkSession, root: str, prefix: str = "", extensions:
     chunks = _finish(chunk(docs), run_id, batch_id)
     version = None
     if store is not None:
-        version = gv.upsert_snapshot(store, chunks, "chunk_id")
+        version = store.replace(chunks, docs) if isinstance(store, DocumentLog) else gv.upsert_snapshot(store, chunks, "chunk_id")
         chunks = store.read().where(F.col("run_id") == run_id)
     flat = chunks.select("document_id", F.col("metadata.source_type").alias("source_type"),
                          F.col("metadata.source_uri").alias("source_uri"), "chunking_method",
