@@ -93,18 +93,23 @@ def suspects(narrow: DataFrame, owner_bits: int | None = None, slice_rows: int =
 
 
 def _classes(docs: DataFrame, id_col: str, text_col: str, **options) -> tuple[DataFrame, DataFrame]:
-    """The stored narrow rows ``(rid, doc_id, h, sha)`` and the classes of two or more rows."""
+    """The stored narrow rows ``(rid, doc_id, h, sha, suspect)`` and the classes of two or more rows.
+
+    Rows are marked by a join with the suspect fingerprints, which Spark broadcasts if they are few (else the narrow
+    rows are shuffled once); all that follows handles suspects alone.
+    """
     rows = id_text(docs, id_col, text_col).withColumn("h", F.xxhash64("text"))
     narrow = stored(rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "h", F.unhex(F.sha2("text", 256)).alias("sha")), "fingerprints")
     hashes = stored(suspects(narrow, **options), "suspect-fingerprints")
+    marked = stored(narrow.join(hashes.withColumn("suspect", F.lit(True)), "h", "left").withColumn("suspect", F.coalesce("suspect", F.lit(False))), "marked-fingerprints")
     same = (rows.select("h", "text").join(hashes, "h", "left_semi")
             .groupBy("h", "text").agg(F.count("*").alias("n")).where("n > 1")
             .select("h", F.unhex(F.sha2("text", 256)).alias("sha")))
     best = F.max(F.struct("doc_id", F.negative("rid").alias("rid")))
-    copies = narrow.groupBy("h", "sha").agg(best.alias("best"), F.count("*").alias("n")).where("n > 1")
+    copies = marked.where("suspect").groupBy("h", "sha").agg(best.alias("best"), F.count("*").alias("n")).where("n > 1")
     classes = (copies.join(same, ["h", "sha"])
                .select("h", "sha", F.col("best.doc_id").alias("keep_id"), (-F.col("best.rid")).alias("keep_rid"), "n"))
-    return narrow, stored(classes, "copy-classes")
+    return marked, stored(classes, "copy-classes")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -115,18 +120,23 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     that repeat the same id and text exactly one is ``kept``. No rows give no rows.
     """
     narrow, classes = _classes(docs, id_col, text_col, **options)
-    return narrow.join(classes, ["h", "sha"], "left").select(
+    sha = F.lower(F.hex("sha")).alias("text_sha256")
+    alone = narrow.where("NOT suspect").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), sha)
+    return narrow.where("suspect").join(classes, ["h", "sha"], "left").select(
         "doc_id",
         F.when(F.col("n").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
-        (F.col("n").isNull() | (F.col("rid") == F.col("keep_rid"))).alias("kept"),
-        F.lower(F.hex("sha")).alias("text_sha256"))
+        (F.col("n").isNull() | (F.col("rid") == F.col("keep_rid"))).alias("kept"), sha).unionByName(alone)
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the kept rows alone, all columns as they were."""
+    """``docs`` with the kept rows alone, all columns as they were.
+
+    Null texts are empty and copies of one another, a null id loses to any other. Of rows that repeat both
+    id and text one stays, whichever; their other columns aren't compared. No rows give no rows.
+    """
     narrow, classes = _classes(docs, id_col, text_col)
-    rows = narrow.join(classes, ["h", "sha"])
+    rows = narrow.where("suspect").join(classes, ["h", "sha"])
     stays = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     drop = rows.where(~stays).select("doc_id", F.col("h").alias("text_hash")).distinct()
     repeats = rows.where(stays).groupBy("doc_id", F.col("h").alias("text_hash")).agg(F.count("*").alias("c")).where("c > 1")
