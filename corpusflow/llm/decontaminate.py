@@ -15,6 +15,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from corpusflow.llm.common import filter_rows, id_text
 
@@ -74,24 +75,16 @@ def tile(doc: np.ndarray, item: np.ndarray, min_match: int = MIN_MATCH) -> list[
     in_doc, in_item = doc != 0, np.ones(len(item), bool)
     left, right = Rolling(doc), Rolling(item)
     tiles, s = [], len(item)
-    while s >= min_match:
+    while s >= min_match and in_item.any():
         found, best = [], 0
         if len(doc) >= s:
-            where: dict[int, list[int]] = {}
-            for j, h in zip(np.flatnonzero(_open(in_item, s)).tolist(), right.windows(s)[_open(in_item, s)].tolist()):
-                where.setdefault(h, []).append(j)
-            if where:
-                spots = np.flatnonzero(_open(in_doc, s))
-                hashes = left.windows(s)[spots]
-                known = np.isin(hashes, np.fromiter(where, np.uint64, len(where)))
-                for i, h in zip(spots[known].tolist(), hashes[known].tolist()):
-                    for j in where[h]:
-                        k = min(len(doc) - i, len(item) - j)
-                        same = (doc[i:i + k] == item[j:j + k]) & in_doc[i:i + k] & in_item[j:j + k]
-                        k = k if same.all() else int(np.argmin(same))
-                        if k >= s:
-                            found.append((k, i, j))
-                            best = max(best, k)
+            for i, j in _run_starts(left, right, in_doc, in_item, s):
+                k = min(len(doc) - i, len(item) - j)
+                same = (doc[i:i + k] == item[j:j + k]) & in_doc[i:i + k] & in_item[j:j + k]
+                k = k if same.all() else int(np.argmin(same))
+                if k >= s:
+                    found.append((k, i, j))
+                    best = max(best, k)
         if not found:
             s = max(s // 2, min_match) if s > min_match else 0
             continue
@@ -102,54 +95,81 @@ def tile(doc: np.ndarray, item: np.ndarray, min_match: int = MIN_MATCH) -> list[
     return tiles
 
 
+def _run_starts(left: Rolling, right: Rolling, in_doc: np.ndarray, in_item: np.ndarray, s: int):
+    """Pairs ``(doc, item)`` where a run of equal free windows of ``s`` words starts: on each diagonal the
+    first window alone, since the longest runs start nowhere else (periodic texts have runs, not pairs, to extend)."""
+    spots = np.flatnonzero(_open(in_doc, s))
+    ours = right.windows(s)
+    hashes = left.windows(s)[spots]
+    hit = np.isin(hashes, ours)
+    spots, hashes = spots[hit], hashes[hit]
+    order = np.argsort(hashes, kind="stable")
+    spots, hashes = spots[order], hashes[order]
+    free = _open(in_item, s)
+    first, last = np.searchsorted(hashes, ours, "left"), np.searchsorted(hashes, ours, "right")
+    follows, before = np.zeros(len(in_doc) + 1, bool), spots[:0]
+    for j in np.flatnonzero(free & (last > first)).tolist():
+        here = spots[first[j]:last[j]]
+        linked = j > 0 and free[j - 1]
+        follows[before + 1] = False
+        if linked:
+            follows[spots[first[j - 1]:last[j - 1]] + 1] = True
+            before = spots[first[j - 1]:last[j - 1]]
+        for i in here[~follows[here]].tolist():
+            yield i, j
+
+
 class Block:
-    """Vocabulary, seed table and words of some test items; small enough to broadcast."""
+    """Vocabulary, seed tables and words of some test items; small enough to broadcast.
+
+    Seeds have ``min_match`` words; an item of fewer is a seed as a whole, in a table of its length.
+    """
 
-    def __init__(self, items: list[tuple], min_match: int):
-        self.min_match = min_match
+    def __init__(self, items: list[tuple], min_match: int, least_words: int = 1):
         self.vocabulary: dict[bytes, int] = {}
-        self.items, seeds, owners = [], [], []
+        self.items, by_length = [], {}
         for key, text in items:
             words = words_of(text or "")
-            if len(words) >= min_match:
+            if len(words) >= max(least_words, 1):
                 ids = np.array([self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words])
-                hashes = np.unique(Rolling(ids).windows(min_match))
-                seeds.append(hashes)
-                owners.append(np.full(len(hashes), len(self.items)))
-                self.items.append((key, ids))
-        seeds = np.concatenate([*seeds, np.zeros(0, np.uint64)])
-        owners = np.concatenate([*owners, np.zeros(0, np.int64)]).astype(np.int64)
-        order = np.argsort(seeds, kind="stable")
-        self.owners = owners[order]
-        self.seeds, self.starts = np.unique(seeds[order], return_index=True)
-        self.starts = np.append(self.starts, len(seeds))
+                m = min(min_match, len(words))
+                hashes = Rolling(ids).windows(m)
+                by_length.setdefault(m, []).append((len(self.items), np.unique(hashes)))
+                self.items.append((key, ids, hashes))
+        self.tables = []
+        for m, entries in sorted(by_length.items()):
+            seeds = np.concatenate([h for _, h in entries])
+            order = np.argsort(seeds, kind="stable")
+            distinct, starts = np.unique(seeds[order], return_index=True)
+            owners = np.concatenate([np.full(len(h), o) for o, h in entries])[order]
+            self.tables.append((m, distinct, np.append(starts, len(seeds)), owners))
 
     def leaks(self, text: str, threshold: float):
         """``(item, coverage, tiles)`` of every item that the text leaks."""
         get = self.vocabulary.get
         doc = np.array([get(w, 0) for w in words_of(text)], np.int64)
-        m = self.min_match
-        if len(doc) < m or not len(self.seeds):
-            return
-        spots = np.flatnonzero(_open(doc != 0, m))
-        if not len(spots):
-            return
-        hashes = Rolling(doc).windows(m)[spots]
-        at = np.minimum(np.searchsorted(self.seeds, hashes), len(self.seeds) - 1)
-        hit = self.seeds[at] == hashes
+        rolling = None
+        for m, seeds, starts, owners in self.tables:
+            spots = np.flatnonzero(_open(doc != 0, m)) if len(doc) >= m else ()
+            if len(spots):
+                rolling = rolling or Rolling(doc)
+                yield from self._tiled(doc, spots, rolling.windows(m)[spots], m, seeds, starts, owners, threshold)
+
+    def _tiled(self, doc, spots, hashes, m, seeds, starts, owners, threshold):
+        at = np.minimum(np.searchsorted(seeds, hashes), len(seeds) - 1)
+        hit = seeds[at] == hashes
         if not hit.any():
             return
         spots, at = spots[hit], at[hit]
         known = np.unique(at)
-        owners = np.unique(np.concatenate([self.owners[self.starts[k]:self.starts[k + 1]] for k in known]))
-        hashes = self.seeds[known]
-        for o in owners.tolist():
-            key, item = self.items[o]
-            shared = np.isin(Rolling(item).windows(m), hashes)
+        hashes = seeds[known]
+        for o in np.unique(np.concatenate([owners[starts[k]:starts[k + 1]] for k in known])).tolist():
+            key, item, windows = self.items[o]
+            shared = np.isin(windows, hashes)
             reach = np.convolve(shared, np.ones(m, int)) > 0  # no tiling covers more than this
             if reach.sum() < threshold * len(item):
                 continue
-            own = spots[np.isin(at, known[np.isin(hashes, np.unique(Rolling(item).windows(m)))])]
+            own = spots[np.isin(at, known[np.isin(hashes, windows)])]
             inside = np.zeros(len(doc) + m, bool)
             for k in range(m):
                 inside[own + k] = True
@@ -159,17 +179,17 @@ class Block:
                 yield key, covered, tiles
 
 
-def _blocks(spark, benchmark: DataFrame, id_col: str, text_col: str, min_match: int, block_words: int):
+def _blocks(spark, benchmark: DataFrame, id_col: str, text_col: str, min_match: int, block_words: int, least_words: int = 1):
     """Broadcast blocks, one after the other. Items are dealt by a hash of their rows."""
     rows = id_text(benchmark, id_col, text_col)
     total = rows.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
     n = -(-total // block_words)
     for k in range(n):
         part = rows.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)) == k).distinct()
-        yield spark.sparkContext.broadcast(Block([tuple(r) for r in part.collect()], min_match))
+        yield spark.sparkContext.broadcast(Block([tuple(r) for r in part.collect()], min_match, least_words))
 
 
-def _find(block, threshold):
+def _find(block, threshold, item_type):
     def run(batches):
         for batch in batches:
             ids, texts = batch.column("doc_id"), batch.column("text")
@@ -178,7 +198,7 @@ def _find(block, threshold):
                 if found:
                     yield pa.RecordBatch.from_arrays([
                         pa.array([ids[i].as_py()] * len(found), ids.type),
-                        pa.array([key for key, _, _ in found], pa.int64()),
+                        pa.array([key for key, _, _ in found], item_type),
                         pa.array([c for _, c, _ in found], pa.float64()),
                         pa.array([len(t) for _, _, t in found], pa.int64()),
                         pa.array([max(k for _, _, k in t) for _, _, t in found], pa.int64()),
@@ -189,19 +209,22 @@ def _find(block, threshold):
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-          item_text_col: str = "text", min_match: int = MIN_MATCH, threshold: float = THRESHOLD, block_words: int = BLOCK_WORDS) -> DataFrame:
+          item_text_col: str = "text", min_match: int = MIN_MATCH, threshold: float = THRESHOLD, block_words: int = BLOCK_WORDS,
+          least_words: int = MIN_MATCH) -> DataFrame:
     """One row per leaked (document, item): ``doc_id, item_id, coverage, n_tiles, longest, tiles``.
 
-    ``item_col`` holds integers. Null texts are empty. A document or an item of fewer than
-    ``min_match`` words leaks nothing; equal items each give a row, rows that repeat an item
+    ``item_id`` has the type of ``item_col``. Null texts are empty. Items of fewer than ``least_words`` words
+    are left out; with less than ``min_match``, an item of fewer words than that is found where all its words stand in
+    one piece (very short ones in clean documents too). An item or a document without words leaks nothing. Equal items each give a row, rows that repeat an item
     count once, repeated documents each give their rows. Clean documents give none; an empty
     table on either side gives no rows.
     """
     rows = id_text(docs, id_col, text_col)
-    schema = f"doc_id {dict(rows.dtypes)['doc_id']}, item_id long, coverage double, n_tiles long, longest long, tiles array<struct<doc_word:long,item_word:long,words:long>>"
+    item = benchmark.schema[item_col].dataType
+    schema = f"doc_id {dict(rows.dtypes)['doc_id']}, item_id {item.simpleString()}, coverage double, n_tiles long, longest long, tiles array<struct<doc_word:long,item_word:long,words:long>>"
     out = docs.sparkSession.createDataFrame([], schema)
-    for block in _blocks(docs.sparkSession, benchmark, item_col, item_text_col, min_match, block_words):
-        out = out.unionByName(rows.mapInArrow(_find(block, threshold), schema))
+    for block in _blocks(docs.sparkSession, benchmark, item_col, item_text_col, min_match, block_words, least_words):
+        out = out.unionByName(rows.mapInArrow(_find(block, threshold, to_arrow_type(item)), schema))
     return out
 
 
@@ -210,8 +233,13 @@ def _clean(block, threshold):
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-               min_match: int = MIN_MATCH, threshold: float = THRESHOLD, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``docs`` without the rows that leak an item; rows and columns are otherwise as they were."""
-    for block in _blocks(docs.sparkSession, benchmark, item_col, item_text_col, min_match, block_words):
+               min_match: int = MIN_MATCH, threshold: float = THRESHOLD, block_words: int = BLOCK_WORDS, least_words: int = MIN_MATCH) -> DataFrame:
+    """``docs`` without the rows that leak an item; rows and columns are otherwise as they were.
+
+    Items of fewer than ``least_words`` words drop nothing, since clean documents hold them too (``leaks`` can list
+    them). Null and empty texts, of documents or items, leak nothing; repeated rows stay or go together; an empty
+    table on either side drops nothing.
+    """
+    for block in _blocks(docs.sparkSession, benchmark, item_col, item_text_col, min_match, block_words, least_words):
         docs = filter_rows(docs, text_col, _clean(block, threshold))
     return docs

@@ -38,7 +38,7 @@ def op1(spark, sf_dir):
 @query("op2_decontaminate")
 def op2(spark, sf_dir):
     from corpusflow.llm.decontaminate import leaks
-    return leaks(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).drop("tiles")
+    return leaks(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), least_words=1).drop("tiles")
 
 
 @query("op3_byte_bpe")
