@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from corpusflow.llm.common import col, stored
 
-RUN = "[A-Za-zÀ-ÿ]+"
+LETTER = "[A-Za-zÀ-ÿ]"
 _LOWER = {c: c + 32 for c in range(65, 91)}
 #: Distinct words that a task counts before it sends them on.
 HELD = 200_000
@@ -37,9 +37,8 @@ def runs_of_letters(key: str, text: str, typo_every: int = 97, least_length: int
     out: Counter = Counter()
     head = zlib.crc32(f"{key}:".encode())
     text = text.lower() if text.isascii() else text.translate(_LOWER)
-    for run, n in Counter(re.findall(RUN, text)).items():
-        if len(run) < least_length:
-            continue
+    # a run is matched from its start and whole, or is too short wherever the search starts in it
+    for run, n in Counter(re.findall(f"{LETTER}{{{least_length},}}", text)).items():
         h = zlib.crc32(run.encode(), head)
         if h % typo_every == 0:
             at = h % len(run)
