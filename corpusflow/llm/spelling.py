@@ -90,12 +90,18 @@ def pivotal(word: str, rank: dict[str, int], weight: dict[str, int]) -> tuple[li
     return best[1], prefix, last
 
 
-_ENTRY = {"key": pa.string(), "word": pa.string(), "last": pa.int32(), "n": pa.int32(), "head": pa.int32(), "tail": pa.int32()}
+_ENTRY = {"key": pa.string(), "word": pa.string(), "last": pa.int32(), "n": pa.int32(), "head": pa.int64(), "tail": pa.int64()}
+#: Characters of the first and last that are packed into a number, by their low byte.
+PACKED = 4
+
+
+def _packed(first: str) -> int:
+    return int.from_bytes(bytes(ord(c) & 255 for c in first[:PACKED]).ljust(PACKED, b"\0"), "big")
 
 
 def _entries(ranks: dict[str, int], weights: dict[str, int], pivots: bool):
     """Words -> for each pivot (or prefix bigram) and side ``(key, word, last, n, head, tail)``, the last three being
-    length, first and last character of what the key leaves over."""
+    length, first and (backwards) last characters of what the key leaves over."""
     def run(batches):
         for batch in batches:
             out = []
@@ -103,7 +109,7 @@ def _entries(ranks: dict[str, int], weights: dict[str, int], pivots: bool):
                 pivot, prefix, last = pivotal(word, ranks, weights)
                 for i in pivot if pivots else prefix:
                     for key, rest in (("<" + word[:i + 2], word[i + 2:]), (">" + word[i:], word[:i])):
-                        out.append((key, word, last, len(rest), ord(rest[0]) if rest else 0, ord(rest[-1]) if rest else 0))
+                        out.append((key, word, last, len(rest), _packed(rest), _packed(rest[::-1])))
             columns = zip(*out) if out else [()] * len(_ENTRY)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _ENTRY.values())], list(_ENTRY))
     return run
@@ -117,12 +123,13 @@ def near_words(words: DataFrame) -> DataFrame:
              .groupBy("gram").agg(F.count("*").alias("n")).orderBy("n", "gram").collect())
     ranks = {g.gram: k for k, g in enumerate(grams)}
     weights = {g.gram: g.n for g in grams}
-    schema = "key string, word string, last int, n int, head int, tail int"
+    schema = "key string, word string, last int, n int, head long, tail long"
     pivots = words.select("word").mapInArrow(_entries(ranks, weights, True), schema).toDF("key", "s", "s_last", "s_n", "s_head", "s_tail")
     prefixes = words.select("word").mapInArrow(_entries(ranks, weights, False), schema).toDF("key", "r", "r_last", "r_n", "r_head", "r_tail")
     later = F.expr("r_last > s_last OR (r_last = s_last AND s < r)")
-    # one edit leaves the first or the last of several characters as it is
-    close = F.expr("abs(s_n - r_n) <= 1 AND (s_head = r_head OR s_tail = r_tail OR least(s_n, r_n) <= 1)")
+    # one edit leaves the first or the last half of the shorter as it is; as much of it as is packed is compared
+    spare = f"8 * ({PACKED} - least({PACKED}, shiftright(least(s_n, r_n), 1)))"
+    close = F.expr(f"abs(s_n - r_n) <= 1 AND (shiftright(s_head, {spare}) = shiftright(r_head, {spare}) OR shiftright(s_tail, {spare}) = shiftright(r_tail, {spare}))")
     rest = lambda w, n: F.when(F.col("key").startswith("<"), F.substring(w, -F.col(n), F.col(n))).otherwise(F.substring(w, F.lit(1), F.col(n)))
     pairs = (pivots.join(prefixes, "key").where(close & later)
              .where(F.levenshtein(rest("s", "s_n"), rest("r", "r_n"), 1) == 1))
