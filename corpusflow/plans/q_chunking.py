@@ -174,13 +174,65 @@ def q_chunk_section_slices(spark, sf_dir):
     return _sec_cols(ch.chunk_context_aware(_sectioned(spark, sf_dir), TARGET, False))
 
 
-@register("chunk_recursive")
+def _sql_recursive(p: str, src: str, keys: str, size: int, overlap: int, separators: list[str]) -> str:
+    """CTEs ending in ``{p}chunks(keys, i, total, content)``: spans by position,
+    one group of CTEs a separator; neighbouring small pieces are a list of
+    ends, folded into spans. ``separators`` ends with the empty one."""
+    ctes = [f"{p}o0 AS (SELECT {keys}, 0::BIGINT AS s, text AS t FROM {src} WHERE length(text) > {size})",
+            f"{p}whole AS (SELECT {keys}, 0::BIGINT AS s, length(text)::BIGINT AS e FROM {src} WHERE length(text) <= {size})"]
+    spans = [f"SELECT {keys}, s, e FROM {p}whole"]
+    for i, sep in enumerate(separators[:-1]):
+        lit = " || ".join("chr(10)" if c == "\n" else f"'{c}'" for c in sep)
+        fold = f"""list_reduce(b, lambda acc, x: CASE WHEN x - acc.s > {size}
+             THEN {{'out': list_append(acc.out, {{'s': acc.s, 'e': acc.e}}),
+                   's': list_min(list_filter(list_prepend(a, b), lambda y: y >= greatest(acc.e - {overlap}, x - {size}))), 'e': x}}
+             ELSE {{'out': acc.out, 's': acc.s, 'e': x}} END,
+           {{'out': []::STRUCT(s BIGINT, e BIGINT)[], 's': a, 'e': a}})"""
+        ctes += [
+            f"""{p}c{i} AS (SELECT {keys}, s AS s0, list_filter(list_transform(string_split(t, {lit}), lambda x, j:
+             CASE WHEN j = 1 THEN x ELSE {lit} || x END), lambda x: length(x) > 0) AS ps FROM {p}o{i})""",
+            f"{p}q{i} AS (SELECT {keys}, s0, unnest(ps) AS t, unnest(range(1, len(ps) + 1)) AS j FROM {p}c{i})",
+            f"""{p}r{i} AS (SELECT {keys}, s0, j, t, length(t)::BIGINT AS l, (s0 + sum(length(t)) OVER w - length(t))::BIGINT AS s,
+             count(*) FILTER (length(t) >= {size}) OVER w AS run FROM {p}q{i} WINDOW w AS (PARTITION BY {keys}, s0 ORDER BY j))""",
+            f"{p}o{i + 1} AS (SELECT {keys}, s, t FROM {p}r{i} WHERE l > {size})",
+            f"""{p}g{i} AS (SELECT {keys}, min(s) AS a, list(s + l ORDER BY j) AS b FROM {p}r{i} WHERE l < {size}
+             GROUP BY {keys}, s0, run)""",
+            f"{p}f{i} AS (SELECT {keys}, {fold} AS f FROM {p}g{i})",
+            f"{p}u{i} AS (SELECT {keys}, unnest(list_append(f.out, {{'s': f.s, 'e': f.e}})) AS x FROM {p}f{i})"]
+        spans += [f"SELECT {keys}, s, s + l FROM {p}r{i} WHERE l = {size}", f"SELECT {keys}, x.s, x.e FROM {p}u{i}"]
+    step, last = size - overlap, f"{p}o{len(separators) - 1}"
+    ctes.append(f"""{p}letters AS (SELECT {keys}, s + w AS s, least(s + w + {size}, s + length(t)) AS e FROM (SELECT {keys}, s, t,
+             unnest(range(0, ((length(t) - {size} + {step - 1}) // {step} + 1) * {step}, {step})) AS w FROM {last}))""")
+    spans.append(f"SELECT {keys}, s, e FROM {p}letters")
+    ctes.append(f"{p}spans AS ({' UNION ALL '.join(spans)})")
+    cut = STRIP.format(x="substr(text, s + 1, e - s)")
+    ctes.append(f"{p}text AS (SELECT {keys}, s, {cut} AS content FROM {p}spans JOIN {src} USING ({keys}))")
+    ctes.append(f"""{p}chunks AS (SELECT {keys}, row_number() OVER (PARTITION BY {keys} ORDER BY s) - 1 AS i,
+             count(*) OVER (PARTITION BY {keys}) AS total, content FROM {p}text WHERE length(content) > 0)""")
+    return ",\n".join(ctes)
+
+
+SQL_RECURSIVE = f"""WITH {_sql_recursive("", "documents", "doc_id", 1000, 200, ch.DEFAULT_SEPARATORS)}
+SELECT doc_id, i::BIGINT AS chunk_index, total::BIGINT AS total_chunks, length(content)::BIGINT AS chunk_size,
+       'recursive' AS chunking_method, content FROM chunks"""
+
+
+@register("chunk_recursive", SQL_RECURSIVE)
 def q_chunk_recursive(spark, sf_dir):
-    """Recursive chunks (1000/200); invariants are checked in tests."""
+    """Recursive chunks (1000/200)."""
     return _chunk_cols(ch.chunk_recursive(_docs(spark, sf_dir), 1000, 200))
 
 
-@register("chunk_parent_child")
+SQL_PARENT_CHILD = f"""WITH {_sql_recursive("p", "documents", "doc_id", 2000, 100, ch.PARENT_CHILD_SEPARATORS)},
+parents AS (SELECT doc_id, i AS parent_index, total AS total_parents, content AS text FROM pchunks),
+{_sql_recursive("c", "parents", "doc_id, parent_index", 400, 50, ch.PARENT_CHILD_SEPARATORS)}
+SELECT doc_id, parent_index::BIGINT AS parent_index, i::BIGINT AS child_index, total_parents::BIGINT AS total_parents,
+       total::BIGINT AS total_children, length(content)::BIGINT AS chunk_size, length(text)::BIGINT AS parent_size,
+       'parent_child' AS chunking_method, content
+FROM cchunks JOIN parents USING (doc_id, parent_index)"""
+
+
+@register("chunk_parent_child", SQL_PARENT_CHILD)
 def q_chunk_parent_child(spark, sf_dir):
     """Child chunks (400/50) of parent chunks (2000/100)."""
     r = ch.chunk_parent_child(_docs(spark, sf_dir))
