@@ -8,7 +8,6 @@ so results are deterministic and reproducible in another engine.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 
 from corpusflow.functions.text import tokens
 from corpusflow.operators.index import TextIndex
+from corpusflow.operators.vector_cells import cell_candidates
 from corpusflow.operators.term_index import TermIndex, term_index_scores
 from corpusflow.operators.sizing import (BROADCAST_MAX_ROWS, bounded_count, fits, minmax_normalize,
                                          sized_broadcast, top_k)
@@ -274,15 +274,15 @@ def _knn_schema(q: DataFrame, d: DataFrame) -> str:
 
 def knn_candidates(queries: DataFrame, vectors: DataFrame, k: int,
                    exclude_self: bool = False, docs: DataFrame | None = None,
-                   qvec_col: str = "qvec", unrestricted: bool = False) -> DataFrame:
+                   qvec_col: str = "qvec", unrestricted: bool = False, cells: bool = False) -> DataFrame:
     """Exact cosine k-NN candidates ``(query_id, doc_id, cosine)``.
 
     ``vectors`` is ``(doc_id, embedding)``; ids may be of any type. Each task multiplies a block of
     queries by a block of documents with numpy and emits only its local top-k
     per query; no query x document pair becomes a row. Small query tables are
-    broadcast (bounded by ``QUERY_BROADCAST_BYTES``); larger ones are split into
-    blocks and paired with document blocks through a keyed cogroup. A query
-    without a role reads public documents only, unless ``unrestricted``.
+    broadcast (bounded by ``QUERY_BROADCAST_BYTES``); larger ones, and any with
+    ``cells``, visit the cells that the triangle inequality leaves (:mod:`vector_cells`).
+    A query without a role reads public documents only, unless ``unrestricted``.
     """
     queries = with_clearance(queries, unrestricted=unrestricted)
     fields = _active_filters(queries, docs if docs is not None else vectors)
@@ -296,11 +296,11 @@ def knn_candidates(queries: DataFrame, vectors: DataFrame, k: int,
     q = queries.select("query_id", F.col(qvec_col).alias("qvec"), *[f[0] for f in fields]) \
                .where(F.col("qvec").isNotNull())
 
-    # queries are collected for broadcasting only below a bound on their measured size
-    numbers = q.agg(F.sum(F.size("qvec").cast("long"))).first()[0] or 0
-    if 8 * numbers <= QUERY_BROADCAST_BYTES:
-        return _knn_broadcast(q, d, k, exclude_self, fields)
-    return _knn_blocked(q, d, k, exclude_self, fields)
+    if not cells:  # queries are collected for broadcasting only below a bound on their measured size
+        numbers = q.agg(F.sum(F.size("qvec").cast("long"))).first()[0] or 0
+        if 8 * numbers <= QUERY_BROADCAST_BYTES:
+            return _knn_broadcast(q, d, k, exclude_self, fields)
+    return cell_candidates(q, d, k, fields, _np_filter_mask, exclude_self, BLOCK_ROWS)[0]
 
 
 def _knn_broadcast(q, d, k, exclude_self, fields):
@@ -327,29 +327,6 @@ def _knn_broadcast(q, d, k, exclude_self, fields):
     return d.mapInPandas(run, _knn_schema(q, d))
 
 
-def _knn_blocked(q, d, k, exclude_self, fields):
-    nq = q.count()
-    nd = d.count()
-    qb, db = max(1, math.ceil(nq / BLOCK_ROWS)), max(1, math.ceil(nd / BLOCK_ROWS))
-    qx = (q.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(qb)))
-           .withColumn("db", F.explode(F.sequence(F.lit(0), F.lit(db - 1)))))
-    dx = (d.withColumn("db", F.pmod(F.xxhash64("doc_id"), F.lit(db)))
-           .withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)))))
-
-    def run(qpdf, dpdf):
-        if qpdf.empty or dpdf.empty:
-            return pd.DataFrame({"query_id": [], "doc_id": [], "cosine": []})
-        qs, ds, ss = _block_topk(qpdf["query_id"].to_numpy(),
-                                 _unit_rows(qpdf["qvec"]), _qmeta_rows(qpdf, fields),
-                                 dpdf["doc_id"].to_numpy(),
-                                 _unit_rows(dpdf["embedding"]), dpdf,
-                                 k, exclude_self, fields)
-        return pd.DataFrame({"query_id": qs, "doc_id": ds, "cosine": ss})
-
-    return (qx.groupBy("qb", "db").cogroup(dx.groupBy("qb", "db"))
-            .applyInPandas(run, _knn_schema(q, d)))
-
-
 def vector_search(queries: DataFrame, vectors: DataFrame, k: int = 10,
                   docs: DataFrame | None = None, exclude_self: bool = False,
                   qvec_col: str = "qvec", unrestricted: bool = False) -> DataFrame:
@@ -480,7 +457,7 @@ def similar_documents(vectors: DataFrame, k: int = DEFAULT_TOP_K,
     Returns ``query_id, doc_id, cosine, rank``."""
     own = vectors.select(F.col("doc_id").alias("query_id"), F.col("embedding").alias("qvec"))
     q = own if queries is None else queries.join(own, "query_id")
-    cand = knn_candidates(q, vectors, k, exclude_self=True, docs=docs, unrestricted=unrestricted)
+    cand = knn_candidates(q, vectors, k, exclude_self=True, docs=docs, unrestricted=unrestricted, cells=queries is None)
     return top_k(cand, k, "cosine", digits=COSINE_DIGITS)
 
 
