@@ -45,14 +45,17 @@ def _finish(chunks: DataFrame, run_id: str, batch_id: int) -> DataFrame:
 def ingest_objects(spark: SparkSession, root: str, prefix: str = "", extensions: list[str] | None = None,
                    chunker: Callable[[DataFrame], DataFrame] | None = None, mask: bool = True,
                    store: gv.SnapshotTable | DocumentLog | None = None, run_id: str = "run",
-                   batch_id: int = 0) -> IngestResult:
+                   batch_id: int = 0, empty_objects: bool = False) -> IngestResult:
     """E1 over an object folder. Text objects are decoded (strict UTF-8) and
     chunked; objects of routes without a decoder here (pdf, workbook, image)
     and undecodable ones go to quarantine with their reason. ``chunker``
     defaults to fixed 1000/200 windows keyed by ``document_id``; any of ``get_chunker`` with that
     ``id_col`` will do. A ``DocumentLog`` as store replaces the ingested documents whole, so that a shorter revision
-    leaves no old chunks; a snapshot table is upserted by chunk."""
+    leaves no old chunks; a snapshot table is upserted by chunk. With ``empty_objects``, objects without a body are
+    counted too (a text one is a document without chunks, others go to quarantine); else they are left out."""
     objs = read_objects(spark, root, prefix, extensions=extensions)
+    if not empty_objects:
+        objs = objs.where(F.col("metadata.size") > 0)
     routed = route_documents(objs.withColumn("filename", F.col("metadata.key")))
     decoded = decode_utf8(routed, "content", "text")
     ok = (F.col("route") == "text") & (F.col("decode_status") == "ok")

@@ -159,16 +159,19 @@ def customer_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 OBJECT_EXTS = [".txt", ".pdf", ".docx", ".md"]
 
 
-def land_document_objects(spark: SparkSession, sf_dir: str) -> str:
+def land_document_objects(spark: SparkSession, sf_dir: str, empty_every: int | None = None) -> str:
     """Write every document as an object ``<lang>/doc_<id><ext>`` under a
-    fresh ``.../landing`` folder in the shared scratch area; returns it."""
+    fresh ``.../landing`` folder in the shared scratch area; returns it. With
+    ``empty_every`` n, documents whose id n divides are landed without a body."""
     from corpusflow.session import scratch_path
     from corpusflow.sources.files import land_objects
     root = scratch_path(spark, "objects") + "/landing"
     d = read_table(spark, sf_dir, "documents")
     ext = F.element_at(F.array(*[F.lit(e) for e in OBJECT_EXTS]), (F.pmod("doc_id", F.lit(4)) + 1).cast("int"))
+    text = F.col("text") if empty_every is None else \
+        F.when(F.pmod("doc_id", F.lit(empty_every)) == 0, F.lit("")).otherwise(F.col("text"))
     keys = d.select(F.concat("lang", F.lit("/doc_"), F.col("doc_id").cast("string"), ext).alias("key"),
-                    F.encode("text", "UTF-8").alias("data"))
+                    F.encode(text, "UTF-8").alias("data"))
     land_objects(keys, root)
     return root
 

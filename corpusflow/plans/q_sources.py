@@ -51,6 +51,23 @@ def q_folder_by_ext(spark, sf_dir):
     return r.select("metadata.key", F.col("metadata.size").cast("long").alias("size"))
 
 
+EMPTY_EVERY = 9
+
+
+@register("objects_with_empty", f"""SELECT lang || '/doc_' || doc_id::VARCHAR || ['.txt', '.pdf', '.docx', '.md'][(doc_id % 4) + 1] AS key,
+       CASE WHEN doc_id % {EMPTY_EVERY} = 0 THEN 0 ELSE octet_length(encode(text)) END::BIGINT AS size,
+       md5(CASE WHEN doc_id % {EMPTY_EVERY} = 0 THEN '' ELSE text END) AS etag,
+       CASE WHEN doc_id % {EMPTY_EVERY} = 0 THEN 0 ELSE octet_length(encode(text)) END::BIGINT AS listed_size FROM documents""")
+def q_objects_with_empty(spark, sf_dir):
+    """S1 + S2 over a landing in which every ninth object has no body: the
+    objects read, each with the size that the listing gives it."""
+    root = fx.land_document_objects(spark, sf_dir, EMPTY_EVERY)
+    listed = files.list_objects(spark, root).select("key", F.col("size").alias("listed_size"))
+    r = files.read_objects(spark, root).select("metadata.key", "metadata.size", "metadata.etag")
+    return r.join(listed, "key", "full").select("key", F.col("size").cast("long").alias("size"), "etag",
+                                                F.col("listed_size").cast("long").alias("listed_size"))
+
+
 @register("table_scan", """SELECT c_custkey, c_name, c_acctbal, 'customer' AS table_name, 'db://customer' AS source_uri
 FROM customer WHERE c_mktsegment = 'BUILDING'""")
 def q_table_scan(spark, sf_dir):

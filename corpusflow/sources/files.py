@@ -1,8 +1,8 @@
-"""Object folders read with the ``binaryFile`` source.
+"""Object folders, listed with :mod:`listing` and read with ``binaryFile``.
 
 A folder (local, HDFS, object store) plays the bucket; keys are paths
-relative to it. Listing selects only ``path/length/modificationTime`` so the
-``content`` column is pruned and file bodies are not read.
+relative to it. Listing reads no bodies. Empty objects, which ``binaryFile``
+has no split for, are added to the read ones from the listing.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusflow.sources.listing import fs_uri, listing
+
 # Content type by extension.
 CONTENT_TYPES = {
     "pdf": "application/pdf",
@@ -27,19 +29,11 @@ CONTENT_TYPES = {
 }
 
 
-def _fs_uri(uri: str) -> str:
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        return "file://" + uri[len("file:"):]
-    if "://" not in uri:
-        return "file://" + uri
-    return uri
-
-
 def land_objects(df: DataFrame, root: str, key_col: str = "key", data_col: str = "data") -> int:
     """Write each row's bytes (or text) to ``root/<key>``, in parallel from the
     tasks through ``pyarrow.fs`` (local, HDFS or S3 URIs). Returns the number
     of objects written."""
-    base_uri = _fs_uri(root)
+    base_uri = fs_uri(root)
 
     def run(batches):
         from pyarrow import fs as pafs
@@ -74,15 +68,13 @@ def _binary(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
 def list_objects(spark: SparkSession, root: str, prefix: str = "", suffix: str | None = None,
                  max_keys: int | None = None) -> DataFrame:
     """``key, size, last_modified, etag, bucket`` under ``prefix``.
-    (Zero-length objects produce no file splits and are not listed.)
+    Zero-length objects are listed like others; ``prefix`` may end within a name.
 
     ``max_keys`` caps the listing in key order *before* the suffix test (as
     an object-store page does); by default everything is listed. ``etag`` needs the
     body and is left null here (see :func:`read_objects`)."""
     bucket = posixpath.basename(root.rstrip("/"))
-    d = _binary(spark, root, prefix).select(
-        _key(F.col("path"), bucket).alias("key"), F.col("length").alias("size"),
-        F.col("modificationTime").alias("last_modified"))
+    d = listing(spark, root, prefix).select("key", "size", "last_modified")
     if max_keys is not None:
         d = d.orderBy("key").limit(max_keys)
     if suffix:
@@ -97,9 +89,13 @@ def read_objects(spark: SparkSession, root: str, prefix: str = "", suffix: str |
     ``suffix`` keeps keys ending with it; ``extensions`` keeps keys ending
     with any of them (case-sensitive). Metadata: source_type, source_uri,
     bucket, key, size, content_type, etag (md5 of the body), last_modified,
-    ingestion_ts."""
+    ingestion_ts. An empty object has an empty body."""
     bucket = posixpath.basename(root.rstrip("/"))
-    d = _binary(spark, root, prefix).withColumn("key", _key(F.col("path"), bucket))
+    empty = listing(spark, root, prefix).where(F.col("size") == 0).select(
+        "path", F.col("last_modified").alias("modificationTime"), F.col("size").alias("length"),
+        F.lit(b"").alias("content"), "key")
+    d = _binary(spark, root, posixpath.dirname(prefix)).withColumn("key", _key(F.col("path"), bucket)) \
+        .where(F.col("key").startswith(prefix)).unionByName(empty)
     if suffix:
         d = d.where(F.col("key").endswith(suffix))
     if extensions:
