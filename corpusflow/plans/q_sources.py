@@ -402,3 +402,63 @@ def q_polled_api(spark, sf_dir):
     numbered, _bad = api.poll_endpoint(polls)
     out = run_available(numbered, "polls")
     return read_back(spark, out)
+
+
+# ------------------------------------------- ingest of records and API data
+def _run_rows(run):
+    """Chunks and quarantined records of a run, each with the run's counters."""
+    rows = run.chunks.select("document_id", F.col("chunk_index").cast("long").alias("chunk_index"),
+                             F.col("total_chunks").cast("long").alias("total_chunks"), "content",
+                             F.lit(None).cast("string").alias("error")) \
+        .unionByName(run.quarantine, allowMissingColumns=True)
+    return rows.withColumns({f"run_{k}": F.lit(v).cast("long") for k, v in run.stats.items()})
+
+
+INGEST_SQL = ("SELECT nullif(o_orderkey, 50 * (o_orderkey div 50)) AS o_orderkey, o_custkey, o_orderstatus, o_orderpriority "
+              "FROM cf_orders")
+
+
+def _sql_ingest_records() -> str:
+    from corpusflow.operators.chunking import DEFAULT_SEPARATORS
+    from corpusflow.plans.q_chunking import _sql_recursive
+    text = " || chr(10) || ".join(f"'{c}: ' || coalesce({c}::VARCHAR, 'None')"
+                                  for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"))
+    return f"""WITH rec AS (SELECT 'db://query/all_orders/' || o_orderkey::VARCHAR AS document_id, {text} AS text
+  FROM (SELECT CASE WHEN o_orderkey % 50 <> 0 THEN o_orderkey END AS o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders)),
+good AS (SELECT * FROM rec WHERE document_id IS NOT NULL),
+{_sql_recursive("", "good", "document_id", 50, 20, DEFAULT_SEPARATORS)},
+u AS (SELECT document_id, i::BIGINT AS chunk_index, total::BIGINT AS total_chunks, content, NULL AS error FROM chunks
+      UNION ALL SELECT NULL, NULL, NULL, text, 'no document id' FROM rec WHERE document_id IS NULL)
+SELECT *, (SELECT count(*) FROM rec)::BIGINT AS run_total, (SELECT count(*) FROM good)::BIGINT AS run_successful,
+       (SELECT count(*) FROM rec WHERE document_id IS NULL)::BIGINT AS run_failed, (SELECT count(*) FROM chunks)::BIGINT AS run_total_chunks
+FROM u"""
+
+
+@register("ingest_records", _sql_ingest_records())
+def q_ingest_records(spark, sf_dir):
+    """Database ingest run: a query's records as text, recursive chunks
+    (50/20) in the document log, counters observed in the one pass over the
+    source; records without an id are quarantined."""
+    from corpusflow.operators.document_log import DocumentLog
+    from corpusflow.operators.record_ingest import ingest_records
+    read_table(spark, sf_dir, "orders").createOrReplaceTempView("cf_orders")
+    records = database.ingest_custom_query(spark, INGEST_SQL, "all_orders")
+    log = DocumentLog(spark, scratch_path(spark, "record-log"))
+    return _run_rows(ingest_records(records, "o_orderkey", log, chunk_size=50, chunk_overlap=20, mask=False))
+
+
+@register("ingest_api", """WITH p AS (SELECT 'api://port_congestion/P' || s.s_suppkey::VARCHAR AS document_id,
+       'congestion: ' || regexp_replace(s.s_acctbal::VARCHAR, '\.0$', '') || coalesce(chr(10) || 'country: ' || n.n_name, '') || chr(10)
+       || 'port_code: P' || s.s_suppkey::VARCHAR || chr(10) || 'timestamp: 2024-01-01T00:00:00Z' || chr(10)
+       || 'vessels_waiting: ' || (s.s_suppkey % 17)::VARCHAR AS content
+FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey)
+SELECT document_id, 0::BIGINT AS chunk_index, 1::BIGINT AS total_chunks, content, NULL AS error,
+       (SELECT count(*) FROM p)::BIGINT AS run_total, (SELECT count(*) FROM p)::BIGINT AS run_successful, 0::BIGINT AS run_failed,
+       (SELECT count(*) FROM p)::BIGINT AS run_total_chunks FROM p""")
+def q_ingest_api(spark, sf_dir):
+    """API ingest run: landed port responses, one document a port, stored in
+    the document log, counters observed in the one pass."""
+    from corpusflow.operators.document_log import DocumentLog
+    from corpusflow.operators.record_ingest import ingest_api
+    docs = api.port_congestion(api.read_responses(spark, _land_ports(spark, sf_dir), api.PORTS_SCHEMA))
+    return _run_rows(ingest_api(docs, store=DocumentLog(spark, scratch_path(spark, "api-log")), mask=False))
