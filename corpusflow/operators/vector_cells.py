@@ -7,8 +7,9 @@ bounds the distance of its k-th neighbour; after that it visits only those
 slices that the triangle inequality (ring bounds and the plane between two
 pivots) can't rule out. Equal vectors are compared once on both sides.
 
-Vectors without such structure (independent random ones of many dimensions)
-rule nothing out: every query then visits every slice, in blocks.
+Slices are compared in bins, so that a query travels once a bin and not once
+a slice. Vectors without such structure (independent random ones of many
+dimensions) rule nothing out: every query then visits every slice.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from corpusflow.session import ensure_checkpoint_dir
 MAX_PIVOTS = 1024     # vectors sampled to the driver, whatever the input's size
 MAX_SLICES = 65_536   # slices grow with the input beyond it, so that their list stays bounded
 RINGS = 64
+BIN_ROWS = 32_768     # documents of neighbouring slices that one task compares
+BLOCK_NUMBERS = 4_000_000  # numbers of a block of query vectors, and of a block of cosines
 DIGITS = 6
 SLACK = 1e-6          # distances are compared with room for rounding
 
@@ -69,9 +72,14 @@ class Cells:
         # the smallest hashes are a sample without order by content
         self.pivots = unit_rows([r[0] for r in reps.orderBy("g").limit(m).select("embedding").collect()]) if n else None
         self.rows = self._slices(reps) if n else None
-        self.units = None if not n else self.rows.groupBy("unit").agg(
-            F.first("cell").alias("cell"), F.count(F.lit(1)).alias("n"), F.min("r").alias("lo"), F.max("r").alias("hi")) \
-            .orderBy("unit").toPandas()
+        self.units = None
+        if n:
+            u = self.rows.groupBy("unit").agg(F.first("cell").alias("cell"), F.count(F.lit(1)).alias("n"), F.min("r").alias("lo"),
+                                              F.max("r").alias("hi")).orderBy("cell", "lo", "unit").toPandas()
+            u["bin"] = (u["n"].cumsum() - u["n"]) // max(self.slice_rows, BIN_ROWS)
+            self.units = u
+            number = spark_rows(reps.sparkSession, u)
+            self.rows = self.rows.join(F.broadcast(number), "unit").select(*[c for c in self.rows.columns if c != "unit"], "unit_no", "bin")
 
     def _slices(self, reps: DataFrame) -> DataFrame:
         pivots = self.pivots
@@ -98,19 +106,23 @@ class Cells:
         unit = F.concat_ws("-", "cell", "ring", part.cast("string"))
         return rows.withColumn("unit", unit).drop("ring", "parts").checkpoint()
 
-    def visits(self, queries: DataFrame, k: int, block: int, second: bool) -> DataFrame:
-        """``queries`` once for each slice to visit (``unit``, ``block``). First
-        the nearest slices that hold k vectors; in the second pass all others
-        that may hold one at least as near as the cosine ``least``, a null one
-        ruling nothing out."""
+    def visits(self, queries: DataFrame, k: int, blocks: int, second: bool) -> DataFrame:
+        """``queries`` once for each ``bin`` to visit, with the ``units`` to
+        compare there (null: all) and a ``block``. First the nearest slices
+        that hold k vectors; in the second pass all others that may hold one at
+        least as near as the cosine ``least``, a null one ruling nothing out."""
         pivots, u = self.pivots, self.units
-        names, cell = u["unit"].to_numpy(), u["cell"].to_numpy()
-        n, lo, hi = u["n"].to_numpy(), u["lo"].to_numpy(), u["hi"].to_numpy()
+        cell, n, lo, hi = (u[c].to_numpy() for c in ("cell", "n", "lo", "hi"))
+        bins, starts, sizes = np.unique(u["bin"].to_numpy(), return_index=True, return_counts=True)
 
-        @F.pandas_udf("array<string>")
+        def dealt(units: np.ndarray) -> list:
+            parts = np.split(units, np.searchsorted(units, starts[1:]))
+            return [{"bin": int(b), "units": None if len(p) == m else p.tolist()} for b, m, p in zip(bins, sizes, parts) if len(p)]
+
+        @F.pandas_udf("array<struct<bin:int,units:array<int>>>")
         def choose(vecs: pd.Series, least: pd.Series) -> pd.Series:
             between = _distances(pivots, pivots)
-            out, size = [], max(1, 4_000_000 // len(names))
+            out, size = [], max(1, BLOCK_NUMBERS // len(cell))
             for i in range(0, len(vecs), size):
                 dist = _distances(unit_rows(vecs.iloc[i:i + size]), pivots)
                 near = dist.argmin(1)
@@ -120,7 +132,7 @@ class Cells:
                 low = np.maximum(np.maximum(dist[:, cell] - hi, lo - dist[:, cell]), np.maximum(plane[:, cell], 0.0))
                 for row, far, t in zip(low, dist[:, cell], least.iloc[i:i + size]):
                     rank, first, held = np.where(row > SLACK, 4.0 + row, far), [], 0
-                    while held < k and len(first) < len(names):
+                    while held < k and len(first) < len(cell):
                         j = int(rank.argmin())
                         first.append(j)
                         held += n[j]
@@ -130,50 +142,85 @@ class Cells:
                         ok = row <= reach + SLACK
                         ok[first] = False
                         first = np.flatnonzero(ok)
-                    out.append([names[j] for j in first])
+                    out.append(dealt(np.sort(np.asarray(first, dtype=np.int64))))
             return pd.Series(out)
 
         least = F.col("least") if second else F.lit(None).cast("double")
-        chosen = queries.withColumn("units", choose("qvec", least)).checkpoint()  # chosen once, one row a query
-        return chosen.withColumn("unit", F.explode("units")).drop("units") \
-                     .withColumn("block", F.pmod(F.xxhash64("gq"), F.lit(block)))
+        chosen = queries.withColumn("__v", choose("qvec", least)).checkpoint()  # chosen once, one row a query
+        return chosen.select(*queries.columns, F.inline("__v")) \
+                     .withColumn("block", F.pmod(F.xxhash64("gq"), F.lit(blocks)))
+
+    def made(self, visits: DataFrame) -> DataFrame:
+        """``unit_no, queries, documents``: what the visits compare."""
+        spark = visits.sparkSession
+        u = self.units.reset_index().rename(columns={"index": "unit_no"})
+        per_bin = spark.createDataFrame([(int(b), g["unit_no"].tolist()) for b, g in u.groupby("bin")], "bin int, all_units array<int>")
+        sizes = spark.createDataFrame([(int(i), int(n)) for i, n in zip(u["unit_no"], u["n"])], "unit_no int, documents long")
+        return visits.join(F.broadcast(per_bin), "bin").select(F.explode(F.coalesce("units", "all_units")).alias("unit_no")) \
+                     .groupBy("unit_no").agg(F.count(F.lit(1)).alias("queries")).join(sizes, "unit_no")
+
+
+def spark_rows(spark, units: pd.DataFrame) -> DataFrame:
+    """The numbers and bins of the slices as a (bounded) table."""
+    return spark.createDataFrame([(name, i, int(b)) for i, (name, b) in enumerate(zip(units["unit"], units["bin"]))],
+                                 "unit string, unit_no int, bin int")
+
+
+def _best(sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of each row's k greatest entries and what ties with them after rounding."""
+    keep = np.isfinite(sims)
+    if sims.shape[1] > k:
+        keep &= sims >= np.partition(sims, sims.shape[1] - k, axis=1)[:, [sims.shape[1] - k]] - 2 * 10.0 ** -DIGITS
+    return np.nonzero(keep)
 
 
 def _compare(visits: DataFrame, rows: DataFrame, k: int, fields: list, mask: Callable) -> DataFrame:
     """``gq, g, cosine``: the k best (and what ties with them after rounding)
-    of each query in each slice it visits, a block of queries at a time."""
+    of each query in each bin it visits, a block of queries at a time."""
     qcols, dcols = [f[0] for f in fields], sorted({f[1] for f in fields})
-    pairs = visits.select(F.col("unit").alias("unit"), F.col("block").alias("block")).distinct()
-    d = rows.select("unit", "g", "embedding", *dcols).join(pairs, "unit")
+    pairs = visits.select(F.col("bin").alias("bin"), F.col("block").alias("block")).distinct()
+    d = rows.select("bin", "unit_no", "g", "embedding", *dcols).join(pairs, "bin")
 
     def run(qs: pd.DataFrame, ds: pd.DataFrame) -> pd.DataFrame:
-        out_q, out_d, out_s = [], [], []
-        if len(qs) and len(ds):
-            sims = unit_rows(qs["qvec"]) @ unit_rows(ds["embedding"]).T
-            asked = [dict(zip(qcols, r)) for r in qs[qcols].itertuples(index=False, name=None)] if qcols else None
-            gq, g = qs["gq"].to_numpy(), ds["g"].to_numpy()
-            for i in range(len(gq)):
-                cand = np.flatnonzero(mask(asked[i], ds, fields)) if fields else np.arange(len(g))
-                s = sims[i][cand]
-                if len(cand) > k:
-                    keep = s >= np.partition(s, len(s) - k)[len(s) - k] - 2 * 10.0 ** -DIGITS
-                    cand, s = cand[keep], s[keep]
-                out_q.append(np.repeat(gq[i:i + 1], len(cand)))
-                out_d.append(g[cand])
-                out_s.append(s)
-        if not out_q:
-            return pd.DataFrame({"gq": [], "g": [], "cosine": []})
-        return pd.DataFrame({"gq": np.concatenate(out_q), "g": np.concatenate(out_d), "cosine": np.concatenate(out_s)})
-
-    return visits.select("unit", "block", "gq", "qvec", *qcols).groupBy("unit", "block") \
-                 .cogroup(d.groupBy("unit", "block")).applyInPandas(run, "gq string, g string, cosine double")
+        none = pd.DataFrame({"gq": [], "g": [], "cosine": []})
+        if not len(qs) or not len(ds):
+            return none
+        q, asked = unit_rows(qs["qvec"]), qs[qcols].to_dict("records") if qcols else None
+        everywhere = qs["units"].isna().to_numpy()
+        chosen = [(i, j) for i, units in enumerate(qs["units"]) if not everywhere[i] for j in units]
+        who, where = np.array(chosen, dtype=np.int64).reshape(-1, 2).T
+        found = []
+        for unit, part in ds.groupby("unit_no"):
+            ask = np.union1d(np.flatnonzero(everywhere), who[where == unit])
+            docs, size = unit_rows(part["embedding"]), max(1, BLOCK_NUMBERS // len(part))
+            at = part.index.to_numpy()
+            for i in range(0, len(ask), size):
+                block = ask[i:i + size]
+                sims = q[block] @ docs.T
+                for row, j in enumerate(block if fields else ()):
+                    sims[row, ~mask(asked[j], part, fields)] = -np.inf
+                a, b = _best(sims, k)
+                found.append((block[a], at[b], sims[a, b]))
+        if not found:
+            return none
+        a, b, s = (np.concatenate(c) for c in zip(*found))
+        order = np.lexsort((-s, a))
+        a, b, s = a[order], b[order], s[order]
+        # the k-th best of each query, or its last
+        starts, counts = np.unique(a, return_index=True, return_counts=True)[1:]
+        kth = s[starts + np.minimum(counts, k) - 1]
+        keep = s >= np.repeat(np.where(counts < k, -np.inf, kth), counts) - 2 * 10.0 ** -DIGITS
+        return pd.DataFrame({"gq": qs["gq"].to_numpy()[a[keep]], "g": ds["g"].to_numpy()[b[keep]], "cosine": s[keep]})
+
+    return visits.select("bin", "block", "gq", "qvec", "units", *qcols).groupBy("bin", "block") \
+                 .cogroup(d.groupBy("bin", "block")).applyInPandas(run, "gq string, g string, cosine double")
 
 
 def cell_candidates(q: DataFrame, d: DataFrame, k: int, fields: list, mask: Callable, exclude_self: bool = False,
                     slice_rows: int = 4096) -> tuple[DataFrame, DataFrame]:
     """Candidates ``(query_id, doc_id, cosine)`` that hold every query's exact
     top k (by cosine to six digits, then id), and the visits made, one row per
-    slice: ``unit, queries, documents`` (their products are the pairs compared).
+    slice: ``unit_no, queries, documents`` (their products are the pairs compared).
 
     ``q`` is ``(query_id, qvec, <filter columns>)``, ``d`` is ``(doc_id,
     embedding, <meta columns>)``. Rows without a vector are left out; a
@@ -186,10 +233,11 @@ def cell_candidates(q: DataFrame, d: DataFrame, k: int, fields: list, mask: Call
                   slice_rows)
     if cells.units is None:
         return (spark.createDataFrame([], f"query_id {dict(q.dtypes)['query_id']}, doc_id {types['doc_id']}, cosine double"),
-                spark.createDataFrame([], "unit string, queries long, documents long"))
+                spark.createDataFrame([], "unit_no int, queries long, documents long"))
     q = q.where(F.col("qvec").isNotNull()).withColumn("gq", _group("qvec", asked))
     groups = q.select("gq", "qvec", *asked).dropDuplicates(["gq"]).checkpoint()
-    block = max(1, -(-groups.count() // slice_rows))
+    numbers = groups.agg(F.sum(F.size("qvec").cast("long"))).first()[0] or 0
+    block = max(1, -(-numbers // BLOCK_NUMBERS))
 
     visits1 = cells.visits(groups, want, block, second=False)
     found1 = _compare(visits1, cells.rows, want, fields, mask).checkpoint()
@@ -198,7 +246,7 @@ def cell_candidates(q: DataFrame, d: DataFrame, k: int, fields: list, mask: Call
     if len(cells.units) > 1:  # a single slice has been visited by all
         visits2 = cells.visits(groups.join(least, "gq", "left"), want, block, second=True)
         found = found1.unionByName(_compare(visits2, cells.rows, want, fields, mask))
-        visits = visits1.select("unit").unionByName(visits2.select("unit"))
+        visits = visits1.select("bin", "units").unionByName(visits2.select("bin", "units"))
 
     near = F.round("cosine", DIGITS).desc()
     kept = found.withColumn("__r", F.rank().over(Window.partitionBy("gq").orderBy(near))).where(F.col("__r") <= want)
@@ -208,6 +256,4 @@ def cell_candidates(q: DataFrame, d: DataFrame, k: int, fields: list, mask: Call
     out = q.select("query_id", "gq").join(top, "gq").select("query_id", F.inline("__top"))
     if exclude_self:
         out = out.where(F.col("query_id") != F.col("doc_id"))
-    seen = visits.groupBy("unit").agg(F.count(F.lit(1)).alias("queries")) \
-        .join(cells.rows.groupBy("unit").agg(F.count(F.lit(1)).alias("documents")), "unit")
-    return out, seen
+    return out, cells.made(visits)

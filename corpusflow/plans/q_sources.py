@@ -448,7 +448,7 @@ def q_ingest_records(spark, sf_dir):
 
 
 @register("ingest_api", """WITH p AS (SELECT 'api://port_congestion/P' || s.s_suppkey::VARCHAR AS document_id,
-       'congestion: ' || regexp_replace(s.s_acctbal::VARCHAR, '\.0$', '') || coalesce(chr(10) || 'country: ' || n.n_name, '') || chr(10)
+       'congestion: ' || regexp_replace(s.s_acctbal::VARCHAR, '\\.0$', '') || coalesce(chr(10) || 'country: ' || n.n_name, '') || chr(10)
        || 'port_code: P' || s.s_suppkey::VARCHAR || chr(10) || 'timestamp: 2024-01-01T00:00:00Z' || chr(10)
        || 'vessels_waiting: ' || (s.s_suppkey % 17)::VARCHAR AS content
 FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey)
