@@ -27,7 +27,7 @@ MAX_PIVOTS = 1024     # vectors sampled to the driver, whatever the input's size
 MAX_SLICES = 65_536   # slices grow with the input beyond it, so that their list stays bounded
 RINGS = 64
 BIN_ROWS = 32_768     # documents of neighbouring slices that one task compares
-BLOCK_NUMBERS = 4_000_000  # numbers of a block of query vectors, and of a block of cosines
+BLOCK_NUMBERS = 1_000_000  # numbers of a block of query vectors, and of a block of cosines
 DIGITS = 6
 SLACK = 1e-6          # distances are compared with room for rounding
 
@@ -145,8 +145,8 @@ class Cells:
                     out.append(dealt(np.sort(np.asarray(first, dtype=np.int64))))
             return pd.Series(out)
 
-        least = F.col("least") if second else F.lit(None).cast("double")
-        chosen = queries.withColumn("__v", choose("qvec", least)).checkpoint()  # chosen once, one row a query
+        queries = queries if second else queries.withColumn("least", F.lit(None).cast("double"))
+        chosen = queries.withColumn("__v", choose("qvec", "least")).checkpoint()  # chosen once, one row a query
         return chosen.select(*queries.columns, F.inline("__v")) \
                      .withColumn("block", F.pmod(F.xxhash64("gq"), F.lit(blocks)))
 
@@ -166,12 +166,12 @@ def spark_rows(spark, units: pd.DataFrame) -> DataFrame:
                                  "unit string, unit_no int, bin int")
 
 
-def _best(sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places of each row's k greatest entries and what ties with them after rounding."""
-    keep = np.isfinite(sims)
-    if sims.shape[1] > k:
-        keep &= sims >= np.partition(sims, sims.shape[1] - k, axis=1)[:, [sims.shape[1] - k]] - 2 * 10.0 ** -DIGITS
-    return np.nonzero(keep)
+def _best(sims: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of each row's k greatest entries and what ties with them after
+    rounding, none below the row's ``floor``, which rises to its k-th entry."""
+    if sims.shape[1] >= k:
+        np.maximum(floor, np.partition(sims, sims.shape[1] - k, axis=1)[:, sims.shape[1] - k], out=floor)
+    return np.nonzero(np.isfinite(sims) & (sims >= floor[:, None] - 2 * 10.0 ** -DIGITS))
 
 
 def _compare(visits: DataFrame, rows: DataFrame, k: int, fields: list, mask: Callable) -> DataFrame:
@@ -190,6 +190,8 @@ def _compare(visits: DataFrame, rows: DataFrame, k: int, fields: list, mask: Cal
         chosen = [(i, j) for i, units in enumerate(qs["units"]) if not everywhere[i] for j in units]
         who, where = np.array(chosen, dtype=np.int64).reshape(-1, 2).T
         found = []
+        # cosines that each query's k-th best can't be below, as far as known
+        floor = qs["least"].to_numpy(dtype=np.float64, na_value=-np.inf)
         for unit, part in ds.groupby("unit_no"):
             ask = np.union1d(np.flatnonzero(everywhere), who[where == unit])
             docs, size = unit_rows(part["embedding"]), max(1, BLOCK_NUMBERS // len(part))
@@ -199,7 +201,9 @@ def _compare(visits: DataFrame, rows: DataFrame, k: int, fields: list, mask: Cal
                 sims = q[block] @ docs.T
                 for row, j in enumerate(block if fields else ()):
                     sims[row, ~mask(asked[j], part, fields)] = -np.inf
-                a, b = _best(sims, k)
+                low = floor[block]
+                a, b = _best(sims, k, low)
+                floor[block] = low
                 found.append((block[a], at[b], sims[a, b]))
         if not found:
             return none
@@ -212,7 +216,7 @@ def _compare(visits: DataFrame, rows: DataFrame, k: int, fields: list, mask: Cal
         keep = s >= np.repeat(np.where(counts < k, -np.inf, kth), counts) - 2 * 10.0 ** -DIGITS
         return pd.DataFrame({"gq": qs["gq"].to_numpy()[a[keep]], "g": ds["g"].to_numpy()[b[keep]], "cosine": s[keep]})
 
-    return visits.select("bin", "block", "gq", "qvec", "units", *qcols).groupBy("bin", "block") \
+    return visits.select("bin", "block", "gq", "qvec", "least", "units", *qcols).groupBy("bin", "block") \
                  .cogroup(d.groupBy("bin", "block")).applyInPandas(run, "gq string, g string, cosine double")
 
 
