@@ -8,10 +8,13 @@ being read), so a lost executor or a re-run cannot leave a half-written index.
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from corpusflow.operators.sizing import sized_broadcast
+from corpusflow.operators.sizing import BROADCAST_MAX_ROWS, bounded_count, sized_broadcast
 
 # ------------------------------------------------------------------ G1
 
@@ -47,14 +50,64 @@ def upsert(existing: DataFrame | None, updates: DataFrame, key: str | list[str]
     return untouched.unionByName(merged, allowMissingColumns=True)
 
 
+def _located(rows: DataFrame) -> DataFrame:
+    """Rows of a written table with the place they were read from."""
+    return rows.withColumns({"__file": F.col("_metadata.file_name"), "__row": F.col("_metadata.row_index")})
+
+
+def newest_rows(rows: DataFrame, keys: list[str], order: list[str], scratch: str) -> DataFrame:
+    """Of the rows that repeat a key the one with the greatest ``order`` columns, of equal ones that of the
+    later ``__layer``; rows of a full snapshot (layer -1) whose key no layer has stay as they are. ``rows``
+    is a written table with ``__layer``, ``__file`` and ``__row``, which together are unique.
+
+    Contents aren't shuffled to find out: hashes of the keys are counted, those that repeat are kept under
+    ``scratch``, and only they are looked at. Rows are then dropped by a broadcast join, or by one shuffled
+    hash join, which sorts no contents, if many keys repeat. Null keys match nothing, as in a join: each layer keeps its own.
+    """
+    spark, place = rows.sparkSession, ["__layer", "__file", "__row"]
+    null_key = F.lit(False)
+    for c in keys:
+        null_key = null_key | F.col(c).isNull()
+    rows = rows.withColumns({"__null_in": F.when(null_key, F.col("__layer")).otherwise(F.lit(-1)),
+                             "__hash": F.xxhash64(*keys, F.when(null_key, F.col("__layer")))})
+    path = f"{scratch}/repeated/{uuid.uuid4().hex[:12]}"
+    # a key of the full snapshot alone doesn't count: max(__layer) is -1
+    rows.groupBy("__hash").agg(F.count(F.lit(1)).alias("n"), F.max("__layer").alias("last")) \
+        .where((F.col("n") > 1) & (F.col("last") >= 0)).select("__hash").write.parquet(path)
+    repeated = spark.read.schema("__hash long").parquet(path)
+    helpers = [*place, "__null_in", "__hash"]
+    n = bounded_count(repeated, BROADCAST_MAX_ROWS)
+    if n == 0:
+        return rows.drop(*helpers)
+    small = n <= BROADCAST_MAX_ROWS
+    # nulls in the order columns rank lowest (as desc_nulls_last would)
+    rank = F.struct(*[F.struct(F.col(c).isNotNull(), F.col(c)) for c in order], *place)
+    suspects = rows.join(F.broadcast(repeated), "__hash", "left_semi") if small else rows
+    best = suspects.groupBy(*keys, "__null_in", "__hash").agg(F.max(rank).alias("__best"), F.count(F.lit(1)).alias("__n"),
+                                                              F.max("__layer").alias("__last"))
+    best = best.where((F.col("__n") > 1) & (F.col("__last") >= 0)).select(
+        "__hash", F.struct(*keys, "__null_in").alias("__key"), F.col("__best.__layer").alias("__bl"),
+        F.col("__best.__file").alias("__bf"), F.col("__best.__row").alias("__br"))
+    same = F.struct(*keys, "__null_in").eqNullSafe(F.col("__key"))
+    joined = rows.withColumnRenamed("__hash", "__h").join(
+        F.broadcast(best) if small else best.hint("shuffle_hash"), (F.col("__h") == F.col("__hash")) & same, "left")
+    kept = F.col("__bl").isNull() | ((F.col("__layer") == F.col("__bl")) & (F.col("__file") == F.col("__bf")) & (F.col("__row") == F.col("__br")))
+    return joined.where(kept).drop(*helpers, "__h", "__key", "__bl", "__bf", "__br")
+
+
 class SnapshotTable:
-    """A table kept as numbered Parquet snapshots ``<base>/v=<n>`` with a
-    ``_SUCCESS`` marker; the current version is the highest complete one."""
+    """A table kept as numbered versions in the shared folder, none of which is ever changed: full
+    snapshots ``<base>/v=<n>`` and, for upserts, layers ``<base>/__layer=<n>`` that hold the upserted
+    rows alone, each with a ``_SUCCESS`` marker. The current version is the highest complete one.
+
+    An upsert writes its own rows, without a shuffle and without reading the table. A reader takes the
+    last full snapshot and the layers after it and, of rows that repeat a key, the newest
+    (:func:`newest_rows`); ``compact`` writes that as a full snapshot."""
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base.rstrip("/")
 
-    def _versions(self) -> list[int]:
+    def _complete(self, prefix: str) -> list[int]:
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         path = jvm.org.apache.hadoop.fs.Path(self.base)
@@ -64,30 +117,78 @@ class SnapshotTable:
         out = []
         for st in fs.listStatus(path):
             name = st.getPath().getName()
-            if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
+            if name.startswith(prefix) and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+                out.append(int(name[len(prefix):]))
         return sorted(out)
 
+    def _versions(self) -> list[int]:
+        return sorted(self._complete("v=") + self._complete("__layer="))
+
     def current_version(self) -> int | None:
         v = self._versions()
         return v[-1] if v else None
 
+    def _next(self) -> int:
+        cur = self.current_version()
+        return cur + 1 if cur is not None else 0
+
+    def _layers(self) -> list[int]:
+        full = self._complete("v=")
+        return [n for n in self._complete("__layer=") if not full or n > full[-1]]
+
     def read(self) -> DataFrame | None:
-        v = self.current_version()
-        return None if v is None else self.spark.read.parquet(f"{self.base}/v={v}")
+        full, layers = self._complete("v="), self._layers()
+        if not layers:
+            return self.spark.read.parquet(f"{self.base}/v={full[-1]}") if full else None
+        # the layers' own columns may differ; a column that a layer lacks is null in its rows
+        rows = self.spark.read.option("basePath", self.base).option("mergeSchema", len(layers) > 1) \
+            .parquet(*[f"{self.base}/__layer={n}" for n in layers]).withColumn("__layer", F.col("__layer").cast("int"))
+        rows = _located(rows)
+        if full:
+            old = self.spark.read.parquet(f"{self.base}/v={full[-1]}").withColumn("__layer", F.lit(-1))
+            rows = _located(old).unionByName(rows, allowMissingColumns=True)
+        keys, order = self._merge()
+        return newest_rows(rows, keys, order, self.base)
 
     def write(self, df: DataFrame) -> int:
-        """Write ``df`` as the version after the current one."""
-        cur = self.current_version()
-        version = cur + 1 if cur is not None else 0
+        """Write ``df`` as a full snapshot, the version after the current one."""
+        version = self._next()
         df.write.mode("overwrite").parquet(f"{self.base}/v={version}")
         return version
 
-    def _commit(self, stream: str, batch_id: int):
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.base}/commits/{stream}/{batch_id}")
+    def append(self, updates: DataFrame, keys: list[str], order: list[str]) -> int:
+        """Write ``updates`` as the layer after the current version. All layers since a full snapshot
+        share their keys and order; with others the table is compacted first."""
+        active = self._layers()
+        if active and self._merge() != (keys, order):
+            self.compact()
+            active = []
+        if not active:
+            path, fs = self._path("merge.json")
+            out = fs.create(path, True)
+            out.write(bytearray(json.dumps([keys, order]).encode()))
+            out.close()
+        version = self._next()
+        updates.write.mode("overwrite").parquet(f"{self.base}/__layer={version}")
+        return version
+
+    def compact(self) -> int | None:
+        """The current rows as a full snapshot; None if the table has no version."""
+        rows = self.read()
+        return None if rows is None else self.write(rows)
+
+    def _merge(self) -> tuple[list[str], list[str]]:
+        text = self.spark.read.text(f"{self.base}/merge.json", wholetext=True).first()[0]
+        keys, order = json.loads(text)
+        return keys, order
+
+    def _path(self, name: str):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}")
         return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
+    def _commit(self, stream: str, batch_id: int):
+        return self._path(f"commits/{stream}/{batch_id}")
+
     def committed(self, stream: str, batch_id: int) -> bool:
         """Whether the batch of that stream (named by its checkpoint) is in the table."""
         path, fs = self._commit(stream, batch_id)
@@ -106,8 +207,9 @@ class SnapshotTable:
 
 def upsert_snapshot(store: SnapshotTable, updates: DataFrame, key: str | list[str] = "chunk_id",
                     order: list[str] | None = None) -> int:
-    """G1 persisted: current snapshot + updates -> next snapshot."""
-    return store.write(upsert(store.read(), updates, key, order))
+    """G1 persisted: the updates as the table's next version, as :func:`upsert` would make it."""
+    keys = [key] if isinstance(key, str) else list(key)
+    return store.append(updates, keys, list(order or ["ingest_ts", "batch_id"]))
 
 
 # ----------------------------------------------------------------- G2-G4
