@@ -196,16 +196,21 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("ts").cast("timestamp").alias("timestamp"))
 
 
+# Messages per landed file, about: whole consumer batches, so that files don't grow in number with every 500 messages.
+FILE_MESSAGES = 50_000
+
+
 def land_messages(spark: SparkSession, sf_dir: str, batch_size: int = 500, path: str | None = None,
                   part: tuple[int, int] = (0, 1)) -> str:
-    """Land messages as JSON lines, one file per (partition, offset div
-    batch_size) so every file is one consumer batch. ``part`` (k, n) lands the
+    """Land messages as JSON lines. A consumer batch, the messages of a partition with the same
+    offset div batch_size, is whole in one file; a file holds many of them. ``part`` (k, n) lands the
     k-th of n shares, added to what ``path`` holds."""
     from corpusflow.session import scratch_path
     path = path or scratch_path(spark, "messages")
     from corpusflow.sources.messages import TS_FORMAT
-    m = messages(spark, sf_dir).withColumns({"p": F.col("partition"),
-                                             "b": F.floor(F.col("offset") / batch_size).cast("long")})
-    (m.where(F.col("offset") % part[1] == part[0]).repartition("p", "b").sortWithinPartitions("p", "offset")
-      .write.mode("append").partitionBy("p", "b").option("timestampFormat", TS_FORMAT).json(path))
+    m = messages(spark, sf_dir).where(F.col("offset") % part[1] == part[0])
+    share = read_table(spark, sf_dir, "events").count() // part[1]
+    n = max(spark.sparkContext.defaultParallelism, -(-share // FILE_MESSAGES))
+    (m.repartition(n, "partition", F.floor(F.col("offset") / batch_size)).sortWithinPartitions("partition", "offset")
+      .write.mode("append").option("timestampFormat", TS_FORMAT).json(path))
     return path
