@@ -19,6 +19,7 @@ from corpusflow.functions.text import record_text
 from corpusflow.operators.chunking import recursive_chunks
 from corpusflow.operators.document_log import DocumentLog
 from corpusflow.operators.masking import mask_documents
+from corpusflow.operators.sizing import split_repeated
 from corpusflow.session import scratch_path
 
 NO_ID = "no document id"
@@ -33,6 +34,12 @@ class RecordRun:
     version: int | None
 
 
+def _greatest(good: DataFrame) -> DataFrame:
+    """One record an id: the greatest text hash; the texts of equal ones are equal, so any of them."""
+    others = [c for c in good.columns if c != "document_id"]
+    return good.groupBy("document_id").agg(F.max_by(F.struct(*others), "text_sha").alias("r")).select("document_id", *[f"r.{c}" for c in others])
+
+
 def _run(records: DataFrame, chunks: Callable[[Column], Column], method: str, store: DocumentLog | None,
          run_id: str, mask: bool) -> RecordRun:
     spark = records.sparkSession
@@ -55,13 +62,14 @@ def _run(records: DataFrame, chunks: Callable[[Column], Column], method: str, st
     stage = spark.read.schema(outcome.schema).parquet(path)
 
     good = stage.where(F.col("error").isNull())
-    # of records that repeat an id, those of the greatest text hash stay, and of equal ones one
-    last = good.groupBy("document_id").agg(F.max("text_sha").alias("text_sha"))
-    rows = good.join(last, ["document_id", "text_sha"]).select(
+    # of records that repeat an id, those of the greatest text hash stay, and of equal ones one: only ids whose
+    # hash repeats are grouped, all others pass with their parts where they were read
+    lone, repeated = split_repeated(good.where(F.col("text_sha").isNotNull()), ["document_id"], scratch_path(spark, "record-ids"))
+    rows = lone if repeated is None else lone.unionByName(_greatest(repeated))
+    rows = rows.select(
         "document_id", "source_type", "source_uri", F.col("chunk_count").alias("total_chunks"), "ingestion_ts",
         F.posexplode_outer("parts").alias("chunk_index", "content")).where(F.col("content").isNotNull())
-    rows = rows.withColumn("chunk_id", F.concat_ws("-", "document_id", F.col("chunk_index").cast("string"))) \
-               .dropDuplicates(["document_id", "chunk_index"]).withColumn("run_id", F.lit(run_id))
+    rows = rows.withColumn("chunk_id", F.concat_ws("-", "document_id", F.col("chunk_index").cast("string"))).withColumn("run_id", F.lit(run_id))
     version = None if store is None else store.replace(rows, good.select("document_id"))
     if store is not None:
         rows = store.read(version).where(F.col("run_id") == run_id)

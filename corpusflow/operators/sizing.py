@@ -28,6 +28,21 @@ def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFr
     return df
 
 
+def split_repeated(df: DataFrame, keys: list[str], scratch: str) -> tuple[DataFrame, DataFrame | None]:
+    """``df``'s rows whose key is theirs alone, and those whose key may repeat (None if there are none). Only
+    hashes of the keys are shuffled; those that repeat are kept under ``scratch`` and broadcast where
+    they fit. ``df`` must read the same each time, as a written table does."""
+    h = F.xxhash64(*keys)
+    df.groupBy(h.alias("__hash")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("__hash").write.parquet(scratch)
+    seen = df.sparkSession.read.schema("__hash long").parquet(scratch)
+    n = bounded_count(seen, BROADCAST_MAX_ROWS)
+    if n == 0:
+        return df, None
+    seen = F.broadcast(seen) if n <= BROADCAST_MAX_ROWS else seen.hint("shuffle_hash")
+    on = h == seen["__hash"]
+    return df.join(seen, on, "left_anti"), df.join(seen, on, "left_semi")
+
+
 def rank_order(score: str | Column, tie: str = "doc_id", digits: int = 9) -> list[Column]:
     """Deterministic rank order: rounded score descending, id ascending."""
     s = F.col(score) if isinstance(score, str) else score

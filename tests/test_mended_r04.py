@@ -47,3 +47,12 @@ def test_many_repeated_keys_are_joined_by_hash(spark, monkeypatch):
     rows = store.read().collect()
     assert len(rows) == len({r.chunk_id for r in rows}) == 50
     assert all((r.batch_id == 2) == (r.chunk_id < "3") for r in rows)
+
+
+def test_records_whose_id_is_theirs_alone_are_not_grouped(spark):
+    from corpusflow.operators.sizing import split_repeated
+    df = spark.createDataFrame([("a", 1), ("b", 1), ("b", 2), (None, 1)], "document_id string, n int")
+    lone, repeated = split_repeated(df, ["document_id"], scratch_path(spark, "ids"))
+    assert sorted((r.document_id or "", r.n) for r in lone.collect()) == [("", 1), ("a", 1)]
+    assert sorted((r.document_id, r.n) for r in repeated.collect()) == [("b", 1), ("b", 2)]
+    assert split_repeated(df.where("n = 1"), ["document_id"], scratch_path(spark, "ids"))[1] is None
