@@ -21,6 +21,7 @@ from corpusflow.operators.vector_cells import cell_candidates
 from corpusflow.operators.term_index import TermIndex, term_index_scores
 from corpusflow.operators.sizing import (BROADCAST_MAX_ROWS, bounded_count, fits, minmax_normalize,
                                          sized_broadcast, top_k)
+from corpusflow.session import scratch_path
 
 # Role -> security clearance levels the role may read. A role not
 # in the table reads public documents only; no role at all means no restriction.
@@ -438,6 +439,10 @@ def hybrid_search(corpus: HybridCorpus, queries: DataFrame, top_k_: int | None =
         # at most 2k semantic + 2k keyword candidates per query; counting the
         # (cheap) query table bounds the candidate list without running the search
         nq = bounded_count(queries, BROADCAST_MAX_ROWS)
+        # reranking takes the candidates twice, for their texts and for their scores: found once, they are kept
+        path = scratch_path(queries.sparkSession, "candidates")
+        fused.write.parquet(path)
+        fused = queries.sparkSession.read.schema(fused.schema).parquet(path)
         fused = rerank(fused, queries, corpus.docs, scorer, max_candidates=nq * 4 * k, n_queries=nq)
         score = "final_score"
     else:
