@@ -22,7 +22,7 @@ from corpusflow.operators.chunking import get_chunker
 from corpusflow.operators.document_log import DocumentLog
 from corpusflow.operators.masking import mask_documents
 from corpusflow.operators.parsing import decode_utf8, route_documents
-from corpusflow.sources.files import read_objects
+from corpusflow.sources.files import listed_objects, read_objects
 from corpusflow.sources.messages import decode_messages, iot_readings
 
 
@@ -53,9 +53,10 @@ def ingest_objects(spark: SparkSession, root: str, prefix: str = "", extensions:
     ``id_col`` will do. A ``DocumentLog`` as store replaces the ingested documents whole, so that a shorter revision
     leaves no old chunks; a snapshot table is upserted by chunk. With ``empty_objects``, objects without a body are
     counted too (a text one is a document without chunks, others go to quarantine); else they are left out."""
-    objs = read_objects(spark, root, prefix, extensions=extensions)
+    listed = listed_objects(spark, root, prefix, extensions=extensions)
     if not empty_objects:
-        objs = objs.where(F.col("metadata.size") > 0)
+        listed = listed.where(F.col("size") > 0)
+    objs = read_objects(spark, root, listed=listed)
     routed = route_documents(objs.withColumn("filename", F.col("metadata.key")))
     decoded = decode_utf8(routed, "content", "text")
     ok = (F.col("route") == "text") & (F.col("decode_status") == "ok")
@@ -76,7 +77,7 @@ def ingest_objects(spark: SparkSession, root: str, prefix: str = "", extensions:
                          F.col("ingest_ts").alias("ingestion_ts"))
     lineage = gv.lineage(flat, run_id)
     counts = chunks.groupBy("document_id").agg(F.count(F.lit(1)).alias("chunk_count"))
-    status = objs.select("document_id").join(counts, "document_id", "left") \
+    status = listed.select("document_id").join(counts, "document_id", "left") \
         .join(bad.select("document_id", F.lit(1).alias("__bad")), "document_id", "left") \
         .select(F.when(F.col("__bad").isNotNull(), "failed").otherwise("ok").alias("status"),
                 F.coalesce("chunk_count", F.lit(0)).alias("chunk_count"))

@@ -31,7 +31,9 @@ def fs_uri(uri: str) -> str:
 
 def hidden(key: str) -> bool:
     """Names that Spark's readers leave out too, so that listing and reading agree."""
-    return any(part[:1] in ("_", ".") for part in key.split("/"))
+    return any(p[:1] == "." or p.endswith("._COPYING_")
+               or (p[:1] == "_" and "=" not in p and not p.startswith(("_metadata", "_common_metadata")))
+               for p in key.split("/"))
 
 
 @dataclass
